@@ -41,12 +41,16 @@ def rejection_reason() -> Column:
     )
 
 
-def valid_movements(df: DataFrame) -> DataFrame:
-    return df.filter(
+def is_valid() -> Column:
+    return (
         F.col("region").isNotNull() & F.col("section").isNotNull() & F.col("balance").isin(1, -1)
     )
 
 
+def valid_movements(df: DataFrame) -> DataFrame:
+    return df.filter(is_valid())
+
+
 def rejected_counts(df: DataFrame) -> DataFrame:
     """Rows per rejection reason, valid rows included."""
     reason = F.coalesce(rejection_reason(), F.lit("valid"))

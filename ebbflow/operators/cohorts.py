@@ -33,6 +33,24 @@ def cohort_month(movements: DataFrame, keys: CohortKeys = CohortKeys()) -> DataF
     return counted.withColumn("month", month_label(keys.time))
 
 
+def fine_counts(
+    movements: DataFrame, extra: Sequence[str], keys: CohortKeys = CohortKeys()
+) -> DataFrame:
+    """The same counts per cohort and `extra` column values.
+
+    One pass over the movements can then serve several coarser questions, see `roll_up`.
+    """
+    return movements.groupBy(*keys.columns, *extra).agg(*signed_counts())
+
+
+def roll_up(counts: DataFrame, keys: CohortKeys = CohortKeys()) -> DataFrame:
+    """`cohort_month` from finer counts."""
+    summed = counts.groupBy(*keys.columns).agg(
+        *[F.sum(c).alias(c) for c in ("n_total", "n_pos", "n_neg")]
+    )
+    return summed.withColumn("month", month_label(keys.time))
+
+
 def cohort_sizes(
     movements: DataFrame, ladder: Mapping[str, Sequence[str]] = KEY_LADDER
 ) -> DataFrame:
@@ -42,14 +60,13 @@ def cohort_sizes(
     counts of the next finer one.
     """
     finest_first = sorted(ladder.items(), key=lambda item: -len(item[1]))
+    for (_, finer), (name, key) in zip(finest_first, finest_first[1:]):
+        if not set(key) <= set(finer):
+            raise ValueError(f"key {name} does not nest in {tuple(finer)}")
     histograms = []
     counts = movements.withColumn("_n", F.lit(1).cast("bigint"))
-    finer: Sequence[str] | None = None
     for name, key in finest_first:
-        if finer is not None and not set(key) <= set(finer):
-            raise ValueError(f"key {name} does not nest in {finer}")
         counts = counts.groupBy(*key).agg(F.sum("_n").alias("_n"))
-        finer = key
         histogram = counts.groupBy(F.col("_n").alias("n_total")).agg(
             F.count(F.lit(1)).alias("n_cohorts")
         )
@@ -58,13 +75,16 @@ def cohort_sizes(
 
 
 def cohort_granularity(
-    movements: DataFrame,
-    ladder: Mapping[str, Sequence[str]] = KEY_LADDER,
+    sizes: DataFrame,
     below: Sequence[int] = (10, 20, 50, 100),
     at_least: Sequence[int] = (20, 50),
+    rows: int | None = None,
 ) -> DataFrame:
-    """Per key: cohorts, mean size, size quantiles, shares of small and large cohorts."""
-    sizes = cohort_sizes(movements, ladder)
+    """Per key: cohorts, mean size, size quantiles, shares of small and large cohorts.
+
+    `sizes` is what `cohort_sizes` returns. It is read twice here and holds one row per
+    distinct size, so materialise it first.
+    """
     cohorts = F.sum("n_cohorts")
 
     def share(condition) -> F.Column:
@@ -77,7 +97,7 @@ def cohort_granularity(
         *[share(F.col("n_total") >= t).alias(f"pct_from_{t}") for t in at_least],
     )
     quantiles = exact_quantiles(
-        sizes, ["n_total"], SIZE_QUANTILES, by=["cohort_key"], weight="n_cohorts"
+        sizes, ["n_total"], SIZE_QUANTILES, by=["cohort_key"], weight="n_cohorts", rows=rows
     ).drop("metric")
     return summary.join(quantiles, "cohort_key")
 
@@ -119,18 +139,19 @@ def records_per_month(movements: DataFrame) -> DataFrame:
 
 
 def month_coverage(
-    movements: DataFrame, first: int | None = None, last: int | None = None
+    counts: DataFrame, first: int | None = None, last: int | None = None
 ) -> DataFrame:
     """Every calendar month between the bounds with its rows and whether it is present.
 
-    Bounds default to the first and last month seen.
+    `counts` is what `records_per_month` returns; it is read twice, so materialise it
+    first. Bounds default to the first and last month seen.
     """
-    found = movements.groupBy("month_seq").agg(F.count(F.lit(1)).alias("n_rows"))
-    bounds = found.agg(
+    bounds = counts.agg(
         (F.lit(first) if first else F.min("month_seq")).alias("first"),
         (F.lit(last) if last else F.max("month_seq")).alias("last"),
     )
     calendar = bounds.select(F.explode(F.sequence("first", "last")).alias("month_seq"))
+    found = counts.select("month_seq", "n_rows")
     return calendar.join(found, "month_seq", "left").select(
         month_label("month_seq").alias("month"),
         "month_seq",
@@ -140,9 +161,9 @@ def month_coverage(
 
 
 def missing_months(
-    movements: DataFrame, first: int | None = None, last: int | None = None
+    counts: DataFrame, first: int | None = None, last: int | None = None
 ) -> DataFrame:
-    return month_coverage(movements, first, last).filter(~F.col("present")).select("month")
+    return month_coverage(counts, first, last).filter(~F.col("present")).select("month")
 
 
 def region_year_counts(movements: DataFrame, labels: DataFrame) -> DataFrame:

@@ -118,10 +118,13 @@ def censoring_report(
 
 
 def horizon_listing(
-    movements: DataFrame, outlook: Outlook = Outlook(), time: str = "month_seq"
+    months: DataFrame, outlook: Outlook = Outlook(), time: str = "month_seq"
 ) -> DataFrame:
-    """For every reference month its future months, each marked available or not."""
-    seen = movements.select(time).distinct()
+    """For every reference month its future months, each marked available or not.
+
+    `months` has one row per month (`records_per_month`, materialised).
+    """
+    seen = months.select(time)
     steps = seen.select(
         F.col(time), F.explode(F.sequence(F.lit(1), F.lit(outlook.horizon))).alias("step")
     ).withColumn("_future", F.col(time) + F.col("step"))

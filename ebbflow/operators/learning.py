@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import time
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
@@ -28,6 +29,7 @@ from ebbflow.operators.quality import require_no_leakage
 from ebbflow.settings import REGIONAL, FeatureSet
 
 SEED = 42
+ROWS_PER_TASK = 10_000
 COHORT_KEY = ("month_seq", "region", "section", "age_band")
 FEATURES = REGIONAL.features
 
@@ -67,14 +69,18 @@ def random_forest(
     )
 
 
-def stable_layout(df: DataFrame, keys: Sequence[str] = COHORT_KEY) -> DataFrame:
-    """Spread rows by key over the session's cores, ordered inside a partition.
+def stable_layout(
+    df: DataFrame, keys: Sequence[str] = COHORT_KEY, rows: int | None = None
+) -> DataFrame:
+    """Spread rows by key, ordered inside a partition.
 
-    Sampling inside MLlib follows the physical order of rows; with this layout a
-    fit repeats whatever the files looked like.
+    Sampling inside MLlib follows the physical order of rows; with this layout a fit
+    repeats whatever the files looked like. A fit runs dozens of short jobs, so the
+    number of partitions follows the number of rows, not the number of cores; without
+    a row count adaptive execution picks it from the shuffled bytes.
     """
-    parts = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(parts, *keys).sortWithinPartitions(*keys)
+    count = [] if rows is None else [max(1, math.ceil(rows / ROWS_PER_TASK))]
+    return df.repartition(*count, *keys).sortWithinPartitions(*keys)
 
 
 @contextmanager
@@ -95,12 +101,18 @@ def split_parts(parts: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def fit(
-    train: DataFrame, classifier: Estimator, features: FeatureSet = FEATURES
+    train: DataFrame,
+    classifier: Estimator,
+    features: FeatureSet = FEATURES,
+    rows: int | None = None,
 ) -> tuple[PipelineModel, float]:
-    """The fitted pipeline and how many seconds the fit took."""
-    with held(stable_layout(train)) as rows:
+    """The fitted pipeline and how many seconds the fit took.
+
+    `rows` is a known upper bound on the rows of `train` (see `stable_layout`).
+    """
+    with held(stable_layout(train, rows=rows)) as layout:
         started = time.perf_counter()
-        model = Pipeline(stages=[*feature_stages(features), classifier]).fit(rows)
+        model = Pipeline(stages=[*feature_stages(features), classifier]).fit(layout)
         return model, time.perf_counter() - started
 
 
@@ -119,11 +131,15 @@ def area_under_roc(predictions: DataFrame, label: str = FEATURES.label) -> float
 
 
 def metrics_row(
-    predictions: DataFrame, model: str, seconds: float, label: str = FEATURES.label
+    predictions: DataFrame,
+    model: str,
+    seconds: float,
+    label: str = FEATURES.label,
+    rows: int | None = None,
 ) -> DataFrame:
     """One comparison row per model, AUC taken exactly from ranks."""
     rates = classification_metrics(confusion_matrix(predictions, label))
-    auc = auc_rank(predictions, label).select("auc").scalar()
+    auc = auc_rank(predictions, label, rows=rows).select("auc").scalar()
     return rates.withColumn("auc_roc", auc).select(
         F.lit(model).alias("model"),
         *[F.round(c, 6).alias(c) for c in METRICS_COLUMNS],
@@ -221,12 +237,13 @@ def tune(
     depths: Sequence[int] = (5, 8),
     min_instances: Sequence[int] = (1, 5),
     train_ratio: float = 0.7,
-    parallelism: int = 1,
+    parallelism: int = 4,
+    rows: int | None = None,
 ) -> tuple[PipelineModel, list[dict], float]:
     """Grid search on a train/validation split.
 
     The features are prepared once and the vectors held, so each combination costs
-    one forest. Returns the best pipeline, one record per combination and seconds.
+    one forest; `parallelism` forests grow at a time and share the executors. Returns the best pipeline, one record per combination and seconds.
     """
     forest = random_forest(features)
     grid = (
@@ -238,8 +255,8 @@ def tune(
     )
     started = time.perf_counter()
     prepared = Pipeline(stages=feature_stages(features)).fit(train)
-    vectors = stable_layout(prepared.transform(train)).select("features", features.label)
-    with held(vectors) as rows:
+    layout = stable_layout(prepared.transform(train), rows=rows)
+    with held(layout.select("features", features.label)) as vectors:
         search = TrainValidationSplit(
             estimator=forest,
             estimatorParamMaps=grid,
@@ -250,7 +267,7 @@ def tune(
             seed=SEED,
             parallelism=parallelism,
         )
-        found = search.fit(rows)
+        found = search.fit(vectors)
     seconds = time.perf_counter() - started
     records = [
         {

@@ -25,28 +25,29 @@ def occupation_volume(
 
 
 def occupation_share(
-    movements: DataFrame,
+    counts: DataFrame,
     keys: Sequence[str] = CohortKeys().columns,
     group: str = "occupation_group",
 ) -> DataFrame:
     """Count and share of each occupation group in its cohort.
 
-    Counted first, so a window partition holds one row per group in a cohort.
+    `counts` comes from `cohorts.fine_counts`, so a window partition holds one row per
+    group in a cohort.
     """
-    counted = movements.groupBy(*keys, group).agg(F.count(F.lit(1)).alias("n_group"))
     cohort = Window.partitionBy(*keys)
+    counted = counts.select(*keys, group, F.col("n_total").alias("n_group"))
     return counted.withColumn("n_cohort", F.sum("n_group").over(cohort)).withColumn(
         "share", F.col("n_group") / F.col("n_cohort")
     )
 
 
 def dominant_occupation(
-    movements: DataFrame,
+    counts: DataFrame,
     keys: Sequence[str] = CohortKeys().columns,
     group: str = "occupation_group",
 ) -> DataFrame:
     """The most frequent group of each cohort; the lower code wins a tie."""
-    shares = occupation_share(movements, keys, group)
+    shares = occupation_share(counts, keys, group)
     order = Window.partitionBy(*keys).orderBy(F.col("n_group").desc(), group)
     return shares.withColumn("_rn", F.row_number().over(order)).filter("_rn = 1").drop("_rn")
 

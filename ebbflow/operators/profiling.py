@@ -52,16 +52,25 @@ def cardinality(df: DataFrame, columns: Sequence[str], approximate: bool = False
 
 
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """count, mean, sample standard deviation, min and max per numeric column."""
-    doubles = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    long = doubles.unpivot([], list(columns), "metric", "value")
-    return long.groupBy("metric").agg(
-        F.count("value").alias("n"),
-        F.round(F.avg("value"), 6).alias("mean"),
-        F.round(F.stddev_samp("value"), 6).alias("stddev"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
+    """count, mean, sample standard deviation, min and max per numeric column.
+
+    All columns are aggregated side by side; only the one resulting row is turned into
+    a row per column.
+    """
+    names = list(columns)
+    summaries = []
+    for name in names:
+        v = F.col(name).cast("double")
+        summary = F.struct(
+            F.lit(name).alias("metric"),
+            F.count(v).alias("n"),
+            F.round(F.avg(v), 6).alias("mean"),
+            F.round(F.stddev_samp(v), 6).alias("stddev"),
+            F.min(v).alias("min"),
+            F.max(v).alias("max"),
+        )
+        summaries.append(summary.alias(name))
+    return df.agg(*summaries).select(F.inline(F.array(*names)))
 
 
 def numeric_profile(df: DataFrame, columns: Sequence[str], rows: int | None = None) -> DataFrame:
@@ -104,10 +113,11 @@ def category_profile(df: DataFrame, columns: Sequence[str], top: int = 3) -> Dat
     )
 
 
-def crosstab(df: DataFrame, first: str, second: str) -> DataFrame:
+def crosstab(df: DataFrame, first: str, second: str, weight: str | None = None) -> DataFrame:
     """Counts per pair of values, largest first within `second`."""
+    n = F.sum(weight) if weight else F.count(F.lit(1))
     return (
         df.groupBy(first, second)
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(n.alias("n"))
         .orderBy(second, F.col("n").desc(), first)
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ebbflow.functions import percent
@@ -104,21 +104,32 @@ def schema_diff(tables: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, reports)
 
 
-def attrition(stages: Mapping[str, DataFrame], minimum: int = 500_000) -> DataFrame:
-    """Rows before and after each stage, in the order given.
+def stage_counts(df: DataFrame, stages: Mapping[str, Column | None], first: int = 1) -> DataFrame:
+    """Rows (step, stage, rows_after) for several filters of one table, in one pass.
 
-    Each stage is counted once; the first has itself as its predecessor.
+    `None` stands for all rows.
     """
+    names = list(stages)
     counts = [
-        df.agg(F.count(F.lit(1)).alias("rows_after")).select(
-            F.lit(i).alias("step"), F.lit(name).alias("stage"), "rows_after"
-        )
-        for i, (name, df) in enumerate(stages.items(), 1)
+        (F.count(F.lit(1)) if kept is None else F.count_if(kept)).alias(name)
+        for name, kept in stages.items()
+    ]
+    steps = [
+        F.struct(F.lit(i).alias("step"), F.lit(n).alias("stage"), F.col(n).alias("rows_after"))
+        for i, n in enumerate(names, first)
     ]
-    after = reduce(DataFrame.unionByName, counts)
-    previous = after.select((F.col("step") + 1).alias("step"), F.col("rows_after").alias("_before"))
+    return df.agg(*counts).select(F.inline(F.array(*steps)))
+
+
+def attrition(counts: DataFrame, minimum: int = 500_000) -> DataFrame:
+    """Rows before and after each step, and whether enough are left.
+
+    `counts` (see `stage_counts`) has one row per step; the first step has itself as
+    its predecessor.
+    """
+    previous = F.lag("rows_after").over(Window.partitionBy().orderBy("step"))
     before = F.coalesce("_before", "rows_after")
-    return after.join(previous, "step", "left").select(
+    return counts.withColumn("_before", previous).select(
         "step",
         "stage",
         before.alias("rows_before"),

@@ -51,20 +51,21 @@ def running_totals(
 ) -> DataFrame:
     """Add `<c>_before` and `<c>_all` for every total column `c`.
 
-    `counts` has one row per (`by`, `value`). `<c>_before` sums `c` over smaller
+    `counts` has one row per (`by`, `value`), in a handful of groups. `<c>_before` sums `c` over smaller
     values of the same group, `<c>_all` over the whole group.
     """
     by = list(by)
     if rows is not None and rows <= SINGLE_TASK_ROWS:
         return _running_totals_small(counts, by, value, totals)
-    cuts = [i / slots for i in range(1, slots)]
-    edges = counts.groupBy(*by).agg(
-        F.percentile_approx(value, cuts, slots * 100).alias("_edges"),
-        *[F.sum(c).alias(f"{c}_all") for c in totals],
-    )
-    placed = counts.join(edges, by).withColumn(
-        "_slot", F.size(F.filter("_edges", lambda edge: edge < F.col(value)))
-    )
+    known = counts.withColumn("_group", _group_summary(counts, by, value, totals, slots))
+    slot = F.size(F.filter("_group._edges", lambda edge: edge < F.col(value)))
+    placed = known.withColumns(
+        {
+            # never null, so no null check is pushed below the counting
+            "_slot": F.coalesce(slot, F.lit(0)),
+            **{f"{c}_all": F.col(f"_group.{c}_all") for c in totals},
+        }
+    ).drop("_group")
     before = Window.partitionBy(*by).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
     slot_totals = placed.groupBy(*by, "_slot").agg(*[F.sum(c).alias(f"_{c}") for c in totals])
     offsets = slot_totals.select(
@@ -77,11 +78,37 @@ def running_totals(
         .orderBy(value)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
+    # the join and the window share one exchange by (group, slot)
     result = placed.join(offsets, [*by, "_slot"])
     for c in totals:
         running = F.coalesce(F.sum(c).over(inside), F.lit(0)) + F.col(f"_{c}_off")
         result = result.withColumn(f"{c}_before", running)
-    return result.drop("_edges", "_slot", *[f"_{c}_off" for c in totals])
+    return result.drop("_slot", *[f"_{c}_off" for c in totals])
+
+
+def _group_summary(
+    counts: DataFrame, by: list[str], value: str, totals: Sequence[str], slots: int
+) -> Column:
+    """Slot edges and whole totals of a row's group, as one scalar subquery.
+
+    Groups are the few metrics or keys of a report, so they fit a map; looking a group
+    up there keeps the counts where they are, where a join on so few keys would gather
+    each group in one task.
+    """
+    cuts = [i / slots for i in range(1, slots)]
+    summary = F.struct(
+        F.percentile_approx(value, cuts, slots * 100).alias("_edges"),
+        *[F.sum(c).alias(f"{c}_all") for c in totals],
+    )
+    # both readers of the edges must see the same ones: one evaluation of the subquery
+    if counts.sparkSession.conf.get("spark.sql.execution.reuseSubquery", "true") != "true":
+        raise RuntimeError("running_totals needs spark.sql.execution.reuseSubquery")
+    if not by:
+        return counts.agg(summary).scalar()
+    entries = counts.groupBy(*by).agg(summary.alias("_s")).agg(
+        F.map_from_entries(F.collect_list(F.struct(F.struct(*by), "_s")))
+    )
+    return F.element_at(entries.scalar(), F.struct(*by))
 
 
 def _running_totals_small(

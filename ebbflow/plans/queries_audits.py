@@ -8,9 +8,10 @@ from ebbflow.functions import month_label, to_double, to_int
 from ebbflow.operators import cleaning as cl
 from ebbflow.operators import profiling as pr
 from ebbflow.operators import quality as qu
+from ebbflow.operators.horizon import last_month
 from ebbflow.plans.registry import query
 from ebbflow.plans.sql import oracle
-from ebbflow.plans.stages import cohorts_of, labelled_stage, modelling_stage, silver_stage
+from ebbflow.plans.stages import cohorts_of, modelling_stage, silver_stage, windowed_stage
 from ebbflow.settings import REGIONAL
 from ebbflow.sources import delimited, files, layers, sinks
 from ebbflow.sources.samples import movements, order_movements, raw_movements
@@ -68,7 +69,7 @@ def delimited_ingest(spark, sf_dir):
     text, base = layers.new_path(spark, "text"), layers.new_path(spark, "months")
     raw_movements(spark, sf_dir).write.options(header=True, sep=";").csv(text)
     raw = delimited.conform(delimited.scan_delimited(spark, text))
-    sinks.write_months(cl.valid_movements(cl.typed(raw)), base)
+    sinks.write_months(cl.valid_movements(cl.typed(raw)), base, rebalance=True)
     stored = sinks.read_table(spark, base)
     return stored.groupBy("month", "region", "section").agg(
         F.count(F.lit(1)).alias("n_rows"),
@@ -92,9 +93,9 @@ def month_rewrite(spark, sf_dir):
     Januaries are replaced, not doubled, and the other months stay as they were."""
     base = layers.new_path(spark, "months")
     raw = delimited.conform(raw_movements(spark, sf_dir))
-    sinks.write_months(cl.valid_movements(cl.typed(raw)), base)
+    sinks.write_months(cl.valid_movements(cl.typed(raw)), base, rebalance=True)
     again = cl.valid_movements(cl.typed(raw, thousands_sep="."))
-    sinks.write_months(again.filter(F.col("month").endswith("01")), base)
+    sinks.write_months(again.filter(F.col("month").endswith("01")), base, rebalance=True)
     stored = sinks.read_table(spark, base)
     return stored.groupBy("month").agg(
         F.count(F.lit(1)).alias("n_rows"), F.count("salary").alias("n_salaries")
@@ -307,12 +308,9 @@ def duplicate_profiles(spark, sf_dir):
     ),
 )
 def attrition(spark, sf_dir):
-    raw = cl.typed(delimited.conform(raw_movements(spark, sf_dir)))
-    windowed = labelled_stage(spark, sf_dir)
-    stages = {
-        "raw": raw,
-        "valid": cl.valid_movements(raw),
-        "cohorts": cohorts_of(spark, sf_dir),
-        "eligible": windowed.table,
-    }
-    return qu.attrition(stages, minimum=5_000)
+    rows = cl.typed(delimited.conform(raw_movements(spark, sf_dir)))
+    windowed = windowed_stage(spark, sf_dir)
+    in_data = F.col("month_seq") <= last_month(windowed.table) - REGIONAL.outlook.horizon
+    ingested = qu.stage_counts(rows, {"raw": None, "valid": cl.is_valid()})
+    modelled = qu.stage_counts(windowed.table, {"cohorts": None, "eligible": in_data}, first=3)
+    return qu.attrition(ingested.unionByName(modelled), minimum=5_000)

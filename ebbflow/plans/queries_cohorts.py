@@ -13,12 +13,19 @@ from ebbflow.operators.cleaning import in_regions, rejected_counts, valid_moveme
 from ebbflow.plans.registry import query
 from ebbflow.plans.sql import PROFILE, age_band as sql_age, month_of, oracle, salary_band as sql_salary
 from ebbflow.plans.stages import cohorts_of, windowed_stage
-from ebbflow.settings import REGIONAL_CODES
+from ebbflow.settings import KEY_C, REGIONAL_CODES
+from ebbflow.sources.layers import materialise
 from ebbflow.sources.samples import movements, order_movements, table
 
 SIZE_THRESHOLDS = (2, 5, 10, 20, 50, 100)
 
 
+def _months(spark, sf_dir):
+    """One row per month present, counted once."""
+    counted = co.records_per_month(movements(spark, sf_dir, ["month_seq"]))
+    return materialise(counted, "months")
+
+
 @query(
     "records_per_month",
     oracle(
@@ -63,7 +70,7 @@ def month_ordinal(spark, sf_dir):
     ),
 )
 def month_coverage(spark, sf_dir):
-    return co.month_coverage(movements(spark, sf_dir, ["month_seq"]))
+    return co.month_coverage(_months(spark, sf_dir))
 
 
 @query(
@@ -180,9 +187,15 @@ def occupation_groups(spark, sf_dir):
     oracle("SELECT movement_type, balance, count(*) AS n FROM mv GROUP BY ALL", "mv"),
 )
 def type_sign_crosstab(spark, sf_dir):
-    return pr.crosstab(
-        movements(spark, sf_dir, ["movement_type", "balance"]), "movement_type", "balance"
+    """Counted per code first, so that the lookup of its type meets one row per code
+    and sign, however many movements a code has."""
+    codes = (
+        movements(spark, sf_dir, ["occupation", "balance"])
+        .groupBy(F.col("occupation").cast("bigint").alias("p_partkey"), "balance")
+        .agg(F.count(F.lit(1)).alias("n"))
     )
+    types = table(spark, sf_dir, "part").select("p_partkey", F.col("p_type").alias("movement_type"))
+    return pr.crosstab(codes.join(types, "p_partkey", "left"), "movement_type", "balance", "n")
 
 
 @query(
@@ -237,9 +250,8 @@ _FROM = ", ".join(
     ),
 )
 def cohort_granularity(spark, sf_dir):
-    from ebbflow.settings import KEY_C
-
-    return co.cohort_granularity(movements(spark, sf_dir, KEY_C))
+    sizes = materialise(co.cohort_sizes(movements(spark, sf_dir, KEY_C)), "sizes")
+    return co.cohort_granularity(sizes, rows=sizes.count())
 
 
 _STEPS = ", ".join(f"({t})" for t in SIZE_THRESHOLDS)
@@ -284,7 +296,7 @@ def forward_window(spark, sf_dir):
     ),
 )
 def forward_window_join(spark, sf_dir):
-    return ho.forward_window_join(cohorts_of(spark, sf_dir))
+    return ho.forward_window_join(materialise(cohorts_of(spark, sf_dir), "cohorts"))
 
 
 @query(
@@ -315,4 +327,4 @@ def right_censoring(spark, sf_dir):
     ),
 )
 def horizon_listing(spark, sf_dir):
-    return ho.horizon_listing(movements(spark, sf_dir, ["month_seq"]))
+    return ho.horizon_listing(_months(spark, sf_dir))

@@ -13,7 +13,7 @@ from ebbflow.plans.registry import query
 from ebbflow.plans.sql import oracle
 from ebbflow.plans.stages import parts_stage, silver_stage
 from ebbflow.settings import NATIONAL, REGIONAL
-from ebbflow.sources.layers import new_path
+from ebbflow.sources.layers import materialise, new_path
 from ebbflow.sources.sinks import upsert_metrics
 
 FEATURES = REGIONAL.features
@@ -168,22 +168,23 @@ def metrics_upsert(spark, sf_dir):
 
 
 def _fitted(spark, sf_dir, classifier):
-    train, test = le.split_parts(parts_stage(spark, sf_dir).table)
-    model, seconds = le.fit(train, classifier)
-    return model, le.predict(model, test), seconds
+    parts = parts_stage(spark, sf_dir)
+    train, test = le.split_parts(parts.table)
+    model, seconds = le.fit(train, classifier, rows=parts.rows)
+    return model, le.predict(model, test), seconds, parts.rows
 
 
 @query("lr_metrics")
 def lr_metrics(spark, sf_dir):
-    _, predictions, seconds = _fitted(spark, sf_dir, le.logistic_regression())
-    row = le.metrics_row(predictions, "logistic_regression", seconds)
+    _, predictions, seconds, n = _fitted(spark, sf_dir, le.logistic_regression())
+    row = le.metrics_row(predictions, "logistic_regression", seconds, rows=n)
     return row.withColumn("auc_binned", F.lit(le.area_under_roc(predictions)))
 
 
 @query("rf_metrics")
 def rf_metrics(spark, sf_dir):
-    _, predictions, seconds = _fitted(spark, sf_dir, le.random_forest())
-    row = le.metrics_row(predictions, "random_forest", seconds)
+    _, predictions, seconds, n = _fitted(spark, sf_dir, le.random_forest())
+    row = le.metrics_row(predictions, "random_forest", seconds, rows=n)
     return row.withColumn("auc_binned", F.lit(le.area_under_roc(predictions)))
 
 
@@ -191,70 +192,77 @@ def rf_metrics(spark, sf_dir):
 def national_lr_metrics(spark, sf_dir):
     """The other parameterisation: numeric first, unknown categories kept."""
     features = NATIONAL.features
-    train, test = le.split_parts(parts_stage(spark, sf_dir, NATIONAL).table)
-    model, seconds = le.fit(train, le.logistic_regression(features), features)
-    return le.metrics_row(le.predict(model, test), "logistic_regression", seconds)
+    parts = parts_stage(spark, sf_dir, NATIONAL)
+    train, test = le.split_parts(parts.table)
+    model, seconds = le.fit(train, le.logistic_regression(features), features, parts.rows)
+    predictions = le.predict(model, test)
+    return le.metrics_row(predictions, "logistic_regression", seconds, rows=parts.rows)
 
 
 @query("model_comparison")
 def model_comparison(spark, sf_dir):
     """Baseline, regression and forest on one split, the recommended one marked."""
-    parts = parts_stage(spark, sf_dir).table
-    train, test = le.split_parts(parts)
-    rows = [le.baseline_row(parts)]
+    parts = parts_stage(spark, sf_dir)
+    train, test = le.split_parts(parts.table)
+    rows = [le.baseline_row(parts.table)]
     for name, classifier in (
         ("logistic_regression", le.logistic_regression()),
         ("random_forest", le.random_forest()),
     ):
-        model, seconds = le.fit(train, classifier)
-        rows.append(le.metrics_row(le.predict(model, test), name, seconds))
-    metrics = reduce(DataFrame.unionByName, rows)
+        model, seconds = le.fit(train, classifier, rows=parts.rows)
+        predictions = le.predict(model, test)
+        rows.append(le.metrics_row(predictions, name, seconds, rows=parts.rows))
+    # a few rows, each from its own model: evaluated once, then compared
+    metrics = materialise(reduce(DataFrame.unionByName, rows), "metrics")
     best = le.recommended(metrics).select("model").scalar()
     return metrics.withColumn("recommended", F.col("model") == best)
 
 
 @query("feature_importance")
 def feature_importance(spark, sf_dir):
-    model, predictions, _ = _fitted(spark, sf_dir, le.random_forest())
+    model, predictions, *_ = _fitted(spark, sf_dir, le.random_forest())
     return le.feature_importance(model, predictions)
 
 
 @query("source_importance")
 def source_importance(spark, sf_dir):
-    model, predictions, _ = _fitted(spark, sf_dir, le.random_forest())
+    model, predictions, *_ = _fitted(spark, sf_dir, le.random_forest())
     return le.source_importance(le.feature_importance(model, predictions))
 
 
 @query("lr_coefficients")
 def lr_coefficients(spark, sf_dir):
-    model, predictions, _ = _fitted(spark, sf_dir, le.logistic_regression())
+    model, predictions, *_ = _fitted(spark, sf_dir, le.logistic_regression())
     return le.coefficients(model, predictions)
 
 
 @query("tuning_report")
 def tuning_report(spark, sf_dir):
     """Validation AUC of the eight combinations, best first."""
-    train, test = le.split_parts(parts_stage(spark, sf_dir).table)
-    model, records, _ = le.tune(train)
+    parts = parts_stage(spark, sf_dir)
+    train, test = le.split_parts(parts.table)
+    model, records, _ = le.tune(train, rows=parts.rows)
     return le.tuning_grid_report(records, le.predict(model, test))
 
 
 @query("tuning_comparison")
 def tuning_comparison(spark, sf_dir):
     """Base forest against the tuned one on the test part, metric by metric."""
-    train, test = le.split_parts(parts_stage(spark, sf_dir).table)
-    base, base_seconds = le.fit(train, le.random_forest())
-    tuned, _, tuned_seconds = le.tune(train)
+    parts = parts_stage(spark, sf_dir)
+    n = parts.rows
+    train, test = le.split_parts(parts.table)
+    base, base_seconds = le.fit(train, le.random_forest(), rows=n)
+    tuned, _, tuned_seconds = le.tune(train, rows=n)
     return le.tuning_comparison(
-        le.metrics_row(le.predict(base, test), "random_forest", base_seconds),
-        le.metrics_row(le.predict(tuned, test), "random_forest_tuned", tuned_seconds),
+        le.metrics_row(le.predict(base, test), "random_forest", base_seconds, rows=n),
+        le.metrics_row(le.predict(tuned, test), "random_forest_tuned", tuned_seconds, rows=n),
     )
 
 
 @query("model_reload")
 def model_reload(spark, sf_dir):
     """Save, load, predict: rows where the loaded model disagrees (must be none)."""
-    model, predictions, _ = _fitted(spark, sf_dir, le.logistic_regression())
+    model, predictions, *_ = _fitted(spark, sf_dir, le.logistic_regression())
     loaded = le.save_model(model, new_path(spark, "model"))
     _, test = le.split_parts(parts_stage(spark, sf_dir).table)
     keys = list(le.COHORT_KEY)

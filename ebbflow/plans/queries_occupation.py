@@ -3,32 +3,40 @@
 from __future__ import annotations
 
 from ebbflow.operators import occupation as oc
+from ebbflow.operators.cohorts import fine_counts, roll_up
 from ebbflow.plans.registry import query
 from ebbflow.plans.sql import PROFILE, oracle
-from ebbflow.plans.stages import labelled_stage
+from ebbflow.plans.stages import label_cohorts
 from ebbflow.settings import REGIONAL
 from ebbflow.sources.layers import materialise
 from ebbflow.sources.samples import movements
 
-COLUMNS = ("month_seq", "region", "section", "age_band", "occupation_group")
+COLUMNS = ("month_seq", "region", "section", "age_band", "occupation_group", "balance")
 
 
-def _dominant(spark, sf_dir):
-    return oc.dominant_occupation(movements(spark, sf_dir, COLUMNS))
+def _counts(spark, sf_dir):
+    return fine_counts(movements(spark, sf_dir, COLUMNS), ["occupation_group"])
+
+
+def _both(spark, sf_dir):
+    """Labelled cohorts and dominant occupations from one pass over the movements."""
+    counts = materialise(_counts(spark, sf_dir), "occupation_counts")
+    labelled = label_cohorts(roll_up(counts))
+    return labelled.table, oc.dominant_occupation(counts)
 
 
 def _joined(spark, sf_dir):
-    return oc.dominant_join(labelled_stage(spark, sf_dir).table, _dominant(spark, sf_dir))
+    return oc.dominant_join(*_both(spark, sf_dir))
 
 
 @query("occupation_share", oracle("SELECT * FROM occ", "occ"))
 def occupation_share(spark, sf_dir):
-    return oc.occupation_share(movements(spark, sf_dir, COLUMNS))
+    return oc.occupation_share(_counts(spark, sf_dir))
 
 
 @query("dominant_occupation", oracle("SELECT * FROM dominant", "dominant"))
 def dominant_occupation(spark, sf_dir):
-    return _dominant(spark, sf_dir)
+    return oc.dominant_occupation(_counts(spark, sf_dir))
 
 
 @query("dominant_join", oracle("SELECT * FROM occ_label", "occ_label"))
@@ -98,12 +106,9 @@ def _fanout(keys: str) -> str:
 @query("join_fanout_audit", _fanout("month_seq, region, section"))
 def join_fanout_audit(spark, sf_dir):
     """The age band left out of the key: the join multiplies cohorts."""
-    labelled = labelled_stage(spark, sf_dir).table
-    keys = ["month_seq", "region", "section"]
-    return oc.join_fanout_audit(labelled, _dominant(spark, sf_dir), keys)
+    return oc.join_fanout_audit(*_both(spark, sf_dir), ["month_seq", "region", "section"])
 
 
 @query("join_fanout_audit_full_key", _fanout(f"month_seq, {PROFILE}"))
 def join_fanout_audit_full_key(spark, sf_dir):
-    labelled = labelled_stage(spark, sf_dir).table
-    return oc.join_fanout_audit(labelled, _dominant(spark, sf_dir), REGIONAL.keys.columns)
+    return oc.join_fanout_audit(*_both(spark, sf_dir), REGIONAL.keys.columns)

@@ -30,25 +30,32 @@ def cohorts_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cohort_month(movements(spark, sf_dir, COHORT_COLUMNS))
 
 
-def windowed_stage(spark: SparkSession, sf_dir: str, study: Study = REGIONAL) -> Stage:
+def window_cohorts(cohorts: DataFrame, study: Study = REGIONAL) -> Stage:
     """Cohort-months with their forward counts, written once.
 
     Everything after this point reads the small table, never the movements.
     """
-    table = forward_window(cohorts_of(spark, sf_dir), study.keys, study.outlook)
-    stored = materialise(table, "windowed")
+    stored = materialise(forward_window(cohorts, study.keys, study.outlook), "windowed")
     return Stage(stored, stored.count())
 
 
+def label_cohorts(cohorts: DataFrame, study: Study = REGIONAL) -> Stage:
+    windowed = window_cohorts(cohorts, study)
+    kept = eligible(windowed.table, study.keys, study.outlook)
+    return Stage(with_label(kept, study.keys, study.outlook, windowed.rows), windowed.rows)
+
+
+def windowed_stage(spark: SparkSession, sf_dir: str, study: Study = REGIONAL) -> Stage:
+    return window_cohorts(cohorts_of(spark, sf_dir), study)
+
+
 def eligible_stage(spark: SparkSession, sf_dir: str, study: Study = REGIONAL) -> Stage:
     windowed = windowed_stage(spark, sf_dir, study)
     return Stage(eligible(windowed.table, study.keys, study.outlook), windowed.rows)
 
 
 def labelled_stage(spark: SparkSession, sf_dir: str, study: Study = REGIONAL) -> Stage:
-    cohorts = eligible_stage(spark, sf_dir, study)
-    labelled = with_label(cohorts.table, study.keys, study.outlook, cohorts.rows)
-    return Stage(labelled, cohorts.rows)
+    return label_cohorts(cohorts_of(spark, sf_dir), study)
 
 
 def modelling_stage(spark: SparkSession, sf_dir: str, study: Study = REGIONAL) -> Stage:

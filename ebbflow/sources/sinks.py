@@ -10,15 +10,20 @@ from pyspark.sql import functions as F
 from ebbflow.functions import is_blank
 
 
-def write_months(df: DataFrame, base: str, month: str = "month") -> None:
+def write_months(
+    df: DataFrame, base: str, month: str = "month", rebalance: bool = False
+) -> None:
     """Replace exactly the months present in `df`; leave the others alone.
 
     A movement file holds one month, so a task holds one or two and writes as many
-    files: no shuffle is needed before the write.
+    files: no shuffle is needed. For rows in any other order ask for `rebalance`, which
+    brings each month's rows together and splits a large month over several tasks.
     """
+    rows = df.withColumn("competencia", F.col(month))
+    if rebalance:
+        rows = rows.hint("rebalance", F.col("competencia"))
     (
-        df.withColumn("competencia", F.col(month))
-        .write.partitionBy("competencia")
+        rows.write.partitionBy("competencia")
         .option("partitionOverwriteMode", "dynamic")
         .mode("overwrite")
         .parquet(base)
