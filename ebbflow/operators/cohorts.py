@@ -166,14 +166,18 @@ def missing_months(
     return month_coverage(counts, first, last).filter(~F.col("present")).select("month")
 
 
-def region_year_counts(movements: DataFrame, labels: DataFrame) -> DataFrame:
+def region_year_counts(
+    movements: DataFrame, labels: DataFrame, weight: str | None = None
+) -> DataFrame:
     """Rows per region and year with totals; null region or year marks a total.
 
-    `labels` (region, region_name) is joined after counting.
+    `labels` (region, region_name) is joined after counting. With `weight` the input
+    is already counted.
     """
+    n = F.sum(weight) if weight else F.count(F.lit(1))
     counted = (
         movements.groupBy("month_seq", "region")
-        .agg(F.count(F.lit(1)).alias("_n"))
+        .agg(n.alias("_n"))
         .withColumn("year", F.floor((F.col("month_seq") - 1) / 12).cast("int"))
         .cube("region", "year")
         .agg(F.sum("_n").alias("n_rows"))

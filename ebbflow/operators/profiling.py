@@ -73,6 +73,17 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.agg(*summaries).select(F.inline(F.array(*names)))
 
 
+def period_bounds(df: DataFrame, month: str = "month") -> DataFrame:
+    """First and last month, months present and rows: one row."""
+    per_month = df.groupBy(month).agg(F.count(F.lit(1)).alias("_n"))
+    return per_month.agg(
+        F.min(month).alias("first_month"),
+        F.max(month).alias("last_month"),
+        F.count(F.lit(1)).alias("n_months"),
+        F.sum("_n").alias("n_rows"),
+    )
+
+
 def numeric_profile(df: DataFrame, columns: Sequence[str], rows: int | None = None) -> DataFrame:
     """`describe` plus exact quantiles."""
     quantiles = exact_quantiles(df, columns, PROFILE_QUANTILES, rows=rows)

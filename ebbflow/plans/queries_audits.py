@@ -266,6 +266,18 @@ def category_profile(spark, sf_dir):
     return pr.category_profile(modelling_stage(spark, sf_dir).table, _CATEGORIES)
 
 
+@query(
+    "period_bounds",
+    oracle(
+        """SELECT min(month) AS first_month, max(month) AS last_month,
+        count(DISTINCT month) AS n_months, count(*) AS n_rows FROM modelling""",
+        "modelling",
+    ),
+)
+def period_bounds(spark, sf_dir):
+    return pr.period_bounds(modelling_stage(spark, sf_dir).table)
+
+
 @query(
     "duplicate_keys",
     oracle(

@@ -6,6 +6,7 @@ from ebbflow.sources.layers import materialise, shared_folder
 from ebbflow.sources.sinks import (
     read_table,
     readback_report,
+    store_metrics,
     upsert_metrics,
     write_months,
     write_partitioned,
@@ -23,6 +24,7 @@ __all__ = [
     "readback_report",
     "scan_delimited",
     "shared_folder",
+    "store_metrics",
     "upsert_metrics",
     "write_months",
     "write_partitioned",

@@ -102,3 +102,18 @@ def upsert_metrics(
     latest = Window.partitionBy(key).orderBy(F.col(version).desc())
     both = stored.unionByName(new)
     return both.withColumn("_rn", F.row_number().over(latest)).filter("_rn = 1").drop("_rn")
+
+
+def store_metrics(new: DataFrame, base: str, key: str = "model") -> DataFrame:
+    """Append `new` as the next run below `base` and return the latest row per `key`.
+
+    Runs are folders of their own, so nothing is rewritten in place and a failed write
+    costs no earlier row.
+    """
+    spark = new.sparkSession
+    run = 1
+    if _exists(spark, base):
+        run += spark.read.parquet(base).agg(F.coalesce(F.max("run"), F.lit(0))).first()[0]
+    new.write.mode("overwrite").parquet(f"{base}/run={run}")
+    stored = spark.read.parquet(base)
+    return upsert_metrics(stored.filter(F.col("run") < run), stored.filter(F.col("run") == run), key)
