@@ -31,9 +31,12 @@ def percent(part: Column, whole: Column, digits: int = 6) -> Column:
 
 
 def is_blank(column: Column, data_type: str = "string") -> Column:
-    """Null, empty after trimming, or NaN."""
-    blank = column.isNull() | (F.trim(column.cast("string")) == "")
-    return blank | F.isnan(column) if data_type in ("double", "float") else blank
+    """Null, empty after trimming (text) or NaN (floating point)."""
+    if data_type in ("double", "float"):
+        return column.isNull() | F.isnan(column)
+    if data_type == "string":
+        return column.isNull() | (F.trim(column) == "")
+    return column.isNull()
 
 
 def hash_percent(columns: list[Column], seed: int = 42) -> Column:
