@@ -10,6 +10,7 @@ from ebbflow.operators import labels as la
 from ebbflow.operators import splits as sp
 from ebbflow.operators.features import silver
 from ebbflow.operators.quality import leakage_audit, schema_diff
+from ebbflow.operators.ranking import approximate_quantiles
 from ebbflow.plans.registry import query
 from ebbflow.plans.sql import COHORT_KEY, PROFILE, hash_percent, oracle
 from ebbflow.plans.stages import (
@@ -56,6 +57,13 @@ def indicator_quantiles_slotted(spark, sf_dir):
     return la.indicator_quantiles(eligible_stage(spark, sf_dir).table)
 
 
+@query("indicator_quantiles_sketch")
+def indicator_quantiles_sketch(spark, sf_dir):
+    """From a mergeable sketch: ranks off by at most a ten-thousandth."""
+    cohorts = eligible_stage(spark, sf_dir).table
+    return approximate_quantiles(cohorts, [la.indicator()], la.INDICATOR_QUANTILES)
+
+
 @query("turnover_label", oracle("SELECT * FROM labelled", "labelled"))
 def turnover_label(spark, sf_dir):
     return labelled_stage(spark, sf_dir).table

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.ml import Pipeline
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -218,6 +219,14 @@ def model_comparison(spark, sf_dir):
     return metrics.withColumn("recommended", F.col("model") == best)
 
 
+@query("feature_names")
+def feature_names(spark, sf_dir):
+    """Slot and name of the assembled vector, read from its metadata."""
+    rows = silver_stage(spark, sf_dir).table
+    vectors = Pipeline(stages=le.feature_stages()).fit(rows).transform(rows)
+    return le.feature_names(vectors)
+
+
 @query("feature_importance")
 def feature_importance(spark, sf_dir):
     model, predictions, *_ = _fitted(spark, sf_dir, le.random_forest())

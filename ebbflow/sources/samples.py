@@ -16,19 +16,6 @@ from pyspark.sql import functions as F
 
 from ebbflow.functions import age_band, leading_digits, salary_band
 
-MOVEMENT_COLUMNS = (
-    "month_seq",
-    "region",
-    "section",
-    "age",
-    "salary",
-    "occupation",
-    "schooling",
-    "sex",
-    "movement_type",
-    "balance",
-)
-
 # Declared, so that opening a table costs no schema-inference job.
 SCHEMAS = {
     "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
@@ -53,33 +40,42 @@ def _ordinal(timestamp: str) -> Column:
     return F.year(timestamp) * 12 + F.month(timestamp)
 
 
-def _typed(name: str) -> Column:
-    columns = {
-        "month_seq": _ordinal("l_shipdate"),
-        "region": F.col("s_nationkey"),
-        "section": F.col("l_returnflag"),
-        "age": F.floor(F.col("l_quantity") * 1.6).cast("int"),
-        "salary": F.col("l_extendedprice") / 10,
-        "occupation": F.col("l_partkey").cast("string"),
-        "schooling": F.col("o_orderpriority"),
-        "sex": F.col("l_linenumber") % 2,
-        "movement_type": F.col("p_type"),
-        "balance": F.when(F.col("l_linestatus") == "O", 1).when(
-            F.col("l_linestatus") == "F", -1
-        ),
-    }
-    derived = {
-        "age_band": age_band(columns["age"]),
-        "salary_band": salary_band(columns["salary"]),
-        "occupation_group": leading_digits(columns["occupation"]),
-    }
-    return {**columns, **derived}[name].alias(name)
-
-
-def movements(
-    spark: SparkSession, sf_dir: str, columns: Iterable[str] = MOVEMENT_COLUMNS
-) -> DataFrame:
-    """Movement rows with the given columns (bands may be asked for directly)."""
+def _age() -> Column:
+    return F.floor(F.col("l_quantity") * 1.6).cast("int")
+
+
+def _salary() -> Column:
+    return F.col("l_extendedprice") / 10
+
+
+def _occupation() -> Column:
+    return F.col("l_partkey").cast("string")
+
+
+def _balance() -> Column:
+    return F.when(F.col("l_linestatus") == "O", 1).when(F.col("l_linestatus") == "F", -1)
+
+
+# built on demand: a query pays only for the columns it names
+_TYPED = {
+    "month_seq": lambda: _ordinal("l_shipdate"),
+    "region": lambda: F.col("s_nationkey"),
+    "section": lambda: F.col("l_returnflag"),
+    "age": _age,
+    "salary": _salary,
+    "occupation": _occupation,
+    "schooling": lambda: F.col("o_orderpriority"),
+    "sex": lambda: F.col("l_linenumber") % 2,
+    "movement_type": lambda: F.col("p_type"),
+    "balance": _balance,
+    "age_band": lambda: age_band(_age()),
+    "salary_band": lambda: salary_band(_salary()),
+    "occupation_group": lambda: leading_digits(_occupation()),
+}
+
+
+def movements(spark: SparkSession, sf_dir: str, columns: Iterable[str]) -> DataFrame:
+    """Movement rows with the given columns (see `_TYPED`; bands may be asked for directly)."""
     columns = list(columns)
     rows = table(spark, sf_dir, "lineitem")
     if "region" in columns:
@@ -91,7 +87,7 @@ def movements(
     if "movement_type" in columns:
         part = table(spark, sf_dir, "part")
         rows = rows.join(part, rows["l_partkey"] == part["p_partkey"], "left")
-    return rows.select(*[_typed(c) for c in columns])
+    return rows.select(*[_TYPED[c]().alias(c) for c in columns])
 
 
 def raw_movements(spark: SparkSession, sf_dir: str) -> DataFrame:
