@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ebbflow.operators import cleaning as cl
-from ebbflow.sources import delimited, files, layers, sinks
+from ebbflow.sources import delimited, files, layers, naming, sinks
 from ebbflow.streaming import ingest_new_files
 
 HEADER = " CompetênciaMov ;uf;Seção;idade;graudeinstrução;cbo2002ocupação;sexo;{};saldomovimentação;categoria"
@@ -138,6 +138,20 @@ def test_reports(spark, tmp_path, kind):
     assert back.first().model == "a"
 
 
+def test_published_names_round_trip(spark, tmp_path):
+    """A month table written under the published names feeds the operators."""
+    schema = "competênciamov string, uf int, seção string, idade int, saldomovimentação int"
+    base = str(tmp_path / "theirs")
+    published = spark.createDataFrame([("202401", 21, "G", 30, 1)], schema)
+    published.write.parquet(f"{base}/competencia=202401")
+    ours = naming.from_published(spark.read.parquet(base))
+    assert cl.valid_movements(ours).count() == 1
+    assert {"month", "region", "section", "age", "balance"} < set(ours.columns)
+    back = naming.to_published(ours).drop("competencia")
+    assert back.columns == published.columns
+    assert len(set(naming.NATIONAL_NAMES.values())) == len(naming.NATIONAL_NAMES)
+
+
 def fake_session(master, named=None):
     conf = SimpleNamespace(get=lambda key, default=None: named)
     context = SimpleNamespace(
