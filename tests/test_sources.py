@@ -140,7 +140,7 @@ def test_reports(spark, tmp_path, kind):
 
 def test_published_names_round_trip(spark, tmp_path):
     """A month table written under the published names feeds the operators."""
-    schema = "competênciamov string, uf int, seção string, idade int, saldomovimentação int"
+    schema = ["competênciamov", "uf", "seção", "idade", "saldomovimentação"]
     base = str(tmp_path / "theirs")
     published = spark.createDataFrame([("202401", 21, "G", 30, 1)], schema)
     published.write.parquet(f"{base}/competencia=202401")
