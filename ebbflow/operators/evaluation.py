@@ -71,7 +71,9 @@ def auc_rank(
     won = F.sum(F.col("pos").cast("double") * (F.col("neg_before") + F.col("neg") / 2))
     pairs = F.max(F.col("pos_all").cast("double") * F.col("neg_all"))
     return ranked.agg(
-        F.max("pos_all").alias("n_pos"), F.max("neg_all").alias("n_neg"), guarded_ratio(won, pairs).alias("auc")
+        F.max("pos_all").alias("n_pos"),
+        F.max("neg_all").alias("n_neg"),
+        guarded_ratio(won, pairs).alias("auc"),
     )
 
 

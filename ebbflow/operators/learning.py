@@ -243,7 +243,8 @@ def tune(
     """Grid search on a train/validation split.
 
     The features are prepared once and the vectors held, so each combination costs
-    one forest; `parallelism` forests grow at a time and share the executors. Returns the best pipeline, one record per combination and seconds.
+    one forest; `parallelism` forests grow at a time and share the executors. Returns
+    the best pipeline, one record per combination and seconds.
     """
     forest = random_forest(features)
     grid = (

@@ -91,9 +91,9 @@ def readback_report(
         (F.count_if(F.col(label) == 1) if label else none).alias("n_label_1"),
     )
     before = expected.agg(F.count(F.lit(1)).alias("rows_before"))
-    return after.select(
-        before.scalar().alias("rows_before"), "*", F.lit(_exists(spark, f"{base}/_SUCCESS")).alias("success_marker")
-    ).withColumn("rows_match", F.col("rows_before") == F.col("rows_after"))
+    marker = F.lit(_exists(spark, f"{base}/_SUCCESS")).alias("success_marker")
+    report = after.select(before.scalar().alias("rows_before"), "*", marker)
+    return report.withColumn("rows_match", F.col("rows_before") == F.col("rows_after"))
 
 
 def upsert_metrics(
