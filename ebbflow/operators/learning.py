@@ -27,6 +27,7 @@ from ebbflow.operators.evaluation import (
 )
 from ebbflow.operators.quality import require_no_leakage
 from ebbflow.settings import REGIONAL, FeatureSet
+from ebbflow.sources.layers import materialise
 
 SEED = 42
 ROWS_PER_TASK = 10_000
@@ -122,25 +123,37 @@ def predict(model: PipelineModel, rows: DataFrame) -> DataFrame:
     return scored.withColumn("score", vector_to_array("probability")[1])
 
 
-def area_under_roc(predictions: DataFrame, label: str = FEATURES.label) -> float:
+def scores(
+    model: PipelineModel, rows: DataFrame, label: str = FEATURES.label
+) -> DataFrame:
+    """(label, prediction, score) of every row, written once: the model is applied a
+    single time however many metrics are then taken."""
+    return materialise(predict(model, rows).select(label, "prediction", "score"), "scores")
+
+
+def area_under_roc(scored: DataFrame, label: str = FEATURES.label) -> float:
     """MLlib's evaluator (scores binned); `evaluation.auc_rank` is the exact one."""
     evaluator = BinaryClassificationEvaluator(
-        labelCol=label, rawPredictionCol="rawPrediction", metricName="areaUnderROC"
+        labelCol=label, rawPredictionCol="score", metricName="areaUnderROC"
     )
-    return evaluator.evaluate(predictions)
+    return evaluator.evaluate(scored)
 
 
 def metrics_row(
-    predictions: DataFrame,
+    scored: DataFrame,
     model: str,
     seconds: float,
     label: str = FEATURES.label,
     rows: int | None = None,
 ) -> DataFrame:
-    """One comparison row per model, AUC taken exactly from ranks."""
-    rates = classification_metrics(confusion_matrix(predictions, label))
-    auc = auc_rank(predictions, label, rows=rows).select("auc").scalar()
-    return rates.withColumn("auc_roc", auc).select(
+    """One comparison row per model from its `scores`, AUC taken exactly from ranks."""
+    rates = classification_metrics(confusion_matrix(scored, label))
+    auc = auc_rank(scored, label, rows=rows).select("auc").scalar()
+    return _comparison_row(rates.withColumn("auc_roc", auc), model, seconds)
+
+
+def _comparison_row(rates: DataFrame, model: str, seconds: float) -> DataFrame:
+    return rates.select(
         F.lit(model).alias("model"),
         *[F.round(c, 6).alias(c) for c in METRICS_COLUMNS],
         "tn",
@@ -155,16 +168,7 @@ def metrics_row(
 def baseline_row(parts: DataFrame, label: str = FEATURES.label) -> DataFrame:
     """The majority-class row of the comparison; a constant ranks nothing, AUC 0.5."""
     rates = classification_metrics(confusion_matrix(baseline_predictions(parts, label), label))
-    return rates.withColumn("auc_roc", F.lit(0.5)).select(
-        F.lit("baseline").alias("model"),
-        *[F.round(c, 6).alias(c) for c in METRICS_COLUMNS],
-        "tn",
-        "fp",
-        "fn",
-        "tp",
-        F.lit(0.0).alias("training_seconds"),
-        F.lit(SEED).alias("seed"),
-    )
+    return _comparison_row(rates.withColumn("auc_roc", F.lit(0.5)), "baseline", 0.0)
 
 
 def recommended(metrics: DataFrame) -> DataFrame:

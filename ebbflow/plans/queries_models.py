@@ -169,24 +169,28 @@ def metrics_upsert(spark, sf_dir):
 
 
 def _fitted(spark, sf_dir, classifier):
+    """The fitted pipeline, its test rows, its seconds and a bound on the rows."""
     parts = parts_stage(spark, sf_dir)
     train, test = le.split_parts(parts.table)
     model, seconds = le.fit(train, classifier, rows=parts.rows)
-    return model, le.predict(model, test), seconds, parts.rows
+    return model, test, seconds, parts.rows
+
+
+def _metrics(spark, sf_dir, classifier, name):
+    model, test, seconds, n = _fitted(spark, sf_dir, classifier)
+    scored = le.scores(model, test)
+    row = le.metrics_row(scored, name, seconds, rows=n)
+    return row.withColumn("auc_binned", F.lit(le.area_under_roc(scored)))
 
 
 @query("lr_metrics")
 def lr_metrics(spark, sf_dir):
-    _, predictions, seconds, n = _fitted(spark, sf_dir, le.logistic_regression())
-    row = le.metrics_row(predictions, "logistic_regression", seconds, rows=n)
-    return row.withColumn("auc_binned", F.lit(le.area_under_roc(predictions)))
+    return _metrics(spark, sf_dir, le.logistic_regression(), "logistic_regression")
 
 
 @query("rf_metrics")
 def rf_metrics(spark, sf_dir):
-    _, predictions, seconds, n = _fitted(spark, sf_dir, le.random_forest())
-    row = le.metrics_row(predictions, "random_forest", seconds, rows=n)
-    return row.withColumn("auc_binned", F.lit(le.area_under_roc(predictions)))
+    return _metrics(spark, sf_dir, le.random_forest(), "random_forest")
 
 
 @query("national_lr_metrics")
@@ -196,8 +200,7 @@ def national_lr_metrics(spark, sf_dir):
     parts = parts_stage(spark, sf_dir, NATIONAL)
     train, test = le.split_parts(parts.table)
     model, seconds = le.fit(train, le.logistic_regression(features), features, parts.rows)
-    predictions = le.predict(model, test)
-    return le.metrics_row(predictions, "logistic_regression", seconds, rows=parts.rows)
+    return le.metrics_row(le.scores(model, test), "logistic_regression", seconds, rows=parts.rows)
 
 
 @query("model_comparison")
@@ -211,8 +214,7 @@ def model_comparison(spark, sf_dir):
         ("random_forest", le.random_forest()),
     ):
         model, seconds = le.fit(train, classifier, rows=parts.rows)
-        predictions = le.predict(model, test)
-        rows.append(le.metrics_row(predictions, name, seconds, rows=parts.rows))
+        rows.append(le.metrics_row(le.scores(model, test), name, seconds, rows=parts.rows))
     # a few rows, each from its own model: evaluated once, then compared
     metrics = materialise(reduce(DataFrame.unionByName, rows), "metrics")
     best = le.recommended(metrics).select("model").scalar()
@@ -229,20 +231,20 @@ def feature_names(spark, sf_dir):
 
 @query("feature_importance")
 def feature_importance(spark, sf_dir):
-    model, predictions, *_ = _fitted(spark, sf_dir, le.random_forest())
-    return le.feature_importance(model, predictions)
+    model, test, *_ = _fitted(spark, sf_dir, le.random_forest())
+    return le.feature_importance(model, le.predict(model, test))
 
 
 @query("source_importance")
 def source_importance(spark, sf_dir):
-    model, predictions, *_ = _fitted(spark, sf_dir, le.random_forest())
-    return le.source_importance(le.feature_importance(model, predictions))
+    model, test, *_ = _fitted(spark, sf_dir, le.random_forest())
+    return le.source_importance(le.feature_importance(model, le.predict(model, test)))
 
 
 @query("lr_coefficients")
 def lr_coefficients(spark, sf_dir):
-    model, predictions, *_ = _fitted(spark, sf_dir, le.logistic_regression())
-    return le.coefficients(model, predictions)
+    model, test, *_ = _fitted(spark, sf_dir, le.logistic_regression())
+    return le.coefficients(model, le.predict(model, test))
 
 
 @query("tuning_report")
@@ -263,21 +265,20 @@ def tuning_comparison(spark, sf_dir):
     base, base_seconds = le.fit(train, le.random_forest(), rows=n)
     tuned, _, tuned_seconds = le.tune(train, rows=n)
     return le.tuning_comparison(
-        le.metrics_row(le.predict(base, test), "random_forest", base_seconds, rows=n),
-        le.metrics_row(le.predict(tuned, test), "random_forest_tuned", tuned_seconds, rows=n),
+        le.metrics_row(le.scores(base, test), "random_forest", base_seconds, rows=n),
+        le.metrics_row(le.scores(tuned, test), "random_forest_tuned", tuned_seconds, rows=n),
     )
 
 
 @query("model_reload")
 def model_reload(spark, sf_dir):
     """Save, load, predict: rows where the loaded model disagrees (must be none)."""
-    model, predictions, *_ = _fitted(spark, sf_dir, le.logistic_regression())
+    model, test, *_ = _fitted(spark, sf_dir, le.logistic_regression())
     loaded = le.save_model(model, new_path(spark, "model"))
-    _, test = le.split_parts(parts_stage(spark, sf_dir).table)
     keys = list(le.COHORT_KEY)
+    first = le.predict(model, test).select(*keys, "prediction")
     again = le.predict(loaded, test).select(*keys, F.col("prediction").alias("_again"))
-    compared = predictions.join(again, keys)
-    return compared.agg(
+    return first.join(again, keys).agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count_if(F.col("prediction") != F.col("_again")).alias("n_different"),
     )

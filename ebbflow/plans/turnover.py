@@ -162,8 +162,8 @@ def train(
     rows = [le.baseline_row(parts, features.label)]
     for name, (model, seconds) in fitted.items():
         loaded = le.save_model(model, f"{base}/models/{name}")
-        predictions = le.predict(loaded, test_rows)
-        rows.append(le.metrics_row(predictions, name, seconds, features.label, n))
+        scored = le.scores(loaded, test_rows, features.label)
+        rows.append(le.metrics_row(scored, name, seconds, features.label, n))
     return sinks.store_metrics(reduce(DataFrame.unionByName, rows), f"{base}/metrics")
 
 

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ebbflow.operators import cleaning as cl
+from ebbflow.operators.quality import schema_diff
 from ebbflow.sources import delimited, files, layers, naming, sinks
 from ebbflow.streaming import ingest_new_files
 
@@ -68,6 +69,32 @@ def test_clean_counts_rejections(spark, tmp_path):
     }
 
 
+def test_families_are_compared_by_schema(spark, tmp_path):
+    """Exclusion files carry two columns the movement files lack; late ones none."""
+    mov = write(tmp_path, "LABORMOV202412.txt")
+    late = write(tmp_path, "LABORFOR202412.txt", rows=ROWS[:2])
+    gone = tmp_path / "LABOREXC202412.txt"
+    extra = ";".join([HEADER.format("salário"), "competênciaexc", "indicadordeexclusão"])
+    gone.write_text("\n".join([extra, *[f"{r};202412;1" for r in ROWS[:3]]]), encoding="utf-8")
+    tables = {
+        name: delimited.scan_delimited(spark, path).drop("file_name", delimited.CORRUPT)
+        for name, path in (("MOV", mov), ("EXC", str(gone)), ("FOR", late))
+    }
+    found = {(r.table_name, r.n_rows, r.exclusive_column) for r in schema_diff(tables).collect()}
+    assert found == {
+        ("MOV", 6, None),
+        ("FOR", 2, None),
+        ("EXC", 3, "competênciaexc"),
+        ("EXC", 3, "indicadordeexclusão"),
+    }
+    every = delimited.read_movement_files(spark, [mov, late, str(gone)], family=None)
+    assert {(r.family, r["count"]) for r in every.groupBy("family").count().collect()} == {
+        ("MOV", 6),
+        ("FOR", 2),
+        ("EXC", 3),
+    }
+
+
 def test_corrupt_rows_are_kept_apart(spark, tmp_path):
     path = write(tmp_path, "LABORMOV202401.txt", rows=["202401;21;G;30", ROWS[0]])
     # whole rows are parsed: with fewer columns asked for, a short row need not be short
