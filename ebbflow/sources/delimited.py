@@ -89,6 +89,16 @@ def conform(raw: DataFrame, names: dict[str, tuple[str, ...]] = RAW_NAMES) -> Da
     return raw.select(*columns, *[c for c in raw.columns if c not in used])
 
 
+def recognised_paths(spark: SparkSession, paths: list[str], family: str | None) -> list[str]:
+    """The paths whose file name is a valid one (of `family`, if given)."""
+    named = file_name_fields(
+        spark.createDataFrame([(p,) for p in paths], "path string"),
+        F.element_at(F.split("path", "/"), -1),
+    )
+    keep = F.col("recognised") if family is None else F.col("family") == family
+    return [r.path for r in named.filter(keep).orderBy("path").collect()]
+
+
 def read_movement_files(
     spark: SparkSession,
     paths: str | list[str],
@@ -98,10 +108,19 @@ def read_movement_files(
     encoding: str = "UTF-8",
     names: dict[str, tuple[str, ...]] = RAW_NAMES,
 ) -> DataFrame:
-    """Raw movement rows (still strings), the month taken from the file name."""
-    raw = conform(scan_delimited(spark, paths, sep, encoding), names)
+    """Raw movement rows (still strings), `month` and `family` taken from the file name.
+
+    Names are checked once per file; a row only cuts the two fields out of its file's
+    name at fixed places from the end.
+    """
+    paths = [paths] if isinstance(paths, str) else list(paths)
     if not month_from_file:
-        return raw
-    named = file_name_fields(raw.withColumnRenamed("month", "_stated"))
-    keep = F.col("recognised") if family is None else F.col("family") == family
-    return named.filter(keep).drop("_stated", "year", "month_no", "recognised")
+        return conform(scan_delimited(spark, paths, sep, encoding), names)
+    kept = recognised_paths(spark, paths, family)
+    if not kept:
+        raise FileNotFoundError(f"no movement files among {len(paths)} paths")
+    raw = conform(scan_delimited(spark, kept, sep, encoding), names)
+    stem = F.substring_index("file_name", ".", 1)
+    return raw.withColumns(
+        {"month": F.substring(stem, -6, 6), "family": F.upper(F.substring(stem, -9, 3))}
+    )

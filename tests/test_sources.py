@@ -54,6 +54,8 @@ def test_header_drift_gives_one_column(spark, tmp_path):
         (r.month, r.salary) for r in raw.filter("age = '30'").select("month", "salary").collect()
     }
     assert salaries == {("202401", "1412,50"), ("202402", "1412,50")}
+    with pytest.raises(FileNotFoundError):
+        delimited.read_movement_files(spark, first, family="EXC")
     assert "municipality" in raw.columns and raw.filter("municipality is not null").isEmpty()
 
 
