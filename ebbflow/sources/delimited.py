@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from collections import defaultdict
 from functools import reduce
 
@@ -39,14 +40,36 @@ def normalise_name(name: str) -> str:
 def _headers(
     spark: SparkSession, paths: list[str], sep: str, encoding: str
 ) -> dict[tuple[str, ...], list[str]]:
-    """Files grouped by their header, so each distinct header costs one scan."""
+    """Paths grouped by their header, so each distinct header costs one scan.
+
+    Only the first line of each file is opened, through Hadoop's file system, which
+    costs no Spark job. The files of a folder are taken to share one header.
+    """
     groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
     for path in paths:
-        reader = spark.read.options(header=True, sep=sep, encoding=encoding)
-        groups[tuple(reader.csv(path).columns)].append(path)
+        line = _first_line(spark, path, encoding)
+        groups[tuple(next(csv.reader([line], delimiter=sep)))].append(path)
     return groups
 
 
+def _first_line(spark: SparkSession, path: str, encoding: str) -> str:
+    jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(conf)
+    if files.getFileStatus(target).isDirectory():
+        inside = [s.getPath() for s in files.listStatus(target) if s.isFile()]
+        data = [p for p in inside if not p.getName().startswith(("_", "."))]
+        target = min(data, key=lambda p: p.getName())
+    stream = files.open(target)
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(target)
+        source = codec.createInputStream(stream) if codec else stream
+        reader = jvm.java.io.InputStreamReader(source, encoding)
+        return jvm.java.io.BufferedReader(reader).readLine() or ""
+    finally:
+        stream.close()
+
+
 def scan_delimited(
     spark: SparkSession,
     paths: str | list[str],

@@ -18,19 +18,27 @@ from ebbflow.settings import REGIONAL_CODES
 from ebbflow.sources import sinks
 from ebbflow.sources.samples import movements
 
-FITTED = {
-    "lr_metrics",
-    "rf_metrics",
-    "national_lr_metrics",
-    "model_comparison",
-    "feature_names",
-    "feature_importance",
-    "source_importance",
-    "lr_coefficients",
-    "tuning_report",
-    "tuning_comparison",
-    "model_reload",
-}
+JOINING = (
+    "auc_rank_slotted",
+    "baseline_metrics",
+    "category_profile",
+    "class_distribution",
+    "cohort_granularity",
+    "cohort_month",
+    "dominant_join",
+    "forward_window_join",
+    "horizon_listing",
+    "indicator_histogram",
+    "indicator_quantiles_slotted",
+    "ingest_manifest",
+    "join_fanout_audit",
+    "month_coverage",
+    "numeric_profile",
+    "region_year_counts",
+    "threshold_ties",
+    "turnover_label_train_scope",
+    "type_sign_crosstab",
+)
 
 
 def plan(df) -> str:
@@ -50,7 +58,7 @@ def conf(spark, **values):
             spark.conf.set(key, value)
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - FITTED))
+@pytest.mark.parametrize("name", JOINING)
 def test_no_pairwise_join_whatever_the_sizes(spark, small, name):
     with conf(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
         text = plan(queries()[name](spark, small))

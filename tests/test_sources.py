@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import gzip
 from types import SimpleNamespace
 
 import pytest
@@ -71,6 +72,17 @@ def test_clean_counts_rejections(spark, tmp_path):
     }
 
 
+def test_compressed_files_and_folders(spark, tmp_path):
+    text = "\n".join([HEADER.format("salário"), *ROWS]) + "\n"
+    packed = tmp_path / "LABORMOV202403.txt.gz"
+    packed.write_bytes(gzip.compress(text.encode("utf-8")))
+    assert delimited.read_movement_files(spark, str(packed)).count() == 6
+    folder = str(tmp_path / "text")
+    spark.createDataFrame([("21", "G")], ["uf", "seção"]).write.options(header=True, sep=";").csv(folder)
+    row = delimited.scan_delimited(spark, folder).first()
+    assert (row["uf"], row["seção"]) == ("21", "G")
+
+
 def test_families_are_compared_by_schema(spark, tmp_path):
     """Exclusion files carry two columns the movement files lack; late ones none."""
     mov = write(tmp_path, "LABORMOV202412.txt")

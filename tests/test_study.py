@@ -44,9 +44,17 @@ def raw_folder(spark, small, tmp_path_factory):
     return str(folder)
 
 
-@pytest.mark.parametrize("study", [REGIONAL, NATIONAL], ids=["regional", "national"])
-def test_study_end_to_end(spark, small, raw_folder, tmp_path, study):
-    study = replace(study, region_codes=None)
+def test_national_study_up_to_silver(spark, raw_folder, tmp_path):
+    base = str(tmp_path / "study")
+    turnover.ingest(spark, raw_folder, base, NATIONAL)
+    turnover.build_target(spark, base, NATIONAL)
+    silver = turnover.build_silver(spark, base, NATIONAL)
+    assert set(NATIONAL.features.columns) <= set(silver.columns)
+    assert {r.quarter for r in silver.select("quarter").distinct().collect()} == {"Q1", "Q2", "Q3", "Q4"}
+
+
+def test_study_end_to_end(spark, small, raw_folder, tmp_path):
+    study = replace(REGIONAL, region_codes=None)
     base = str(tmp_path / "study")
     metrics = turnover.run(spark, raw_folder, base, study, tuned=False)
     assert {r.model for r in metrics.collect()} == {
