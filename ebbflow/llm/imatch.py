@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ebbflow.llm.ordering import range_of, split_values
+from ebbflow.llm.store import stored
 
 TERM_BREAK = r"[^\p{L}\p{N}]+"
 CELL_BITS = 6  # 64 subsets at each rate
@@ -46,7 +47,7 @@ def term_hashes(text: Column) -> Column:
 def lexicon(docs: DataFrame, band: Band = Band()) -> list[int]:
     """Hashes of the terms inside the band, counted over every document. A bounded list."""
     terms = docs.select(F.explode(term_hashes(F.col("text"))).alias("term"))
-    counts = terms.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    counts = stored(terms.groupBy("term").agg(F.count(F.lit(1)).alias("n")), "term-counts")
     n_docs = docs.count()
     size = counts.agg(F.sum("n")).first()[0] or 0
     least = max(band.least_documents, band.rarest * n_docs, size / band.most_terms)
