@@ -2,10 +2,10 @@
 
 A document's tokens are the hashes of its distinct five-word shingles. Two sets whose
 Jaccard similarity reaches the threshold share a token among the first n - ceil(t n) + 1
-tokens of either set, whatever global order the tokens are put in. Candidates come from an
-equi-join on these prefixes under one order; they must meet in their prefixes under the other orders,
-too, before the sets themselves are compared. In every order the tokens known to be
-frequent come last, rarest first; the rest follow a hash of their own.
+tokens of either set, whatever global order the tokens are put in. Candidates share enough
+tokens of their prefixes under the first order, where the tokens known to be frequent come
+last, rarest first, and the rest follow a hash; they must meet in their prefixes under
+further hash orders, too, before the sets themselves are compared.
 
 Which tokens count as frequent has no influence on the result, for any set of them gives a
 valid order; it keeps passages that many documents share out of the prefixes. The set is
@@ -15,13 +15,14 @@ tokens by its threshold.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ebbflow.llm.components import components
@@ -30,6 +31,7 @@ from ebbflow.llm.store import stored
 MOST_FREQUENT = 1 << 20  # tokens, eight bytes each
 ORDERS = 3
 ROWS_AT_ONCE = 256
+TOKEN_BYTES = 5
 WORD_BREAK = r"[\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -88,17 +90,22 @@ def prefix_length(n: int, percent: int) -> int:
     return n - (percent * n + 99) // 100 + 1 if n else 0
 
 
-def prefix(tokens: np.ndarray, frequent: np.ndarray, rank: np.ndarray, order: int, percent: int) -> np.ndarray:
-    """The first tokens of a set under one global order."""
+def prefix(
+    tokens: np.ndarray, frequent: np.ndarray, rank: np.ndarray, order: int, percent: int
+) -> tuple[np.ndarray, int]:
+    """The first tokens of a set under one global order, and how many of them are not frequent.
+
+    Those that are not frequent stand first.
+    """
     p = prefix_length(len(tokens), percent)
     key = mixed(tokens, order) >> np.uint64(1)
     if len(frequent):
         at = np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)
         known = frequent[at] == tokens
         key[known] = np.uint64(1 << 63) + rank[at[known]]
-    if p >= len(tokens):
-        return tokens
-    return tokens[np.argpartition(key, p - 1)[:p]]
+    first = np.arange(len(tokens)) if p >= len(tokens) else np.argpartition(key, p - 1)[:p]
+    rare = key[first] < np.uint64(1 << 63)
+    return np.concatenate([tokens[first[rare]], tokens[first[~rare]]]), int(rare.sum())
 
 
 def _word_hashes(docs: DataFrame) -> DataFrame:
@@ -129,7 +136,7 @@ def frequent_tokens(docs: DataFrame, like: Likeness = Likeness()) -> list[tuple[
     """(token, count) of tokens that tasks saw repeatedly and that are frequent in sum."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size, total = [], 0, 0
+        held, size = [], 0
         kept_tokens = np.zeros(0, np.uint64)
         kept_counts = np.zeros(0, np.int64)
 
@@ -146,25 +153,30 @@ def frequent_tokens(docs: DataFrame, like: Likeness = Likeness()) -> list[tuple[
             for _, tokens, _ in _sets(batch, like.words):
                 held.append(tokens)
                 size += len(tokens)
-                total += len(tokens)
                 if size > 4_000_000:
                     fold()
         if held:
             fold()
         yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.append(kept_tokens.view(np.int64), 0)),
-                pa.array(np.append(kept_counts, total)),
-                pa.array(np.append(np.zeros(len(kept_counts), bool), True)),
-            ],
-            names=["token", "n", "is_total"],
+            [pa.array(kept_tokens.view(np.int64)), pa.array(kept_counts)], names=["token", "n"]
         )
 
-    seen = _word_hashes(docs).mapInArrow(count, "token bigint, n bigint, is_total boolean")
-    sums = stored(seen.groupBy("is_total", "token").agg(F.sum("n").alias("n")), "token-counts")
-    total = sums.filter("is_total").agg(F.sum("n")).first()[0] or 0
-    least = max(like.frequent_from, total // MOST_FREQUENT + 1)
-    kept = sums.filter(~F.col("is_total") & (F.col("n") >= least)).select("token", "n")
+    seen = _word_hashes(docs).mapInArrow(count, "token bigint, n bigint")
+    sums = stored(seen.groupBy("token").agg(F.sum("n").alias("n")), "token-counts")
+    # the lowest limit that leaves at most MOST_FREQUENT tokens, from counts of counts
+    step = F.floor(F.log2("n") * 16).cast("int")
+    steps = sums.filter(F.col("n") >= like.frequent_from).groupBy(step.alias("s")).agg(
+        F.count(F.lit(1)).alias("tokens"), F.min("n").alias("least")
+    )
+    held, least = 0, None
+    for row in steps.orderBy(F.desc("s")).collect():  # some hundred rows at most
+        held += row["tokens"]
+        if held > MOST_FREQUENT:
+            break
+        least = row["least"]
+    if least is None:
+        return []
+    kept = sums.filter(F.col("n") >= least).select("token", "n")
     return [(r["token"], r["n"]) for r in kept.toLocalIterator()]
 
 
@@ -180,7 +192,7 @@ def _ranked(frequent: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _posted(docs: DataFrame, like: Likeness, shared) -> DataFrame:
-    """(doc_id, n_shingles, key, prefix): every document's set key and its first tokens.
+    """(doc_id, n_shingles, key, rare, prefix): every document's set key and first tokens.
 
     Copies within a task give their prefix once, so a group of copies that holds a third of
     all rows posts a set at most once a task.
@@ -192,160 +204,243 @@ def _posted(docs: DataFrame, like: Likeness, shared) -> DataFrame:
         none = np.zeros(0, np.int64)
         for batch in batches:
             for ids, tokens, ends in _sets(batch, like.words):
-                begin, sizes, found, prefixes = 0, [], [], []
+                begin, sizes, found, rares, prefixes = 0, [], [], [], []
                 for end in ends.tolist():
                     mine = tokens[begin:end]
                     begin = end
                     key = set_key(mine) if len(mine) else None
                     sizes.append(len(mine))
                     found.append(key)
-                    first = none
+                    first, rare = none, 0
                     if len(mine) and key not in seen:
                         seen.add(key)
-                        first = prefix(mine, freq, ranks, 0, like.percent).view(np.int64)
-                    prefixes.append(first)
-                columns = [ids, pa.array(sizes, pa.int64()), pa.array(found, pa.int64())]
+                        first, rare = prefix(mine, freq, ranks, 0, like.percent)
+                    rares.append(rare)
+                    prefixes.append(first.view(np.int64))
+                columns = [pa.array(c, pa.int64()) for c in (sizes, found, rares)]
                 lists = pa.array(prefixes, pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays(
-                    [*columns, lists], names=["doc_id", "n_shingles", "key", "prefix"]
+                    [ids, *columns, lists], names=["doc_id", "n_shingles", "key", "rare", "prefix"]
                 )
 
-    kinds = "doc_id bigint, n_shingles bigint, key bigint, prefix array<bigint>"
+    kinds = "doc_id bigint, n_shingles bigint, key bigint, rare bigint, prefix array<bigint>"
     return _word_hashes(docs).mapInArrow(keys, kinds)
 
 
-def _candidates(posts: DataFrame, like: Likeness) -> DataFrame:
-    """Distinct (k1, k2) that share a posted token and whose sizes allow a link.
+def least_shared(n1: Column, n2: Column, percent: int) -> Column:
+    """How many posted tokens two sets must share to be linked.
 
-    Posts are dealt by token and sorted, so the sets of a token stand together, the
-    smaller first; each is paired only with the run of sets that its size allows.
+    A link needs `overlap` common tokens. Those beyond the prefix that ends first are at
+    most the rest of its set, so the prefixes hold the remainder.
     """
-    schema = pa.schema([("k1", pa.int64()), ("k2", pa.int64())])
+    overlap = F.ceil((n1 + n2) * percent / (100 + percent))
+    rest = F.greatest(*[F.ceil(n * percent / 100) - 1 for n in (n1, n2)])
+    return overlap - rest
 
-    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [np.zeros(0, np.int64)] * 3
-
-        def found(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-            token, n, key = columns
-            if len(token) < 2:
-                return
-            # copies in several tasks post alike
-            new = np.ones(len(token), bool)
-            new[1:] = (token[1:] != token[:-1]) | (key[1:] != key[:-1])
-            token, n, key = token[new], n[new], key[new]
-            edges = np.flatnonzero(np.append(True, token[1:] != token[:-1]))
-            ends = np.append(edges[1:], len(token))
-            for s, e in zip(edges[ends - edges > 1].tolist(), ends[ends - edges > 1].tolist()):
-                sizes, ids = n[s:e], key[s:e]
-                reach = np.searchsorted(sizes, sizes * 100 // like.percent, "right")
-                for i in range(e - s - 1):
-                    if reach[i] > i + 1:
-                        others = ids[i + 1 : reach[i]]
-                        mine = np.full(len(others), ids[i])
-                        low, high = np.minimum(mine, others), np.maximum(mine, others)
-                        yield pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], schema=schema)
-
-        def merged(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            kept, rows = [], 0
-            for part in parts:
-                kept.append(part)
-                rows += part.num_rows
-                if rows > 50_000:
-                    yield from _distinct(kept)
-                    kept, rows = [], 0
-            yield from _distinct(kept)
-
-        def _distinct(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            if parts:
-                table = pa.Table.from_batches(parts, schema).group_by(["k1", "k2"]).aggregate([])
-                yield from table.select(["k1", "k2"]).combine_chunks().to_batches()
-
-        def runs() -> Iterator[pa.RecordBatch]:
-            nonlocal held
-            for batch in batches:
-                columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-                joint = [np.concatenate([h, c]) for h, c in zip(held, columns)]
-                if not len(joint[0]):
-                    continue
+
+def _rare_candidates(posts: DataFrame, like: Likeness) -> DataFrame:
+    """(k1, k2) that share a token that is not frequent, enough of them, and fit in size.
+
+    Posts are (token, n, key, others): `others` counts the frequent tokens of the prefix,
+    each of which may be shared as well. They are dealt by token and sorted, so the sets of
+    a token stand together, the smaller first; each meets only those its size allows.
+    """
+    names = ["k1", "n1", "o1", "k2", "n2", "o2", "shared"]
+    schema = pa.schema([(c, pa.int64()) for c in names])
+
+    def summed(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if parts:
+            table = pa.Table.from_batches(parts, schema).group_by(names[:6]).aggregate([("shared", "sum")])
+            ordered = table.select([*names[:6], "shared_sum"]).rename_columns(names)
+            yield from ordered.combine_chunks().to_batches()
+
+    def found(token: np.ndarray, n: np.ndarray, key: np.ndarray, others: np.ndarray) -> Iterator[pa.RecordBatch]:
+        if len(token) < 2:
+            return
+        # copies in several tasks post alike
+        new = np.ones(len(token), bool)
+        new[1:] = (token[1:] != token[:-1]) | (key[1:] != key[:-1])
+        token, n, key, others = token[new], n[new], key[new], others[new]
+        edges = np.flatnonzero(np.append(True, token[1:] != token[:-1]))
+        ends = np.append(edges[1:], len(token))
+        several = ends - edges > 1
+        for s, e in zip(edges[several].tolist(), ends[several].tolist()):
+            sizes, ids, more = n[s:e], key[s:e], others[s:e]
+            reach = np.searchsorted(sizes, sizes * 100 // like.percent, "right")
+            for i in range(e - s - 1):
+                m = int(reach[i]) - i - 1
+                if m > 0:
+                    mine = [np.full(m, c[i]) for c in (ids, sizes, more)]
+                    theirs = [c[i + 1 : reach[i]] for c in (ids, sizes, more)]
+                    columns = [*mine, *theirs, np.ones(m, np.int64)]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=schema)
+
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [np.zeros(0, np.int64)] * 4
+        for batch in batches:
+            columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            joint = [np.concatenate([h, c]) for h, c in zip(held, columns)]
+            if len(joint[0]):
                 # the last token may go on in the next batch
-                cut = np.searchsorted(joint[0], joint[0][-1], "left")
-                yield from found([c[:cut] for c in joint])
+                cut = int(np.searchsorted(joint[0], joint[0][-1], "left"))
+                yield from found(*[c[:cut] for c in joint])
                 held = [c[cut:] for c in joint]
-            yield from found(held)
+        yield from found(*held)
 
-        yield from merged(runs())
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept, rows = [], 0
+        for part in runs(batches):
+            kept.append(part)
+            rows += part.num_rows
+            if rows > 200_000:
+                yield from summed(kept)
+                kept, rows = [], 0
+        yield from summed(kept)
 
     dealt = posts.repartition("token").sortWithinPartitions("token", "n", "key")
-    return dealt.select("token", "n", "key").mapInArrow(pairs, "k1 bigint, k2 bigint").distinct()
+    kinds = ", ".join(f"{c} bigint" for c in names)
+    rows = dealt.select("token", "n", "key", "others").mapInArrow(pairs, kinds)
+    counted = rows.groupBy(*names[:6]).agg(F.sum("shared").alias("shared"))
+    most = F.col("shared") + F.least("o1", "o2")
+    return counted.filter(most >= least_shared(F.col("n1"), F.col("n2"), like.percent)).select("k1", "k2")
 
 
-def joined(docs: DataFrame, like: Likeness = Likeness()) -> tuple[DataFrame, DataFrame]:
-    """Documents with the key of their set, and the links between sets.
+def _star_candidates(posts: DataFrame, like: Likeness) -> DataFrame:
+    """(k1, k2): each set that posts a frequent token and the smallest set posting it.
 
-    Documents: doc_id, n_shingles, key (null for an empty set). Links: a, b (keys, a < b),
-    common. Every link between different sets is found; documents with equal sets have
-    equal keys and are linked by that.
+    One row a post, however many sets share the token. Size steps are powers of the size
+    ratio, so the smallest set of a step can be linked to all of it; the largest set of a
+    step meets the smallest of the next.
+    """
+    step = F.floor(F.log(F.col("n")) / math.log(100 / like.percent)).cast("int")
+    stepped = posts.withColumn("step", step)
+    size = F.struct("n", "key")
+    ends = stepped.groupBy("token", "step").agg(F.min_by("key", size).alias("k1"), F.max_by("key", size).alias("top"))
+    ends = stored(ends, "token-steps")
+    both = stepped.join(ends, ["token", "step"]).filter("key <> k1")
+    below = ends.select("token", (F.col("step") + 1).alias("step"), F.col("top").alias("below"))
+    bridges = ends.join(below, ["token", "step"]).select(F.col("below").alias("k1"), F.col("k1").alias("k2"))
+    return both.select("k1", F.col("key").alias("k2")).union(bridges).distinct()
+
+
+def _cross_candidates(posts: DataFrame, roots: DataFrame, like: Likeness) -> DataFrame:
+    """(k1, k2) sharing a frequent token in different components so far, that fit in size.
+
+    Tokens whose sets are all of one component give nothing; the sets of the others are
+    paired across components only.
+    """
+    known = posts.join(roots.select(F.col("node").alias("key"), "root"), "key", "left")
+    known = known.withColumn("root", F.coalesce("root", "key"))
+    mixed_tokens = known.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y")
+    open_posts = stored(known.join(mixed_tokens.select("token"), "token"), "open-posts")
+    a = open_posts.select("token", F.col("key").alias("k1"), F.col("n").alias("n1"), F.col("root").alias("r1"))
+    b = open_posts.select("token", F.col("key").alias("k2"), F.col("n").alias("n2"), F.col("root").alias("r2"))
+    fits = (F.col("n2") * like.percent <= F.col("n1") * 100) & (F.struct("n1", "k1") < F.struct("n2", "k2"))
+    met = a.join(b, "token").filter((F.col("r1") != F.col("r2")) & fits)
+    shared = met.groupBy("k1", "k2", "n1", "n2").agg(F.lit(1))
+    return shared.select("k1", "k2")
+
+
+def _verified(docs: DataFrame, rows: DataFrame, pairs: DataFrame, like: Likeness) -> DataFrame:
+    """The candidates that are links: (a, b, common), written once.
+
+    The texts of the documents that stand for a set are read again, by one merge join at every
+    size, and their tokens are written in short form.
     """
-    frequent = _ranked(frequent_tokens(docs, like))
-    # bounded by MOST_FREQUENT, whatever the corpus is
-    shared = docs.sparkSession.sparkContext.broadcast(frequent)
-    rows = stored(_posted(docs, like, shared), "prefixes")
-    posts = rows.select("key", F.col("n_shingles").cast("int").alias("n"), F.explode("prefix").alias("token"))
-    posts = posts.select(F.col("token"), F.col("n").cast("bigint").alias("n"), "key")
-    pairs = stored(_candidates(posts, like), "candidates")
     wanted = pairs.select(F.col("k1").alias("key")).union(pairs.select("k2")).distinct()
-    # the document that stands for a set
     first = rows.filter("key is not null").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
     wanted = first.join(wanted, "key", "left_semi").select("doc_id").distinct()
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").hint("merge")
     texts = texts.join(stored(wanted, "wanted"), "doc_id", "left_semi")
-
-    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        for batch in batches:
-            for _, tokens, ends in _sets(batch, like.words):
-                begin, keys, sets = 0, [], []
-                for end in ends.tolist():
-                    mine = tokens[begin:end]
-                    begin = end
-                    key = set_key(mine) if len(mine) else None
-                    if key is not None and key not in seen:
-                        seen.add(key)
-                        keys.append(key)
-                        sets.append(mine.view(np.int64))
-                lists = pa.array(sets, pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), lists], names=["key", "tokens"])
-
-    full = stored(_word_hashes(texts).mapInArrow(whole, "key bigint, tokens array<bigint>"), "sets")
+    full = stored(_word_hashes(texts).mapInArrow(_whole(like), "key bigint, tokens binary"), "sets")
     left = full.select(F.col("key").alias("k1"), F.col("tokens").alias("left"))
     right = full.select(F.col("key").alias("k2"), F.col("tokens").alias("right"))
     compared = pairs.join(left, "k1").join(right, "k2").select("k1", "k2", "left", "right")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        freq, ranks = shared.value
         for batch in batches:
             found = [
-                _common(_tokens(x), _tokens(y), freq, ranks, like.percent)
-                for x, y in zip(batch.column(2), batch.column(3))
+                _common(_tokens(x), _tokens(y), like.percent) for x, y in zip(batch.column(2), batch.column(3))
             ]
             common = pa.array(found, pa.int64())
             out = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), common], names=["a", "b", "common"])
             yield out.filter(common.is_valid())
 
     links = compared.mapInArrow(verify, "a bigint, b bigint, common bigint").distinct()
-    return rows.select("doc_id", "n_shingles", "key"), stored(links, "links")
+    return stored(links, "links")
 
 
-def _tokens(value: pa.ListScalar) -> np.ndarray:
-    return value.values.to_numpy(zero_copy_only=False).view(np.uint64)
+def _whole(like: Likeness):
+    """Task function: the short tokens of each different set, by its key."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for batch in batches:
+            for _, tokens, ends in _sets(batch, like.words):
+                begin, keys, sets = 0, [], []
+                for end in ends.tolist():
+                    mine = tokens[begin:end]
+                    begin = end
+                    key = set_key(mine) if len(mine) else None
+                    if key is not None and key not in seen:
+                        seen.add(key)
+                        keys.append(key)
+                        sets.append(_slim(mine))
+                columns = [pa.array(keys, pa.int64()), pa.array(sets, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["key", "tokens"])
+
+    return whole
 
 
-def _common(
-    x: np.ndarray, y: np.ndarray, freq: np.ndarray, ranks: np.ndarray, percent: int
-) -> int | None:
-    """Size of the intersection if the sets meet in every order and are alike enough."""
+def joined(docs: DataFrame, like: Likeness = Likeness()) -> tuple[DataFrame, DataFrame]:
+    """Documents with the key of their set, and the component of each set that has a link.
+
+    Documents: doc_id, n_shingles, key (null for an empty set). Components: node, root
+    (keys). Sets that share a token that is not frequent are compared pair by pair. Sets
+    that share frequent tokens only (those of large groups of near copies) are first
+    compared with the smallest set of each token; after that only sets of different
+    components are left to compare. So every two sets that are linked lie in one component,
+    and a large group of near copies never becomes all its pairs.
+    """
+    frequent = _ranked(frequent_tokens(docs, like))
+    # bounded by MOST_FREQUENT, whatever the corpus is
+    shared = docs.sparkSession.sparkContext.broadcast(frequent)
+    rows = stored(_posted(docs, like, shared), "prefixes")
+    n = F.col("n_shingles")
+    rare = rows.select(
+        "key", n.alias("n"), (F.size("prefix") - F.col("rare")).alias("others"),
+        F.explode(F.slice("prefix", F.lit(1), F.col("rare").cast("int"))).alias("token"),
+    )
+    after = F.filter("prefix", lambda t, i: i >= F.col("rare"))
+    common = rows.select("key", n.alias("n"), F.explode(after).alias("token"))
+    common = stored(common.distinct(), "frequent-posts")
+    pairs = _rare_candidates(rare, like).union(_star_candidates(common, like)).distinct()
+    links = _verified(docs, rows, stored(pairs, "candidates"), like)
+    roots = stored(components(links, "a", "b"), "roots")
+    more = stored(_cross_candidates(common, roots, like), "candidates")
+    if not more.isEmpty():
+        late = _verified(docs, rows, more, like)
+        roots = components(links.union(late), "a", "b")
+    return rows.select("doc_id", "n_shingles", "key"), roots
+
+
+def _slim(tokens: np.ndarray) -> bytes:
+    """The highest TOKEN_BYTES bytes of each hash: enough to compare two sets, not a corpus."""
+    return np.ascontiguousarray(tokens.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :TOKEN_BYTES]).tobytes()
+
+
+def _tokens(value: pa.BinaryScalar) -> np.ndarray:
+    held = np.frombuffer(value.as_buffer(), np.uint8).reshape(-1, TOKEN_BYTES)
+    wide = np.zeros((len(held), 8), np.uint8)
+    wide[:, 8 - TOKEN_BYTES :] = held
+    return wide.view(">u8").ravel().astype(np.uint64)
+
+
+def _common(x: np.ndarray, y: np.ndarray, percent: int) -> int | None:
+    """Size of the intersection if the sets meet in every further order and are alike enough."""
+    none = np.zeros(0, np.uint64)
     for order in range(1, ORDERS):
-        first, second = (prefix(t, freq, ranks, order, percent) for t in (x, y))
+        first, second = (prefix(t, none, none, order, percent)[0] for t in (x, y))
         if not len(np.intersect1d(first, second, True)):
             return None
     common = len(np.intersect1d(x, y, True))
@@ -353,36 +448,26 @@ def _common(
 
 
 def grouped(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
-    """doc_id, n_shingles, component_id, class_size, n_links; one row per input row.
+    """doc_id, n_shingles, component_id, class_size; one row per input row.
 
-    `component_id` is the smallest doc_id reachable by links. `n_links` counts the
-    documents a document is linked with: those of an equal set and those of linked sets.
-    A null, empty or wordless text has no set, so it stands alone with its own doc_id.
+    `component_id` is the smallest doc_id reachable by links, `class_size` how many
+    documents have an equal set. A null, empty or wordless text has no set, so it stands
+    alone with its own doc_id.
     """
-    rows, links = joined(docs, like)
-    roots = components(links, "a", "b").select(F.col("node").alias("key"), "root")
+    rows, roots = joined(docs, like)
     sizes = rows.filter("key is not null").groupBy("key").agg(
         F.count(F.lit(1)).alias("class_size"), F.min("doc_id").alias("least")
     )
-    ends = links.select("a", "b").union(links.select("b", "a"))
-    partners = ends.join(sizes.select(F.col("key").alias("b"), "class_size"), "b")
-    partners = partners.groupBy(F.col("a").alias("key")).agg(F.sum("class_size").alias("others"))
-    sets = sizes.join(roots, "key", "left").join(partners, "key", "left")
+    sets = sizes.join(roots.select(F.col("node").alias("key"), "root"), "key", "left")
     sets = stored(sets.withColumn("root", F.coalesce("root", "key")), "set-roots")
     named = sets.groupBy("root").agg(F.min("least").alias("component_id"))
-    per_set = sets.join(named, "root").select(
-        "key",
-        "component_id",
-        "class_size",
-        (F.col("class_size") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"),
-    )
+    per_set = sets.join(named, "root").select("key", "component_id", "class_size")
     found = rows.join(per_set, "key", "left")
     return found.select(
         "doc_id",
         "n_shingles",
         F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
         F.coalesce("class_size", F.lit(1).cast("bigint")).alias("class_size"),
-        F.coalesce("n_links", F.lit(0).cast("bigint")).alias("n_links"),
     )
 
 
