@@ -15,10 +15,10 @@ def _as_column(value: Column | str) -> Column:
 
 
 def month_ordinal(label: Column | str) -> Column:
-    """Ordinal of a `YYYYMM` label; null when the label is not numeric."""
-    text = _as_column(label)
-    year = F.substring(text, 1, 4).try_cast("int")
-    return year * 12 + F.substring(text, 5, 2).try_cast("int")
+    """Ordinal of a `YYYYMM` label; null unless it is six digits with a month from 1 to 12."""
+    text = F.trim(_as_column(label).cast("string"))
+    ordinal = F.substring(text, 1, 4).try_cast("int") * 12 + F.substring(text, 5, 2).try_cast("int")
+    return F.when(text.rlike(r"^\d{4}(0[1-9]|1[0-2])$"), ordinal)
 
 
 def year_number(ordinal: Column | str) -> Column:

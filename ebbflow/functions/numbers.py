@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# digits with an optional sign, fraction and exponent; no type suffixes, NaN or Infinity
+NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+
 
 def to_double(text: Column, thousands_sep: str | None = None) -> Column:
     """Number written with a decimal comma; null when it is not a number.
@@ -13,12 +16,13 @@ def to_double(text: Column, thousands_sep: str | None = None) -> Column:
     """
     if thousands_sep:
         text = F.replace(text, F.lit(thousands_sep), F.lit(""))
-    return F.translate(text, ",", ".").try_cast("double")
+    number = F.trim(F.translate(text, ",", "."))
+    return F.when(number.rlike(NUMBER), number.try_cast("double"))
 
 
 def to_int(text: Column) -> Column:
     """Integer part of a number written as text; null when it is not a number."""
-    return F.coalesce(text.try_cast("int"), to_double(text).try_cast("int"))
+    return to_double(text.cast("string")).try_cast("int")
 
 
 def guarded_ratio(part: Column, whole: Column) -> Column:

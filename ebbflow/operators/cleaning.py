@@ -10,6 +10,14 @@ from pyspark.sql import functions as F
 from ebbflow.functions import month_ordinal, to_double, to_int
 
 
+# columns that not every delivery has
+EXTRA = (
+    ("municipality", lambda c: c.cast("string")),
+    ("movement_type", to_int),
+    ("contract_hours", to_double),
+)
+
+
 def typed(raw: DataFrame, thousands_sep: str | None = None) -> DataFrame:
     """Cast conformed raw columns; anything unreadable becomes null."""
     return raw.select(
@@ -24,6 +32,7 @@ def typed(raw: DataFrame, thousands_sep: str | None = None) -> DataFrame:
         to_double(F.col("salary"), thousands_sep).alias("salary"),
         to_int(F.col("balance")).alias("balance"),
         to_int(F.col("category")).alias("category"),
+        *[as_type(F.col(c)).alias(c) for c, as_type in EXTRA if c in raw.columns],
     )
 
 
@@ -32,26 +41,35 @@ def in_regions(df: DataFrame, codes: Iterable[int] | None, region: str = "region
     return df if codes is None else df.filter(F.col(region).isin(*codes))
 
 
-def rejection_reason() -> Column:
+def month_of(df: DataFrame) -> Column:
+    """The month ordinal of a row, read from its label where there is no ordinal column."""
+    return F.col("month_seq") if "month_seq" in df.columns else month_ordinal("month")
+
+
+def rejection_reason(month: Column) -> Column:
     """Why a row is not a movement; null for a valid one."""
     return (
-        F.when(F.col("region").isNull(), "region")
+        F.when(month.isNull(), "month")
+        .when(F.col("region").isNull(), "region")
         .when(F.col("section").isNull(), "section")
         .when(F.col("balance").isNull() | ~F.col("balance").isin(1, -1), "balance")
     )
 
 
-def is_valid() -> Column:
+def is_valid(month: Column) -> Column:
     return (
-        F.col("region").isNotNull() & F.col("section").isNotNull() & F.col("balance").isin(1, -1)
+        month.isNotNull()
+        & F.col("region").isNotNull()
+        & F.col("section").isNotNull()
+        & F.col("balance").isin(1, -1)
     )
 
 
 def valid_movements(df: DataFrame) -> DataFrame:
-    return df.filter(is_valid())
+    return df.filter(is_valid(month_of(df)))
 
 
 def rejected_counts(df: DataFrame) -> DataFrame:
     """Rows per rejection reason, valid rows included."""
-    reason = F.coalesce(rejection_reason(), F.lit("valid"))
+    reason = F.coalesce(rejection_reason(month_of(df)), F.lit("valid"))
     return df.groupBy(reason.alias("reason")).agg(F.count(F.lit(1)).alias("n"))

@@ -57,7 +57,6 @@ def auc_rank(
     predictions: DataFrame,
     label: str = "high_turnover",
     score: str = "score",
-    rows: int | None = None,
 ) -> DataFrame:
     """Exact area under the ROC curve from ranks, ties counting half: one row.
 
@@ -67,7 +66,7 @@ def auc_rank(
     counts = predictions.groupBy(F.col(score).cast("double").alias("_score")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")
     )
-    ranked = running_totals(counts, [], "_score", ["pos", "neg"], rows)
+    ranked = running_totals(counts, [], "_score", ["pos", "neg"])
     won = F.sum(F.col("pos").cast("double") * (F.col("neg_before") + F.col("neg") / 2))
     pairs = F.max(F.col("pos_all").cast("double") * F.col("neg_all"))
     return ranked.agg(

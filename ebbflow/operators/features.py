@@ -25,7 +25,7 @@ def silver(modelling: DataFrame, study: Study = REGIONAL) -> DataFrame:
         F.col("month").cast("string").alias("month"),
         F.col("month_seq").cast("int").alias("month_seq"),
         *[F.col(c).cast("string").alias(c) for c in study.keys.profile],
-        *[F.col(c).cast("int").alias(c) for c in ("n_total", "n_pos", "n_neg")],
+        *[F.col(c).cast("bigint").alias(c) for c in ("n_total", "n_pos", "n_neg")],
         F.log1p(total.cast("double")).alias("log_volume"),
         guarded_ratio(F.col("n_neg"), total).alias("share_neg"),
         guarded_ratio(F.col("n_pos"), total).alias("share_pos"),

@@ -86,8 +86,11 @@ def eligible(
     observed = seen.select(reach).groupBy(keys.time).agg(
         F.count(F.lit(1)).cast("int").alias("months_observed")
     )
-    kept = kept.join(observed, keys.time, "left").withColumn(
-        "months_observed", F.coalesce("months_observed", F.lit(0))
+    # one entry per calendar month, looked up in place: the windowed rows stay where they are
+    entries = F.map_from_entries(F.collect_list(F.struct(keys.time, "months_observed")))
+    calendar = observed.agg(entries).scalar()
+    kept = kept.withColumn(
+        "months_observed", F.coalesce(F.try_element_at(calendar, F.col(keys.time)), F.lit(0))
     )
     if outlook.require_complete_horizon:
         kept = kept.filter(F.col("months_observed") == h)

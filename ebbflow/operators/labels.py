@@ -33,26 +33,21 @@ def indicator_quantiles(
     cohorts: DataFrame,
     outlook: Outlook = Outlook(),
     quantiles: Mapping[str, float] = INDICATOR_QUANTILES,
-    rows: int | None = None,
 ) -> DataFrame:
-    return exact_quantiles(cohorts, [indicator(outlook)], dict(quantiles), rows=rows)
+    return exact_quantiles(cohorts, [indicator(outlook)], dict(quantiles))
 
 
 def threshold(
     cohorts: DataFrame,
     keys: CohortKeys = CohortKeys(),
     outlook: Outlook = Outlook(),
-    rows: int | None = None,
 ) -> Column:
-    """The cut point as a scalar subquery: the plan stays lazy and in one piece.
-
-    `rows` is a known upper bound on the rows of `cohorts` (see `ranking`).
-    """
+    """The cut point as a scalar subquery."""
     base = cohorts
     if outlook.threshold_scope == "train":
         base = hash_part(cohorts, keys.columns).filter(F.col("part") == "train")
     wanted = {"cut": outlook.threshold_quantile}
-    cut = exact_quantiles(base, [indicator(outlook)], wanted, rows=rows)
+    cut = exact_quantiles(base, [indicator(outlook)], wanted)
     return cut.select("cut").scalar()
 
 
@@ -60,10 +55,9 @@ def with_label(
     cohorts: DataFrame,
     keys: CohortKeys = CohortKeys(),
     outlook: Outlook = Outlook(),
-    rows: int | None = None,
 ) -> DataFrame:
     """Class 1 strictly above the threshold; ties are class 0."""
-    above = F.col(indicator(outlook)) > threshold(cohorts, keys, outlook, rows)
+    above = F.col(indicator(outlook)) > threshold(cohorts, keys, outlook)
     return cohorts.withColumn(LABEL, F.when(above, 1).otherwise(0))
 
 
@@ -71,10 +65,9 @@ def threshold_ties(
     cohorts: DataFrame,
     keys: CohortKeys = CohortKeys(),
     outlook: Outlook = Outlook(),
-    rows: int | None = None,
 ) -> DataFrame:
     """How many cohorts sit exactly on the threshold: one row."""
-    cut = threshold(cohorts, keys, outlook, rows)
+    cut = threshold(cohorts, keys, outlook)
     marked = cohorts.select((F.col(indicator(outlook)) == cut).alias("_tie"), cut.alias("_cut"))
     return marked.agg(
         F.max("_cut").alias("threshold"),

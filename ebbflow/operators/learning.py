@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 import time
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
@@ -30,7 +29,7 @@ from ebbflow.settings import REGIONAL, FeatureSet
 from ebbflow.sources.layers import materialise
 
 SEED = 42
-ROWS_PER_TASK = 10_000
+FIT_TASKS = 4
 COHORT_KEY = ("month_seq", "region", "section", "age_band")
 FEATURES = REGIONAL.features
 
@@ -71,17 +70,15 @@ def random_forest(
 
 
 def stable_layout(
-    df: DataFrame, keys: Sequence[str] = COHORT_KEY, rows: int | None = None
+    df: DataFrame, keys: Sequence[str] = COHORT_KEY, tasks: int = FIT_TASKS
 ) -> DataFrame:
     """Spread rows by key, ordered inside a partition.
 
     Sampling inside MLlib follows the physical order of rows; with this layout a fit
-    repeats whatever the files looked like. A fit runs dozens of short jobs, so the
-    number of partitions follows the number of rows, not the number of cores; without
-    a row count adaptive execution picks it from the shuffled bytes.
+    repeats whatever the files looked like. It depends on the rows, the keys and the
+    number of tasks a caller names, at every size; large training sets want more tasks.
     """
-    count = [] if rows is None else [max(1, math.ceil(rows / ROWS_PER_TASK))]
-    return df.repartition(*count, *keys).sortWithinPartitions(*keys)
+    return df.repartition(tasks, *keys).sortWithinPartitions(*keys)
 
 
 @contextmanager
@@ -105,13 +102,11 @@ def fit(
     train: DataFrame,
     classifier: Estimator,
     features: FeatureSet = FEATURES,
-    rows: int | None = None,
+    keys: Sequence[str] = COHORT_KEY,
+    tasks: int = FIT_TASKS,
 ) -> tuple[PipelineModel, float]:
-    """The fitted pipeline and how many seconds the fit took.
-
-    `rows` is a known upper bound on the rows of `train` (see `stable_layout`).
-    """
-    with held(stable_layout(train, rows=rows)) as layout:
+    """The fitted pipeline and how many seconds the fit took."""
+    with held(stable_layout(train, keys, tasks)) as layout:
         started = time.perf_counter()
         model = Pipeline(stages=[*feature_stages(features), classifier]).fit(layout)
         return model, time.perf_counter() - started
@@ -144,11 +139,10 @@ def metrics_row(
     model: str,
     seconds: float,
     label: str = FEATURES.label,
-    rows: int | None = None,
 ) -> DataFrame:
     """One comparison row per model from its `scores`, AUC taken exactly from ranks."""
     rates = classification_metrics(confusion_matrix(scored, label))
-    auc = auc_rank(scored, label, rows=rows).select("auc").scalar()
+    auc = auc_rank(scored, label).select("auc").scalar()
     return _comparison_row(rates.withColumn("auc_roc", auc), model, seconds)
 
 
@@ -242,7 +236,8 @@ def tune(
     min_instances: Sequence[int] = (1, 5),
     train_ratio: float = 0.7,
     parallelism: int = 4,
-    rows: int | None = None,
+    keys: Sequence[str] = COHORT_KEY,
+    tasks: int = FIT_TASKS,
 ) -> tuple[PipelineModel, list[dict], float]:
     """Grid search on a train/validation split.
 
@@ -260,7 +255,7 @@ def tune(
     )
     started = time.perf_counter()
     prepared = Pipeline(stages=feature_stages(features)).fit(train)
-    layout = stable_layout(prepared.transform(train), rows=rows)
+    layout = stable_layout(prepared.transform(train), keys, tasks)
     with held(layout.select("features", features.label)) as vectors:
         search = TrainValidationSplit(
             estimator=forest,

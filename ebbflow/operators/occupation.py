@@ -52,8 +52,8 @@ def dominant_occupation(
     return shares.withColumn("_rn", F.row_number().over(order)).filter("_rn = 1").drop("_rn")
 
 
-def dominance_quantiles(dominant: DataFrame, rows: int | None = None) -> DataFrame:
-    return exact_quantiles(dominant, ["share"], DOMINANCE_QUANTILES, rows=rows)
+def dominance_quantiles(dominant: DataFrame) -> DataFrame:
+    return exact_quantiles(dominant, ["share"], DOMINANCE_QUANTILES)
 
 
 def dominant_join(

@@ -84,9 +84,9 @@ def period_bounds(df: DataFrame, month: str = "month") -> DataFrame:
     )
 
 
-def numeric_profile(df: DataFrame, columns: Sequence[str], rows: int | None = None) -> DataFrame:
+def numeric_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """`describe` plus exact quantiles."""
-    quantiles = exact_quantiles(df, columns, PROFILE_QUANTILES, rows=rows)
+    quantiles = exact_quantiles(df, columns, PROFILE_QUANTILES)
     return describe(df, columns).join(quantiles, "metric")
 
 

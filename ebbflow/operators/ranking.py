@@ -1,27 +1,26 @@
 """Order statistics without sorting a whole column in one task.
 
 A global `ORDER BY` window or the built-in exact percentile puts every distinct
-value into one task. Here values are first counted (with map-side combine, so a
-value holding a third of the rows is one row per task), then cut into slots by
-approximate quantiles of the distinct values; running totals are taken inside
-each slot in parallel and shifted by the totals of the slots before it. Only the
-slot totals (a fixed number of rows per group) meet in one place. Results are
-exact whatever the slot edges are.
-
-A caller that knows its input is small (for example from the row count of a
-Parquet layer) says so with `rows`; up to SINGLE_TASK_ROWS the slots are skipped
-and each group is ranked by one task.
+value into one task. Here values are first counted
+(with map-side combine, so a value holding a third of the rows is one row per task), then cut
+into slots by approximate quantiles of the distinct values; running totals are taken inside
+each slot in parallel and shifted by the totals of the slots before it. The number of slots
+follows the number of distinct values. The counts with their slots are written once, so both
+readers see the same slots. Results are exact whatever the slot edges are.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SLOTS = 128
-SINGLE_TASK_ROWS = 2_000_000
+from ebbflow.sources.layers import materialise
+
+VALUES_PER_SLOT = 100_000
 
 
 def value_counts(
@@ -46,31 +45,35 @@ def running_totals(
     by: Sequence[str],
     value: str,
     totals: Sequence[str],
-    rows: int | None = None,
-    slots: int = SLOTS,
+    values_per_slot: int = VALUES_PER_SLOT,
 ) -> DataFrame:
     """Add `<c>_before` and `<c>_all` for every total column `c`.
 
-    `counts` has one row per (`by`, `value`), in a handful of groups. `<c>_before` sums `c` over smaller
-    values of the same group, `<c>_all` over the whole group.
+    `counts` has one row per (`by`, `value`); it may have any number of groups. `<c>_before`
+    sums `c` over smaller values of the same group, `<c>_all` over the whole group.
     """
     by = list(by)
-    if rows is not None and rows <= SINGLE_TASK_ROWS:
-        return _running_totals_small(counts, by, value, totals)
-    known = counts.withColumn("_group", _group_summary(counts, by, value, totals, slots))
-    slot = F.size(F.filter("_group._edges", lambda edge: edge < F.col(value)))
-    placed = known.withColumns(
-        {
-            # never null, so no null check is pushed below the counting
-            "_slot": F.coalesce(slot, F.lit(0)),
-            **{f"{c}_all": F.col(f"_group.{c}_all") for c in totals},
-        }
-    ).drop("_group")
+    counts = materialise(counts, "counts")
+    groups = [f"_by_{c}" for c in by]
+    distinct = F.count(F.lit(1))
+    largest = counts.groupBy(*by).agg(distinct.alias("n")).agg(F.max("n")).first()[0] or 0
+    slots = max(1, math.ceil(largest / values_per_slot))
+    cuts = [i / slots for i in range(1, slots)] or [0.5]
+    summary = counts.groupBy(*[F.col(c).alias(g) for c, g in zip(by, groups)]).agg(
+        F.percentile_approx(value, cuts, max(10_000, slots * 10)).alias("_edges"),
+        *[F.sum(c).alias(f"{c}_all") for c in totals],
+    )
+    slot = F.size(F.filter("_edges", lambda edge: edge < F.col(value))) if slots > 1 else F.lit(0)
+    same = F.lit(True)
+    for c, g in zip(by, groups):
+        same = same & counts[c].eqNullSafe(summary[g])
+    known = counts.join(summary, same) if by else counts.join(F.broadcast(summary))  # one row
+    placed = materialise(known.withColumn("_slot", slot).drop("_edges", *groups), "slotted")
     before = Window.partitionBy(*by).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
     slot_totals = placed.groupBy(*by, "_slot").agg(*[F.sum(c).alias(f"_{c}") for c in totals])
     offsets = slot_totals.select(
-        *by,
-        "_slot",
+        *[F.col(c).alias(g) for c, g in zip(by, groups)],
+        F.col("_slot").alias("_at"),
         *[F.coalesce(F.sum(f"_{c}").over(before), F.lit(0)).alias(f"_{c}_off") for c in totals],
     )
     inside = (
@@ -78,52 +81,23 @@ def running_totals(
         .orderBy(value)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    # the join and the window share one exchange by (group, slot)
-    result = placed.join(offsets, [*by, "_slot"])
+    here = placed["_slot"] == offsets["_at"]
+    for c, g in zip(by, groups):
+        here = here & placed[c].eqNullSafe(offsets[g])
+    result = placed.join(offsets, here)
     for c in totals:
         running = F.coalesce(F.sum(c).over(inside), F.lit(0)) + F.col(f"_{c}_off")
         result = result.withColumn(f"{c}_before", running)
-    return result.drop("_slot", *[f"_{c}_off" for c in totals])
-
-
-def _group_summary(
-    counts: DataFrame, by: list[str], value: str, totals: Sequence[str], slots: int
-) -> Column:
-    """Slot edges and whole totals of a row's group, as one scalar subquery.
-
-    Groups are the few metrics or keys of a report, so they fit a map; looking a group
-    up there keeps the counts where they are, where a join on so few keys would gather
-    each group in one task.
-    """
-    cuts = [i / slots for i in range(1, slots)]
-    summary = F.struct(
-        F.percentile_approx(value, cuts, slots * 100).alias("_edges"),
-        *[F.sum(c).alias(f"{c}_all") for c in totals],
-    )
-    # both readers of the edges must see the same ones: one evaluation of the subquery
-    if counts.sparkSession.conf.get("spark.sql.execution.reuseSubquery", "true") != "true":
-        raise RuntimeError("running_totals needs spark.sql.execution.reuseSubquery")
-    if not by:
-        return counts.agg(summary).scalar()
-    entries = counts.groupBy(*by).agg(summary.alias("_s")).agg(
-        F.map_from_entries(F.collect_list(F.struct(F.struct(*by), "_s")))
-    )
-    return F.element_at(entries.scalar(), F.struct(*by))
-
-
-def _running_totals_small(
-    counts: DataFrame, by: list[str], value: str, totals: Sequence[str]
-) -> DataFrame:
-    group = Window.partitionBy(*by)
-    smaller = group.orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    added = {f"{c}_before": F.coalesce(F.sum(c).over(smaller), F.lit(0)) for c in totals}
-    return counts.withColumns({**added, **{f"{c}_all": F.sum(c).over(group) for c in totals}})
+    return result.drop("_slot", "_at", *groups, *[f"_{c}_off" for c in totals])
 
 
 def _rank_of(probability: float, total: Column) -> Column:
-    """ceil(probability * total), at least 1, in integers (probability in 1/10000)."""
-    scaled = F.lit(round(probability * 10_000)).cast("bigint") * total
-    return F.greatest(F.ceil(scaled / 10_000), F.lit(1))
+    """ceil(probability * total), at least 1, with the probability as an exact decimal."""
+    share = Decimal(str(probability)).normalize()
+    digits = max(0, -share.as_tuple().exponent)
+    scaled = F.lit(int(share.scaleb(digits))).cast("decimal(18,0)") * total.cast("decimal(19,0)")
+    whole = F.lit(10**digits).cast("decimal(19,0)")
+    return F.greatest(F.call_function("div", scaled + whole - 1, whole), F.lit(1).cast("bigint"))
 
 
 def exact_quantiles(
@@ -132,7 +106,6 @@ def exact_quantiles(
     quantiles: dict[str, float],
     by: Sequence[str] = (),
     weight: str | None = None,
-    rows: int | None = None,
 ) -> DataFrame:
     """One row per (by..., metric) with one column per named quantile.
 
@@ -140,7 +113,7 @@ def exact_quantiles(
     always a value that occurs.
     """
     counts = value_counts(df, columns, by, weight)
-    ranked = running_totals(counts, [*by, "metric"], "value", ["n"], rows)
+    ranked = running_totals(counts, [*by, "metric"], "value", ["n"])
     reached = F.col("n_before") + F.col("n")
     return ranked.groupBy(*by, "metric").agg(
         *[

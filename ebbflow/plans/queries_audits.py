@@ -9,12 +9,13 @@ from ebbflow.operators import cleaning as cl
 from ebbflow.operators import profiling as pr
 from ebbflow.operators import quality as qu
 from ebbflow.operators.horizon import last_month
+from ebbflow.operators.ranking import exact_quantiles
 from ebbflow.plans.registry import query
 from ebbflow.plans.sql import oracle
 from ebbflow.plans.stages import cohorts_of, modelling_stage, silver_stage, windowed_stage
 from ebbflow.settings import REGIONAL
 from ebbflow.sources import delimited, files, layers, sinks
-from ebbflow.sources.samples import movements, order_movements, raw_movements
+from ebbflow.sources.samples import movements, order_movements, raw_movements, table
 
 _SALARY = """CASE WHEN l_linenumber IN (5, 6, 7) THEN NULL ELSE cents / 100 END"""
 
@@ -223,7 +224,25 @@ _PROFILE_QUANTILES = ", ".join(
 )
 def numeric_profile(spark, sf_dir):
     rows = modelling_stage(spark, sf_dir)
-    return pr.numeric_profile(rows.table, ["n_total", "n_pos", "n_neg"], rows.rows)
+    return pr.numeric_profile(rows.table, ["n_total", "n_pos", "n_neg"])
+
+
+_FINE = {"p00001": 0.00001, "p99995": 0.99995, "p99999": 0.99999}
+
+
+@query(
+    "fine_quantiles",
+    "SELECT 'l_extendedprice' AS metric, "
+    + ", ".join(
+        f"""list(l_extendedprice ORDER BY l_extendedprice)[greatest(1, CAST(ceil(CAST({p} AS DECIMAL(9, 5))
+        * count(*)) AS BIGINT))] AS {name}"""
+        for name, p in (("p00001", "0.00001"), ("p99995", "0.99995"), ("p99999", "0.99999"))
+    )
+    + " FROM lineitem",
+)
+def fine_quantiles(spark, sf_dir):
+    """Probabilities far into both tails, taken as exact decimals."""
+    return exact_quantiles(table(spark, sf_dir, "lineitem"), ["l_extendedprice"], _FINE)
 
 
 @query(
@@ -323,6 +342,6 @@ def attrition(spark, sf_dir):
     rows = cl.typed(delimited.conform(raw_movements(spark, sf_dir)))
     windowed = windowed_stage(spark, sf_dir)
     in_data = F.col("month_seq") <= last_month(windowed.table) - REGIONAL.outlook.horizon
-    ingested = qu.stage_counts(rows, {"raw": None, "valid": cl.is_valid()})
+    ingested = qu.stage_counts(rows, {"raw": None, "valid": cl.is_valid(cl.month_of(rows))})
     modelled = qu.stage_counts(windowed.table, {"cohorts": None, "eligible": in_data}, first=3)
     return qu.attrition(ingested.unionByName(modelled), minimum=5_000)

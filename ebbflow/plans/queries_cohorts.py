@@ -251,7 +251,7 @@ _FROM = ", ".join(
 )
 def cohort_granularity(spark, sf_dir):
     sizes = materialise(co.cohort_sizes(movements(spark, sf_dir, KEY_C)), "sizes")
-    return co.cohort_granularity(sizes, rows=sizes.count())
+    return co.cohort_granularity(sizes)
 
 
 _STEPS = ", ".join(f"({t})" for t in SIZE_THRESHOLDS)
@@ -312,7 +312,8 @@ def forward_window_join(spark, sf_dir):
     ),
 )
 def right_censoring(spark, sf_dir):
-    return ho.censoring_report(windowed_stage(spark, sf_dir).table)
+    # counts per month need no forward window
+    return ho.censoring_report(cohorts_of(spark, sf_dir))
 
 
 @query(

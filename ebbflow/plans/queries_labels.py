@@ -37,7 +37,7 @@ from ebbflow.settings import NATIONAL, REGIONAL
 )
 def indicator_quantiles(spark, sf_dir):
     cohorts = eligible_stage(spark, sf_dir)
-    return la.indicator_quantiles(cohorts.table, rows=cohorts.rows)
+    return la.indicator_quantiles(cohorts.table)
 
 
 @query(
@@ -53,7 +53,7 @@ def indicator_quantiles(spark, sf_dir):
     ),
 )
 def indicator_quantiles_slotted(spark, sf_dir):
-    """The route taken when the number of cohorts is not known to be small."""
+    """The same rows, as published earlier under this name."""
     return la.indicator_quantiles(eligible_stage(spark, sf_dir).table)
 
 
@@ -110,7 +110,7 @@ def class_distribution(spark, sf_dir):
 )
 def threshold_ties(spark, sf_dir):
     cohorts = eligible_stage(spark, sf_dir)
-    return la.threshold_ties(cohorts.table, rows=cohorts.rows)
+    return la.threshold_ties(cohorts.table)
 
 
 _RATES = """count(*) AS n_cohorts, count(*) FILTER (WHERE high_turnover = 0) AS n_class_0,

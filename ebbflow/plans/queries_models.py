@@ -88,12 +88,12 @@ _AUC = """SELECT max(p) AS n_pos, max(n) AS n_neg,
 def auc_rank(spark, sf_dir):
     parts = parts_stage(spark, sf_dir)
     predictions = ev.rule_predictions(parts.table)
-    return ev.auc_rank(predictions, rows=parts.rows).withColumn("auc", F.round("auc", 9))
+    return ev.auc_rank(predictions).withColumn("auc", F.round("auc", 9))
 
 
 @query("auc_rank_slotted", oracle(_AUC, "pred"))
 def auc_rank_slotted(spark, sf_dir):
-    """The route taken when the number of scores is not known to be small."""
+    """The same rows from the stored parts, as published earlier under this name."""
     predictions = ev.rule_predictions(parts_stage(spark, sf_dir).table)
     return ev.auc_rank(predictions).withColumn("auc", F.round("auc", 9))
 
@@ -172,14 +172,14 @@ def _fitted(spark, sf_dir, classifier):
     """The fitted pipeline, its test rows, its seconds and a bound on the rows."""
     parts = parts_stage(spark, sf_dir)
     train, test = le.split_parts(parts.table)
-    model, seconds = le.fit(train, classifier, rows=parts.rows)
+    model, seconds = le.fit(train, classifier)
     return model, test, seconds, parts.rows
 
 
 def _metrics(spark, sf_dir, classifier, name):
     model, test, seconds, n = _fitted(spark, sf_dir, classifier)
     scored = le.scores(model, test)
-    row = le.metrics_row(scored, name, seconds, rows=n)
+    row = le.metrics_row(scored, name, seconds)
     return row.withColumn("auc_binned", F.lit(le.area_under_roc(scored)))
 
 
@@ -199,8 +199,8 @@ def national_lr_metrics(spark, sf_dir):
     features = NATIONAL.features
     parts = parts_stage(spark, sf_dir, NATIONAL)
     train, test = le.split_parts(parts.table)
-    model, seconds = le.fit(train, le.logistic_regression(features), features, parts.rows)
-    return le.metrics_row(le.scores(model, test), "logistic_regression", seconds, rows=parts.rows)
+    model, seconds = le.fit(train, le.logistic_regression(features), features)
+    return le.metrics_row(le.scores(model, test), "logistic_regression", seconds)
 
 
 @query("model_comparison")
@@ -213,8 +213,8 @@ def model_comparison(spark, sf_dir):
         ("logistic_regression", le.logistic_regression()),
         ("random_forest", le.random_forest()),
     ):
-        model, seconds = le.fit(train, classifier, rows=parts.rows)
-        rows.append(le.metrics_row(le.scores(model, test), name, seconds, rows=parts.rows))
+        model, seconds = le.fit(train, classifier)
+        rows.append(le.metrics_row(le.scores(model, test), name, seconds))
     # a few rows, each from its own model: evaluated once, then compared
     metrics = materialise(reduce(DataFrame.unionByName, rows), "metrics")
     best = le.recommended(metrics).select("model").scalar()
@@ -252,7 +252,7 @@ def tuning_report(spark, sf_dir):
     """Validation AUC of the eight combinations, best first."""
     parts = parts_stage(spark, sf_dir)
     train, test = le.split_parts(parts.table)
-    model, records, _ = le.tune(train, rows=parts.rows)
+    model, records, _ = le.tune(train)
     return le.tuning_grid_report(records, le.predict(model, test))
 
 
@@ -262,11 +262,11 @@ def tuning_comparison(spark, sf_dir):
     parts = parts_stage(spark, sf_dir)
     n = parts.rows
     train, test = le.split_parts(parts.table)
-    base, base_seconds = le.fit(train, le.random_forest(), rows=n)
-    tuned, _, tuned_seconds = le.tune(train, rows=n)
+    base, base_seconds = le.fit(train, le.random_forest())
+    tuned, _, tuned_seconds = le.tune(train)
     return le.tuning_comparison(
-        le.metrics_row(le.scores(base, test), "random_forest", base_seconds, rows=n),
-        le.metrics_row(le.scores(tuned, test), "random_forest_tuned", tuned_seconds, rows=n),
+        le.metrics_row(le.scores(base, test), "random_forest", base_seconds),
+        le.metrics_row(le.scores(tuned, test), "random_forest_tuned", tuned_seconds),
     )
 
 

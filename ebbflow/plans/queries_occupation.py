@@ -57,7 +57,7 @@ def dominant_join(spark, sf_dir):
 )
 def dominance_quantiles(spark, sf_dir):
     joined = materialise(_joined(spark, sf_dir), "dominant")
-    return oc.dominance_quantiles(joined, rows=joined.count())
+    return oc.dominance_quantiles(joined)
 
 
 def _rates(by: str, minimum: int, top: int) -> str:

@@ -88,8 +88,8 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "silver": (
         ("modelling",),
         """SELECT month, month_seq, CAST(region AS VARCHAR) AS region, section, age_band,
-      CAST(n_total AS INTEGER) AS n_total, CAST(n_pos AS INTEGER) AS n_pos,
-      CAST(n_neg AS INTEGER) AS n_neg, round(ln(1 + n_total), 9) AS log_volume,
+      CAST(n_total AS BIGINT) AS n_total, CAST(n_pos AS BIGINT) AS n_pos,
+      CAST(n_neg AS BIGINT) AS n_neg, round(ln(1 + n_total), 9) AS log_volume,
       n_neg / n_total AS share_neg, n_pos / n_total AS share_pos,
       CASE WHEN n_total <= 20 THEN 'PEQUENO' WHEN n_total <= 100 THEN 'MEDIO'
         ELSE 'GRANDE' END AS volume_band,

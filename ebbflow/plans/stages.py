@@ -42,7 +42,7 @@ def window_cohorts(cohorts: DataFrame, study: Study = REGIONAL) -> Stage:
 def label_cohorts(cohorts: DataFrame, study: Study = REGIONAL) -> Stage:
     windowed = window_cohorts(cohorts, study)
     kept = eligible(windowed.table, study.keys, study.outlook)
-    return Stage(with_label(kept, study.keys, study.outlook, windowed.rows), windowed.rows)
+    return Stage(with_label(kept, study.keys, study.outlook), windowed.rows)
 
 
 def windowed_stage(spark: SparkSession, sf_dir: str, study: Study = REGIONAL) -> Stage:

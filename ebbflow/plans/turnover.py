@@ -31,7 +31,7 @@ from ebbflow.operators.splits import hash_part, split_report
 from ebbflow.settings import REGIONAL, REGION_LABELS, Study
 from ebbflow.sources import sinks
 from ebbflow.sources.delimited import read_movement_files
-from ebbflow.sources.files import file_name_fields, list_files
+from ebbflow.sources.files import TEXT_EXTENSIONS, file_name_fields, list_files
 
 
 def region_labels(spark: SparkSession) -> DataFrame:
@@ -49,7 +49,7 @@ def ingest(
     glob: str = "*",
 ) -> DataFrame:
     """All movement files of `folder` to `bronze`, in one scan per distinct header."""
-    files = file_name_fields(list_files(spark, folder, glob)).filter("family = 'MOV'")
+    files = file_name_fields(list_files(spark, folder, glob), extensions=TEXT_EXTENSIONS).filter("family = 'MOV'")
     # one path per monthly file; Spark's own listing holds the same
     paths = [r.path for r in files.select("path").collect()]
     rows = cl.typed(read_movement_files(spark, paths), thousands_sep)
@@ -80,7 +80,7 @@ def build_target(spark: SparkSession, base: str, study: Study = REGIONAL) -> Dat
     sinks.write_table(windowed, f"{base}/cohorts")
     cohorts = sinks.read_table(spark, f"{base}/cohorts")
     kept = ho.eligible(cohorts, study.keys, study.outlook)
-    labelled = la.with_label(kept, study.keys, study.outlook, rows=cohorts.count())
+    labelled = la.with_label(kept, study.keys, study.outlook)
     sinks.write_table(labelled, f"{base}/target_audit")
     audit = sinks.read_table(spark, f"{base}/target_audit")
     sinks.write_table(la.modelling_table(audit, study.keys), f"{base}/modelling")
@@ -103,7 +103,6 @@ def describe_study(spark: SparkSession, base: str, study: Study = REGIONAL) -> d
     cohorts = sinks.read_table(spark, f"{base}/cohorts")
     audit = sinks.read_table(spark, f"{base}/target_audit")
     features = sinks.read_table(spark, f"{base}/silver")
-    rows = audit.count()
     sinks.write_table(co.cohort_sizes(movements), f"{base}/sizes")
     sizes = sinks.read_table(spark, f"{base}/sizes")
     months = cohorts.groupBy("month_seq").agg(F.sum("n_total").alias("n_rows"))
@@ -119,18 +118,18 @@ def describe_study(spark: SparkSession, base: str, study: Study = REGIONAL) -> d
     return {
         "region_years": co.region_year_counts(regions, region_labels(spark), weight="n_total"),
         "months": co.month_coverage(months),
-        "granularity": co.cohort_granularity(sizes, rows=sizes.count()),
+        "granularity": co.cohort_granularity(sizes),
         "thresholds": co.threshold_simulation(cohorts, study.size_thresholds),
         "censoring": ho.censoring_report(cohorts, study.keys, study.outlook),
         "classes": la.class_distribution(audit),
-        "ties": la.threshold_ties(audit, study.keys, study.outlook, rows),
-        "indicator": la.indicator_quantiles(audit, study.outlook, rows=rows),
+        "ties": la.threshold_ties(audit, study.keys, study.outlook),
+        "indicator": la.indicator_quantiles(audit, study.outlook),
         "stability": la.label_stability(audit, dimensions),
         "blanks": pr.null_audit(features),
-        "numbers": pr.numeric_profile(features, ["n_total", "n_pos", "n_neg"], rows),
+        "numbers": pr.numeric_profile(features, ["n_total", "n_pos", "n_neg"]),
         "categories": pr.category_profile(features, study.keys.profile),
         "keys": qu.key_report(features, study.keys.columns),
-        "dominance": oc.dominance_quantiles(joined, rows),
+        "dominance": oc.dominance_quantiles(joined),
         "occupations": oc.occupation_rate(joined),
         "occupations_by_section": oc.occupation_rate(joined, ("occupation_group", "section"), 30, 15),
         "occupations_by_region": oc.occupation_rate(joined, ("occupation_group", "region"), 30, 10),
@@ -150,20 +149,20 @@ def train(
     parts = hash_part(sinks.read_table(spark, f"{base}/silver"), study.keys.columns)
     sinks.write_table(parts, f"{base}/parts")
     parts = sinks.read_table(spark, f"{base}/parts")
-    n = parts.count()
     train_rows, test_rows = le.split_parts(parts)
+    keys = study.keys.columns
     fitted = {
-        "logistic_regression": le.fit(train_rows, le.logistic_regression(features), features, n),
-        "random_forest": le.fit(train_rows, le.random_forest(features), features, n),
+        "logistic_regression": le.fit(train_rows, le.logistic_regression(features), features, keys),
+        "random_forest": le.fit(train_rows, le.random_forest(features), features, keys),
     }
     if tuned:
-        best, _, seconds = le.tune(train_rows, features, rows=n)
+        best, _, seconds = le.tune(train_rows, features, keys=keys)
         fitted["random_forest_tuned"] = (best, seconds)
     rows = [le.baseline_row(parts, features.label)]
     for name, (model, seconds) in fitted.items():
         loaded = le.save_model(model, f"{base}/models/{name}")
         scored = le.scores(loaded, test_rows, features.label)
-        rows.append(le.metrics_row(scored, name, seconds, features.label, n))
+        rows.append(le.metrics_row(scored, name, seconds, features.label))
     return sinks.store_metrics(reduce(DataFrame.unionByName, rows), f"{base}/metrics")
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ebbflow.settings import FILE_FAMILIES
@@ -26,9 +28,14 @@ def list_files(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
     )
 
 
-def file_name_pattern(prefix: str = "[A-Z]*") -> str:
-    """`<prefix><family><YYYY><MM>`, optional extensions, any letter case."""
-    return rf"(?i)^{prefix}({'|'.join(FILE_FAMILIES)})(\d{{4}})(\d{{2}})(\.\w+)*$"
+# a delivery is a text file or the archive it came in; copies such as `.bak` are neither
+EXTENSIONS = ("txt", "csv", "7z")
+TEXT_EXTENSIONS = ("txt", "csv")
+
+
+def file_name_pattern(prefix: str = "[A-Z]*", extensions: Sequence[str] = EXTENSIONS) -> str:
+    """`<prefix><family><YYYY><MM>.<extension>`, also compressed, any letter case; nothing else."""
+    return rf"(?i)^{prefix}({'|'.join(FILE_FAMILIES)})(\d{{4}})(\d{{2}})\.({'|'.join(extensions)})(\.(gz|bz2|zst))?$"
 
 
 def file_name_fields(
@@ -36,10 +43,11 @@ def file_name_fields(
     name: Column | str = "file_name",
     prefix: str = "[A-Z]*",
     years: tuple[int, int] = (FIRST_YEAR, LAST_YEAR),
+    extensions: Sequence[str] = EXTENSIONS,
 ) -> DataFrame:
     """Add `family`, `year`, `month_no`, `month` and `recognised` from a file name."""
     column = F.col(name) if isinstance(name, str) else name
-    pattern = file_name_pattern(prefix)
+    pattern = file_name_pattern(prefix, extensions)
     fields = (
         df.withColumn("_family", F.upper(F.regexp_extract(column, pattern, 1)))
         .withColumn("_year", F.regexp_extract(column, pattern, 2).try_cast("int"))
@@ -75,7 +83,8 @@ def ingest_manifest(
     """One row per file with a `status`.
 
     `unrecognised` (bad name), `filtered` (not the month or family asked for),
-    `ingested` (its name is in `ingested`) or `new`.
+    `ingested` (its name is in `ingested`), `duplicate` (not the first name of its family and
+    month) or `new`.
     """
     named = file_name_fields(files, prefix=prefix, years=years)
     done = ingested.select("file_name").distinct().withColumn("_done", F.lit(True))
@@ -88,9 +97,14 @@ def ingest_manifest(
         F.when(~F.col("recognised"), "unrecognised")
         .when(~wanted, "filtered")
         .when(F.col("_done"), "ingested")
+        .when(F.col("_place") > 1, "duplicate")
         .otherwise("new")
     )
-    return named.join(done, "file_name", "left").withColumn("status", status).drop("_done")
+    # a window holds the files of one family and month
+    same_month = Window.partitionBy("recognised", "family", "month", F.when(~F.col("recognised"), F.col("file_name")))
+    place = F.row_number().over(same_month.orderBy(F.col("_done").desc_nulls_last(), "file_name"))
+    known = named.join(done, "file_name", "left").withColumn("_place", place)
+    return known.withColumn("status", status).drop("_done", "_place")
 
 
 def manifest_summary(manifest: DataFrame) -> DataFrame:

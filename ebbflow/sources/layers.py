@@ -24,9 +24,11 @@ def shared_folder(spark: SparkSession) -> str:
     conf = spark.sparkContext.getConf()
     named = spark.conf.get("spark.checkpoint.dir", None) or conf.get("spark.checkpoint.dir")
     named = named or spark.sparkContext.getCheckpointDir()
+    # local[...] is one machine; local-cluster[...] and all other masters are not
+    one_machine = spark.sparkContext.master.split("[")[0] == "local"
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not one_machine:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     app = spark.sparkContext.applicationId
     if app not in _local_folders:

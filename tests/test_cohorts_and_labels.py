@@ -70,9 +70,9 @@ def test_median_tie_is_class_zero(spark):
     shares = [0.2, 0.5, 0.5, 0.8]
     df = spark.createDataFrame([(i, s) for i, s in enumerate(shares)], "month_seq int, share_neg_6m double")
     for rows in (None, 4):
-        labelled = la.with_label(df, rows=rows)
+        labelled = la.with_label(df)
         assert [r.high_turnover for r in labelled.orderBy("month_seq").collect()] == [0, 0, 0, 1]
-        ties = la.threshold_ties(df, rows=rows).first()
+        ties = la.threshold_ties(df).first()
         assert (ties.threshold, ties.n_ties, ties.pct_ties) == (0.5, 2, 50.0)
 
 
@@ -127,17 +127,17 @@ def test_quantiles_match_sorting(spark, numbers):
     wanted = {"low": 0.01, "mid": 0.5, "high": 0.9, "top": 0.999}
     expected = [discrete([n / 7 for n in numbers], p) for p in wanted.values()]
     for rows in (None, len(numbers)):
-        row = ra.exact_quantiles(df, ["v"], wanted, rows=rows).first()
+        row = ra.exact_quantiles(df, ["v"], wanted).first()
         assert [row[k] for k in wanted] == expected
 
 
 def test_slotted_running_totals_with_a_hot_value(spark):
-    """A third of the rows share one value; both routes and several groups agree."""
+    """A third of the rows share one value; one slot and many slots agree."""
     hot = spark.range(3000).select(F.lit(500).alias("v"), (F.col("id") % 3).alias("g"))
     rest = spark.range(6000).select((F.col("id") % 1000).alias("v"), (F.col("id") % 3).alias("g"))
     counts = hot.union(rest).groupBy("g", "v").count()
     a = ra.running_totals(counts, ["g"], "v", ["count"])
-    b = ra.running_totals(counts, ["g"], "v", ["count"], rows=1)
+    b = ra.running_totals(counts, ["g"], "v", ["count"], values_per_slot=7)
     columns = ["g", "v", "count", "count_before", "count_all"]
     assert a.select(columns).exceptAll(b.select(columns)).isEmpty()
     assert a.count() == b.count() == counts.count()

@@ -72,6 +72,18 @@ def test_numbers_never_raise(spark):
     assert whole == [1412, None, None, None, None, 7, 25]
 
 
+def test_only_plain_numbers_are_numbers(spark):
+    texts = ["1d", "12f", "NaN", "Infinity", "-3", "+,5", "1e3", "0x10", "5.", "."]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    plain = values(df.select(fn.to_double(F.col("t")).alias("out")))
+    assert plain == [None, None, None, None, -3.0, 0.5, 1000.0, None, 5.0, None]
+
+
+def test_months_outside_the_year_have_no_ordinal(spark):
+    df = spark.createDataFrame([("202413",), ("202400",), ("2024-1",), ("20241",), (" 202412 ",)], "m string")
+    assert values(df.select(fn.month_ordinal("m").alias("out"))) == [None, None, None, None, 2024 * 12 + 12]
+
+
 def test_month_ordinal_round_trip(spark):
     labels = ["199501", "202312", "202401", "202406", "x"]
     df = spark.createDataFrame([(m,) for m in labels], "m string")

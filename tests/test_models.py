@@ -21,7 +21,7 @@ def parts(spark, small):
 @pytest.fixture(scope="module")
 def forest(parts):
     train, test = le.split_parts(parts.table)
-    model, seconds = le.fit(train, le.random_forest(trees=5, depth=4), rows=parts.rows)
+    model, seconds = le.fit(train, le.random_forest(trees=5, depth=4))
     return model, le.predict(model, test).cache(), seconds
 
 
@@ -45,7 +45,7 @@ def test_auc_matches_pairs_and_evaluator(spark, levels):
     df = spark.createDataFrame(pairs, "high_turnover int, score double")
     expected = brute_auc(pairs)
     for rows in (None, 300):
-        assert ev.auc_rank(df, rows=rows).first().auc == pytest.approx(expected, abs=1e-12)
+        assert ev.auc_rank(df).first().auc == pytest.approx(expected, abs=1e-12)
     evaluator = BinaryClassificationEvaluator(labelCol="high_turnover", rawPredictionCol="score")
     assert evaluator.evaluate(df) == pytest.approx(expected, abs=0.01)
 
@@ -101,7 +101,7 @@ def test_source_of_a_slot_is_the_longest_prefix(spark):
 
 def test_metrics_row_and_recommendation(forest, parts):
     _, predictions, seconds = forest
-    row = le.metrics_row(predictions, "random_forest", seconds, rows=parts.rows)
+    row = le.metrics_row(predictions, "random_forest", seconds)
     both = le.baseline_row(parts.table).unionByName(row)
     values = {r.model: r for r in both.collect()}
     exact = values["random_forest"].auc_roc
@@ -113,9 +113,9 @@ def test_metrics_row_and_recommendation(forest, parts):
 
 def test_fit_repeats_whatever_the_layout(parts):
     train, test = le.split_parts(parts.table)
-    a, _ = le.fit(train, le.random_forest(trees=3, depth=3), rows=parts.rows)
+    a, _ = le.fit(train, le.random_forest(trees=3, depth=3))
     shuffled = train.repartition(7, F.rand(1))
-    b, _ = le.fit(shuffled, le.random_forest(trees=3, depth=3), rows=parts.rows)
+    b, _ = le.fit(shuffled, le.random_forest(trees=3, depth=3))
     keys = list(le.COHORT_KEY)
     left = le.predict(a, test).select(*keys, F.col("score").alias("s1"))
     right = le.predict(b, test).select(*keys, F.col("score").alias("s2"))
@@ -132,7 +132,7 @@ def test_save_and_load(forest, parts, tmp_path):
 
 def test_regression_coefficients(parts):
     train, test = le.split_parts(parts.table)
-    model, _ = le.fit(train, le.logistic_regression(), rows=parts.rows)
+    model, _ = le.fit(train, le.logistic_regression())
     rows = le.coefficients(model, le.predict(model, test)).collect()
     magnitudes = [abs(r.coefficient) for r in rows]
     assert magnitudes == sorted(magnitudes, reverse=True)
@@ -142,7 +142,7 @@ def test_regression_coefficients(parts):
 def test_tuning(parts):
     train, test = le.split_parts(parts.table)
     best, records, seconds = le.tune(
-        train, trees=(2, 3), depths=(2,), min_instances=(1,), rows=parts.rows
+        train, trees=(2, 3), depths=(2,), min_instances=(1,)
     )
     assert [r["trees"] for r in records] == [2, 3]
     report = le.tuning_grid_report(records, le.predict(best, test)).collect()

@@ -47,6 +47,17 @@ def test_file_names(spark):
     assert strict == 0
 
 
+def test_copies_and_second_files_of_a_month(spark):
+    names = ["LABORMOV202401.txt", "OLDLABORMOV202401.txt", "LABORMOV202401.txt.bak", "LABORFOR202401.txt"]
+    df = spark.createDataFrame([(n,) for n in names], "file_name string")
+    none = spark.createDataFrame([], "file_name string")
+    status = {r.file_name: r.status for r in files.ingest_manifest(df, none).collect()}
+    assert [status[n] for n in names] == ["new", "duplicate", "unrecognised", "new"]
+    done = spark.createDataFrame([(names[1],)], "file_name string")
+    status = {r.file_name: r.status for r in files.ingest_manifest(df, done).collect()}
+    assert [status[n] for n in names[:2]] == ["duplicate", "ingested"]
+
+
 def test_header_drift_gives_one_column(spark, tmp_path):
     first = write(tmp_path, "LABORMOV202401.txt", " Salário ")
     second = write(tmp_path, "LABORMOV202402.txt", "ValorSalárioFixo")
