@@ -120,7 +120,8 @@ def test_copies_stay_together_unless_too_many(spark):
     where = defaultdict(set)
     for r in out:
         where[text[r["doc_id"]]].add(r["shard"])
-    assert sum(len(v) > 1 for v in where.values()) <= 10
+    # seven cuts, the hot group, and some groups that a quota refused; a random deal parts nearly all
+    assert sum(len(v) > 1 for v in where.values()) <= 15 < len(where) // 6
     loads = Counter()
     for r in out:
         loads[r["shard"]] += r["size"]
