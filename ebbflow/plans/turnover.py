@@ -51,10 +51,10 @@ def ingest(
     """All movement files of `folder` to `bronze`, in one scan per distinct header."""
     files = file_name_fields(list_files(spark, folder, glob), extensions=TEXT_EXTENSIONS).filter("family = 'MOV'")
     # one path per monthly file; Spark's own listing holds the same
-    paths = [r.path for r in files.select("path").collect()]
-    rows = cl.typed(read_movement_files(spark, paths), thousands_sep)
+    found = files.select("path", "month").collect()
+    rows = cl.typed(read_movement_files(spark, [r.path for r in found]), thousands_sep)
     kept = cl.valid_movements(cl.in_regions(rows, study.region_codes))
-    sinks.write_months(kept, f"{base}/bronze")
+    sinks.write_months(kept, f"{base}/bronze", months=sorted({r.month for r in found}))
     return sinks.read_table(spark, f"{base}/bronze")
 
 

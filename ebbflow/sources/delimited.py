@@ -40,27 +40,33 @@ def normalise_name(name: str) -> str:
 def _headers(
     spark: SparkSession, paths: list[str], sep: str, encoding: str
 ) -> dict[tuple[str, ...], list[str]]:
-    """Paths grouped by their header, so each distinct header costs one scan.
+    """Files grouped by their header, so each distinct header costs one scan.
 
     Only the first line of each file is opened, through Hadoop's file system, which
-    costs no Spark job. The files of a folder are taken to share one header.
+    costs no Spark job. A folder stands for the files in it, each with its own header.
     """
     groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
     for path in paths:
-        line = _first_line(spark, path, encoding)
-        groups[tuple(next(csv.reader([line], delimiter=sep)))].append(path)
+        for file in _files(spark, path):
+            line = _first_line(spark, file, encoding)
+            groups[tuple(next(csv.reader([line], delimiter=sep), ()))].append(file)
     return groups
 
 
+def _files(spark: SparkSession, path: str) -> list[str]:
+    """The data files of a folder in name order, or the file itself."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if not files.getFileStatus(target).isDirectory():
+        return [path]
+    inside = [s.getPath() for s in files.listStatus(target) if s.isFile()]
+    return sorted(p.toString() for p in inside if not p.getName().startswith(("_", ".")))
+
+
 def _first_line(spark: SparkSession, path: str, encoding: str) -> str:
     jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
     target = jvm.org.apache.hadoop.fs.Path(path)
-    files = target.getFileSystem(conf)
-    if files.getFileStatus(target).isDirectory():
-        inside = [s.getPath() for s in files.listStatus(target) if s.isFile()]
-        data = [p for p in inside if not p.getName().startswith(("_", "."))]
-        target = min(data, key=lambda p: p.getName())
-    stream = files.open(target)
+    stream = target.getFileSystem(conf).open(target)
     try:
         codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(target)
         source = codec.createInputStream(stream) if codec else stream

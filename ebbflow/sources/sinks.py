@@ -2,18 +2,26 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ebbflow.functions import is_blank
 
 
 def write_months(
-    df: DataFrame, base: str, month: str = "month", rebalance: bool = False
+    df: DataFrame,
+    base: str,
+    month: str = "month",
+    rebalance: bool = False,
+    months: Sequence[str] = (),
 ) -> None:
-    """Replace exactly the months present in `df`; leave the others alone.
+    """Replace the months present in `df` and those named in `months`; leave the others alone.
+
+    A named month without a row loses the rows it had: name every month that was delivered.
+    Its rows are counted while they are written, so nothing is read twice.
 
     A movement file holds one month, so a task holds one or two and writes as many
     files: no shuffle is needed. For rows in any other order ask for `rebalance`, which
@@ -22,12 +30,21 @@ def write_months(
     rows = df.withColumn("competencia", F.col(month))
     if rebalance:
         rows = rows.hint("rebalance", F.col("competencia"))
+    seen = Observation()
+    if months:
+        counts = [F.count_if(F.col("competencia") == m).alias(m) for m in months]
+        rows = rows.observe(seen, *counts)
     (
         rows.write.partitionBy("competencia")
         .option("partitionOverwriteMode", "dynamic")
         .mode("overwrite")
         .parquet(base)
     )
+    if months:
+        for m, n in seen.get.items():
+            if n == 0:
+                path, files = _file_system(df.sparkSession, f"{base}/competencia={m}")
+                files.delete(path, True)
 
 
 def write_partitioned(df: DataFrame, base: str, by: str) -> None:
@@ -58,9 +75,14 @@ def write_report(df: DataFrame, base: str, kind: str = "json") -> None:
     writer.option("header", True).csv(base) if kind == "csv" else writer.json(base)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _file_system(spark: SparkSession, path: str):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(target)
+    return target, target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    target, files = _file_system(spark, path)
+    return files.exists(target)
 
 
 def readback_report(
@@ -83,12 +105,19 @@ def readback_report(
         ],
     )
     none: Column = F.lit(None).cast("bigint")
-    after = stored.agg(
-        F.count(F.lit(1)).alias("rows_after"),
-        F.approx_count_distinct("_file").alias("n_files"),
-        (F.countDistinct(partition) if partition else none).alias("n_partitions"),
-        blanks.alias("n_blank_cells"),
-        (F.count_if(F.col(label) == 1) if label else none).alias("n_label_1"),
+    # a file lies in one partition, so the counts per file hold the partitions, too
+    per_file = stored.groupBy("_file", (F.col(partition) if partition else none).alias("_part")).agg(
+        F.count(F.lit(1)).alias("n"),
+        blanks.alias("blanks"),
+        (F.count_if(F.col(label) == 1) if label else none).alias("ones"),
+    )
+    nothing = F.lit(0).cast("bigint")
+    after = per_file.agg(
+        F.coalesce(F.sum("n"), nothing).alias("rows_after"),
+        F.countDistinct("_file").alias("n_files"),
+        (F.countDistinct("_part") if partition else none).alias("n_partitions"),
+        F.coalesce(F.sum("blanks"), nothing).alias("n_blank_cells"),
+        (F.coalesce(F.sum("ones"), nothing) if label else none).alias("n_label_1"),
     )
     before = expected.agg(F.count(F.lit(1)).alias("rows_before"))
     marker = F.lit(_exists(spark, f"{base}/_SUCCESS")).alias("success_marker")

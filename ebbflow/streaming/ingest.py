@@ -55,7 +55,7 @@ def ingest_new_files(
         paths = [r.path for r in files.select("path").collect()]
         raw = read_movement_files(batch.sparkSession, paths, family=family)
         rows = valid_movements(in_regions(typed(raw, thousands_sep), region_codes))
-        write_months(rows, base)
+        write_months(rows, base, months=changed)
 
     arrivals = month_stream(spark, folder, glob).filter(F.col("family") == family)
     return (
