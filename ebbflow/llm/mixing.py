@@ -167,7 +167,8 @@ def mixed(docs: DataFrame, mix: Mix = Mix()) -> tuple[DataFrame, DataFrame]:
     parts = placed.filter("size > 0").select(
         "rank", "start", "doc_id", "text_hash", "size", F.explode(blocks).alias("block")
     )
-    met = parts.join(slots(goals, mix), ["rank", "block"])
+    # slots grow with the corpus though they come from a row per source: never broadcast them
+    met = parts.join(slots(goals, mix).hint("merge"), ["rank", "block"])
     low = F.greatest(F.col("block") * b, F.col("start"))
     high = F.least(F.col("block") * b + F.col("take"), end)
     pieces = met.filter(high > low).select(
