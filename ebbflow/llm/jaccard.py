@@ -324,18 +324,32 @@ def _star_candidates(posts: DataFrame, like: Likeness) -> DataFrame:
 
 
 def _cross_candidates(posts: DataFrame, roots: DataFrame, like: Likeness) -> DataFrame:
-    """(k1, k2) sharing a frequent token in different components so far, that fit in size.
+    """(k1, k2) sharing a frequent token in different components so far, that can be linked.
 
     Tokens whose sets are all of one component give nothing; the sets of the others are
-    paired across components only.
+    paired across components only. A set that posts a frequent token posts all of its
+    `rare` tokens, too, and linked sets with one of those in common are in one component
+    by now. So what two sets still have in common is at most the rest of each.
     """
     known = posts.join(roots.select(F.col("node").alias("key"), "root"), "key", "left")
     known = known.withColumn("root", F.coalesce("root", "key"))
     mixed_tokens = known.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y")
     open_posts = stored(known.join(mixed_tokens.select("token"), "token"), "open-posts")
-    a = open_posts.select("token", F.col("key").alias("k1"), F.col("n").alias("n1"), F.col("root").alias("r1"))
-    b = open_posts.select("token", F.col("key").alias("k2"), F.col("n").alias("n2"), F.col("root").alias("r2"))
-    fits = (F.col("n2") * like.percent <= F.col("n1") * 100) & (F.struct("n1", "k1") < F.struct("n2", "k2"))
+    a, b = (
+        open_posts.select(
+            "token",
+            F.col("key").alias(f"k{i}"),
+            F.col("n").alias(f"n{i}"),
+            F.col("root").alias(f"r{i}"),
+            # the greatest sum of both sizes at which the rest is enough for a link
+            F.floor((F.col("n") - F.col("rare")) * (100 + like.percent) / like.percent).alias(f"most{i}"),
+        )
+        for i in (1, 2)
+    )
+    # the smaller of two sets meets none below its own size
+    a = a.filter(F.col("n1") * 2 <= F.col("most1"))
+    both = F.col("n1") + F.col("n2")
+    fits = (both <= F.col("most1")) & (both <= F.col("most2")) & (F.struct("n1", "k1") < F.struct("n2", "k2"))
     met = a.join(b, "token").filter((F.col("r1") != F.col("r2")) & fits)
     shared = met.groupBy("k1", "k2", "n1", "n2").agg(F.lit(1))
     return shared.select("k1", "k2")
@@ -412,7 +426,7 @@ def joined(docs: DataFrame, like: Likeness = Likeness()) -> tuple[DataFrame, Dat
         F.explode(F.slice("prefix", F.lit(1), F.col("rare").cast("int"))).alias("token"),
     )
     after = F.filter("prefix", lambda t, i: i >= F.col("rare"))
-    common = rows.select("key", n.alias("n"), F.explode(after).alias("token"))
+    common = rows.select("key", n.alias("n"), "rare", F.explode(after).alias("token"))
     common = stored(common.distinct(), "frequent-posts")
     pairs = _rare_candidates(rare, like).union(_star_candidates(common, like)).distinct()
     links = _verified(docs, rows, stored(pairs, "candidates"), like)

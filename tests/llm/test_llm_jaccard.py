@@ -83,6 +83,19 @@ def test_large_groups_of_near_copies_do_not_become_all_pairs(spark, tmp_path):
     assert ours(jaccard.grouped(docs, like)) == brute_groups(rows)
 
 
+def test_short_texts_around_one_passage(spark):
+    """Sets that share a frequent passage and differ in a few words of their own, on both sides."""
+    passage = [f"p{i}" for i in range(50)]
+    rows = []
+    for i in range(120):
+        own = [f"own{i}.{k}" for k in range(i % 24)]
+        cut = passage[i % 5 :] if i % 3 else passage
+        rows.append((i, " ".join([*own[: len(own) // 2], *cut, *own[len(own) // 2 :]])))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    like = jaccard.Likeness(frequent_from=6)
+    assert ours(jaccard.grouped(docs, like)) == brute_groups(rows)
+
+
 def test_one_of_each_keeps_columns(hard_docs, hard_rows):
     kept = jaccard.one_of_each(hard_docs)
     want = {c for _, _, c, _ in brute_groups([(d, t) for d, t, *_ in hard_rows])}
