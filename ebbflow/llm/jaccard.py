@@ -306,21 +306,32 @@ def _rare_candidates(posts: DataFrame, like: Likeness) -> DataFrame:
 
 
 def _star_candidates(posts: DataFrame, like: Likeness) -> DataFrame:
-    """(k1, k2): each set that posts a frequent token and the smallest set posting it.
+    """(k1, k2): each set that posts a frequent token, with the smallest set posting it and
+    with one set chosen by a hash of set and token.
 
-    One row a post, however many sets share the token. Size steps are powers of the size
+    Two rows a post, however many sets share the token. The hashed choice differs from token
+    to token, so a set meets many members of its group, not only one that may be too far
+    away. Size steps are powers of the size
     ratio, so the smallest set of a step can be linked to all of it; the largest set of a
     step meets the smallest of the next.
     """
     step = F.floor(F.log(F.col("n")) / math.log(100 / like.percent)).cast("int")
     stepped = posts.withColumn("step", step)
     size = F.struct("n", "key")
-    ends = stepped.groupBy("token", "step").agg(F.min_by("key", size).alias("k1"), F.max_by("key", size).alias("top"))
+    ends = stepped.groupBy("token", "step").agg(
+        F.min_by("key", size).alias("k1"),
+        F.max_by("key", size).alias("top"),
+        F.min_by("key", F.xxhash64("token", "key")).alias("any"),
+    )
     ends = stored(ends, "token-steps")
-    both = stepped.join(ends, ["token", "step"]).filter("key <> k1")
+    both = stepped.join(ends, ["token", "step"])
+    centres = F.explode(F.array("k1", "any")).alias("k1")
+    both = both.select(centres, F.col("key").alias("k2")).filter("k1 <> k2")
+    # either order of a pair is the same pair
+    both = both.select(F.least("k1", "k2").alias("k1"), F.greatest("k1", "k2").alias("k2"))
     below = ends.select("token", (F.col("step") + 1).alias("step"), F.col("top").alias("below"))
     bridges = ends.join(below, ["token", "step"]).select(F.col("below").alias("k1"), F.col("k1").alias("k2"))
-    return both.select("k1", F.col("key").alias("k2")).union(bridges).distinct()
+    return both.union(bridges).distinct()
 
 
 def _cross_candidates(posts: DataFrame, roots: DataFrame, like: Likeness) -> DataFrame:
