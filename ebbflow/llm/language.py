@@ -1,15 +1,18 @@
 """Language by Bayesian fusion of text, declared markup language, address suffix and host.
 
 Text likelihoods come from hashed byte trigrams, counted per declared language over every
-document. Host priors are counts of the languages that texts alone suggest, smoothed
-towards the address suffix of the host, and that towards the whole corpus; the counts are
-grouped aggregations. The posterior multiplies the parts.
+document; the languages are those that enough rows declare. One more class, no language of
+these, is as likely as a text just beyond what its best language explains. Host priors are
+counts of the classes that texts alone suggest, smoothed towards the address suffix of the
+host, and that towards the whole corpus; the counts are grouped aggregations. The
+posterior multiplies the parts.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +26,20 @@ CELLS = 1 << 16
 
 @dataclass(frozen=True)
 class Evidence:
+    # `identified` takes the declared languages of its rows unless it is given settings
     languages: tuple[str, ...] = ("de", "en", "es", "fr")
+    # a declared value is a language from a thousandth of the declaring rows on, at least and at
+    # most so many; tasks hold CELLS counts for each language
+    least_rows: int = 3
+    enough_rows: int = 20
+    most_languages: int = 256
+    # part of each language's likelihood that is spread over all cells alike
+    unseen: float = 0.01
+    # a text may fall so far below its language's mean, in nats a trigram and in standard
+    # errors; one of fewer trigrams says too little to be ruled out
+    floor_nats: float = 2.0
+    floor_errors: float = 3.0
+    floor_trigrams: int = 20
     # trust in a declared language, spread over the others if it is wrong
     declared_right: float = 0.9
     # counts by which a host leans on its suffix, and a suffix on the corpus
@@ -91,6 +107,16 @@ def evidence_of_pages(pages: DataFrame) -> DataFrame:
     )
 
 
+def declared_languages(evidence: DataFrame, settings: Evidence = Evidence()) -> tuple[str, ...]:
+    """The values that enough rows declare, in code point order; the commonest if too many."""
+    counts = evidence.filter("declared is not null and declared <> ''").groupBy("declared").agg(F.count(F.lit(1)).alias("n"))
+    counts = stored(counts, "declared-counts")
+    rows = counts.agg(F.sum("n")).first()[0] or 0
+    least = min(settings.enough_rows, max(settings.least_rows, rows // 1000))
+    often = counts.filter(F.col("n") >= least).orderBy(F.desc("n"), "declared")
+    return tuple(sorted(r["declared"] for r in often.limit(settings.most_languages).collect()))
+
+
 def trained(evidence: DataFrame, settings: Evidence = Evidence()) -> np.ndarray:
     """Log likelihood of each cell in each language, from every row that declares one.
 
@@ -120,19 +146,29 @@ def trained(evidence: DataFrame, settings: Evidence = Evidence()) -> np.ndarray:
     table = np.zeros((len(names), CELLS))
     for row in counts.groupBy("which", "cell").agg(F.sum("n").alias("n")).toLocalIterator():
         table[row["which"], row["cell"]] = row["n"]
-    table += 0.5
-    return np.log(table / table.sum(axis=1, keepdims=True)).astype(np.float32)
+    # a cell that no text has costs the same in each language, however much text it has
+    known_part = (1 - settings.unseen) * table / np.maximum(table.sum(axis=1, keepdims=True), 1)
+    return np.log(known_part + settings.unseen / CELLS).astype(np.float32)
+
+
+def expected(model: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and standard deviation of a trigram's log likelihood in a text of each language."""
+    p = np.exp(model.astype(np.float64))
+    p /= p.sum(axis=1, keepdims=True)
+    mean = (p * model).sum(axis=1)
+    return mean, np.sqrt((p * (model - mean[:, None]) ** 2).sum(axis=1))
 
 
 def scored(evidence: DataFrame, model: np.ndarray, settings: Evidence = Evidence()) -> DataFrame:
-    """(doc_id, text_hash, declared, host, letters, scores): log likelihoods by language.
+    """(doc_id, text_hash, declared, host, letters, scores, unknown): log likelihoods by language.
 
-    A long text's likelihood is tempered to that of `most_trigrams` trigrams.
+    A long text's likelihood is tempered to that of `most_trigrams` trigrams. `unknown` is the
+    least that a text of the best language has by its length, null for one too short to tell.
     """
-    shared = evidence.sparkSession.sparkContext.broadcast(model)
+    shared = evidence.sparkSession.sparkContext.broadcast((model, *expected(model)))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        logs = shared.value
+        logs, mean, deviation = shared.value
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 piece = batch.slice(at, 256)
@@ -142,11 +178,15 @@ def scored(evidence: DataFrame, model: np.ndarray, settings: Evidence = Evidence
                 held = np.maximum(ends - starts, 1)
                 begin = np.minimum(starts, max(len(cells) - 1, 0))
                 sums = np.stack([np.add.reduceat(row[cells], begin, dtype=np.float64) for row in logs], axis=1)
-                sums *= (np.minimum(held, settings.most_trigrams) / held)[:, None]
+                counted = np.minimum(held, settings.most_trigrams)
+                sums *= (counted / held)[:, None]
                 sums[empty] = 0.0
+                best = np.argmax(sums, axis=1)
+                floor = mean[best] - settings.floor_nats - settings.floor_errors * deviation[best] / np.sqrt(held)
+                unknown = pa.array(counted * floor, mask=empty | (held < settings.floor_trigrams))
                 lists = pa.array(list(sums), pa.list_(pa.float64()))
-                names = ["doc_id", "text_hash", "declared", "host", "letters", "scores"]
-                yield pa.RecordBatch.from_arrays([*piece.columns[:4], piece.column(5), lists], names=names)
+                names = ["doc_id", "text_hash", "declared", "host", "letters", "scores", "unknown"]
+                yield pa.RecordBatch.from_arrays([*piece.columns[:4], piece.column(5), lists, unknown], names=names)
 
     text = F.coalesce("text", F.lit(""))
     rows = evidence.select(
@@ -157,7 +197,7 @@ def scored(evidence: DataFrame, model: np.ndarray, settings: Evidence = Evidence
         text.alias("text"),
         F.char_length(F.regexp_replace(text, r"[^\p{L}]+", "")).cast("bigint").alias("letters"),
     )
-    kinds = "doc_id bigint, text_hash bigint, declared string, host string, letters bigint, scores array<double>"
+    kinds = "doc_id bigint, text_hash bigint, declared string, host string, letters bigint, scores array<double>, unknown double"
     return rows.mapInArrow(score, kinds)
 
 
@@ -166,45 +206,59 @@ def _best(values: str) -> Column:
     return (F.array_position(F.col(values), F.array_max(values)) - 1).cast("int")
 
 
-def identified(evidence: DataFrame, settings: Evidence = Evidence()) -> DataFrame:
+def identified(evidence: DataFrame, settings: Evidence | None = None) -> DataFrame:
     """doc_id, text_hash, language, posterior, text_language, accepted; one row per row.
 
-    A row without letters has no language and is not accepted. Missing evidence of one
-    kind leaves that factor out; ties go to the language named first.
+    Without settings the languages are those the rows declare. A row without letters, or
+    whose likeliest class is none of the languages, has no language and is not accepted.
+    Missing evidence of one kind leaves that factor out; ties go to the language named first.
     """
+    if settings is None:
+        settings = replace(Evidence(), languages=declared_languages(evidence))
     names = list(settings.languages)
-    k = len(names)
+    k = len(names)  # position of the class that is none of them
+    if not k:
+        return _none_identified(evidence)
     rows = stored(scored(evidence, trained(evidence, settings), settings), "language-scores")
-    rows = rows.withColumn("text_best", F.when(F.col("letters") >= settings.least_letters, _best("scores")))
+    # a text too short to be ruled out is as likely in no language as in its likeliest one
+    rows = rows.withColumn("told", F.concat("scores", F.array(F.coalesce("unknown", F.array_max("scores")))))
+    rows = rows.withColumn("text_best", F.when(F.col("letters") >= settings.least_letters, _best("told")))
     rows = rows.withColumn("suffix", suffix_of(F.col("host")))
-    votes = [F.sum((F.col("text_best") == i).cast("bigint")).alias(f"v{i}") for i in range(k)]
+    places = F.sequence(F.lit(0), F.lit(k))
+    zeros = F.array_repeat(F.lit(0).cast("bigint"), k + 1)
+
+    def votes(counts: Column) -> Column:
+        return F.transform(places, lambda i: F.coalesce(counts[i], F.lit(0).cast("bigint")))
+
+    def total(values: Column) -> Column:
+        return F.aggregate(values, F.lit(0).cast("bigint"), lambda s, x: s + x)
+
+    def gathered(counts: DataFrame, *keys: str) -> DataFrame:
+        # at most one row for each key and class is collected
+        sums = counts.groupBy(*keys, "text_best").agg(F.sum("n").alias("n"))
+        pairs = F.map_from_entries(F.collect_list(F.struct("text_best", "n")))
+        return sums.groupBy(*keys).agg(votes(pairs).alias("votes"))
+
     told = rows.filter("text_best is not null")
-    per_host = stored(told.groupBy("host", "suffix").agg(*votes), "host-votes")
-    sums = [F.sum(f"v{i}").alias(f"s{i}") for i in range(k)]
-    per_suffix = per_host.filter("suffix is not null").groupBy("suffix").agg(*sums)
-    whole = per_host.agg(*[F.coalesce(F.sum(f"v{i}"), F.lit(0)) for i in range(k)]).first()
-    total = sum(whole) + k
-    corpus = [(n + 1) / total for n in whole]
+    counted = stored(told.groupBy("host", "suffix", "text_best").agg(F.count(F.lit(1)).alias("n")), "host-votes")
+    per_suffix = gathered(counted.filter("suffix is not null"), "suffix").withColumnRenamed("votes", "of_suffix")
+    whole = {r["text_best"]: r["n"] for r in counted.groupBy("text_best").agg(F.sum("n").alias("n")).collect()}
+    everything = sum(whole.values()) + k + 1
+    corpus = F.array(*[F.lit((whole.get(i, 0) + 1) / everything) for i in range(k + 1)])
     a, b = settings.suffix_lean, settings.host_lean
-    s_all = sum((F.coalesce(f"s{i}", F.lit(0)) for i in range(k)), F.lit(0))
-    suffix_prior = [(F.coalesce(f"s{i}", F.lit(0)) + a * corpus[i]) / (s_all + a) for i in range(k)]
-    v_all = sum((F.col(f"v{i}") for i in range(k)), F.lit(0))
-    host_prior = [(F.col(f"v{i}") + b * suffix_prior[i]) / (v_all + b) for i in range(k)]
-    hosts = per_host.filter("host is not null").join(per_suffix, "suffix", "left")
-    hosts = hosts.select("host", F.array(*host_prior).alias("prior"))
+    hosts = gathered(counted.filter("host is not null"), "host", "suffix").join(per_suffix, "suffix", "left")
+    of_suffix = F.coalesce("of_suffix", zeros)
+    suffix_prior = F.zip_with(of_suffix, corpus, lambda n, p: (n + a * p) / (total(of_suffix) + a))
+    host_prior = F.zip_with("votes", suffix_prior, lambda n, p: (n + b * p) / (total(F.col("votes")) + b))
+    hosts = hosts.select("host", host_prior.alias("prior"))
     # one row for each host; a host with a third of all rows is split by adaptive execution
-    joined = rows.join(hosts, "host", "left")
-    prior = F.coalesce("prior", F.array(*[F.lit(p) for p in corpus]))
-    wrong = (1 - settings.declared_right) / max(k - 1, 1)
-    declared = F.array(
-        *[
-            F.when(~F.coalesce(F.col("declared").isin(names), F.lit(False)), F.lit(0.0))
-            .when(F.col("declared") == n, F.log(F.lit(settings.declared_right)))
-            .otherwise(F.log(F.lit(wrong)))
-            for n in names
-        ]
-    )
-    logs = F.array(*[F.col("scores")[i] + F.log(prior[i]) + declared[i] for i in range(k)])
+    joined = rows.join(hosts, "host", "left").withColumn("prior", F.coalesce("prior", corpus))
+    # a declared value that is none of the languages speaks for the class that is none of them
+    at = F.coalesce(F.nullif(F.array_position(F.array(*[F.lit(n) for n in names]), F.col("declared")), F.lit(0)), F.lit(k + 1)) - 1
+    right, wrong = math.log(settings.declared_right), math.log((1 - settings.declared_right) / k)
+    declares = F.col("declared").isNotNull() & (F.col("declared") != "")
+    declared = F.transform(places, lambda i: F.when(~F.coalesce(declares, F.lit(False)), 0.0).when(i == at, right).otherwise(wrong))
+    logs = F.zip_with(F.zip_with("told", "prior", lambda t, p: t + F.log(p)), declared, lambda x, y: x + y)
     joined = joined.withColumn("logs", logs).withColumn("best", _best("logs"))
     spread = F.aggregate(
         "logs", F.lit(0.0), lambda s, x: s + F.exp(x - F.array_max("logs"))
@@ -218,11 +272,23 @@ def identified(evidence: DataFrame, settings: Evidence = Evidence()) -> DataFram
         F.when(enough, name("best")).alias("language"),
         "posterior",
         name("text_best").alias("text_language"),
-        (enough & (F.col("posterior") >= settings.least_posterior)).alias("kept"),
+        (enough & (F.col("best") < k) & (F.col("posterior") >= settings.least_posterior)).alias("kept"),
+    )
+
+
+def _none_identified(evidence: DataFrame) -> DataFrame:
+    nothing = F.lit(None).cast("string")
+    return evidence.select(
+        "doc_id",
+        F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"),
+        nothing.alias("language"),
+        F.lit(0.0).alias("posterior"),
+        nothing.alias("text_language"),
+        F.lit(False).alias("kept"),
     )
 
 
-def keep_identified(docs: DataFrame, settings: Evidence = Evidence()) -> DataFrame:
+def keep_identified(docs: DataFrame, settings: Evidence | None = None) -> DataFrame:
     """The rows of `docs` with an accepted language; `lang` becomes the language found."""
     found = identified(evidence_of_documents(docs), settings).filter("kept")
     found = found.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("language").alias("_lang"))

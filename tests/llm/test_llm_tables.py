@@ -218,6 +218,40 @@ def test_evidence_of_pages(spark, small):
     assert found.filter("kept").count() >= 45
 
 
+FOREIGN = {
+    "it": "Tutti gli esseri umani nascono liberi ed eguali in dignità e diritti. Essi sono dotati di ragione e di coscienza.",
+    "pl": "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw.",
+    "ru": "Все люди рождаются свободными и равными в своем достоинстве и правах.",
+    "ja": "すべての人間は、生まれながらにして自由であり、かつ、尊厳と権利とについて平等である。",
+}
+
+
+def test_texts_of_no_known_language_are_rejected(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text", "lang", "source")
+    few = [(10_000 + i, t, d, "src0") for i, (n, t) in enumerate(FOREIGN.items()) for d in (None, n)]
+    # a fifth language that enough rows declare; one of its texts declares nothing
+    words = [w for w in FOREIGN["it"].lower().split()]
+    fifth = [(20_000 + i, " ".join(words[(i * j) % len(words)] for j in range(1, 60)), "it" if i else None, "src1") for i in range(15)]
+    for extra, wanted in ((few, None), ([*few[2:], *fifth], "it")):
+        both = docs.union(spark.createDataFrame(extra, docs.schema))
+        rows = {r["doc_id"]: r for r in language.identified(language.evidence_of_documents(both)).collect()}
+        foreign = [rows[d] for d, *_ in few if d in rows]
+        assert foreign and all(r["language"] is None and not r["kept"] for r in foreign)
+        assert all(rows[d]["language"] == wanted and rows[d]["kept"] for d, *_ in fifth if d in rows)
+        known = [r for d, r in rows.items() if d < 10_000]
+        assert sum(r["kept"] for r in known) >= 0.98 * len(known)
+        kept = language.keep_identified(both).filter("doc_id between 10000 and 19999")
+        assert kept.count() == 0
+
+
+def test_language_with_little_text_is_not_favoured(spark):
+    rows = [(i, "abc def ghi " * n, d, None) for d, n in (("aa", 400), ("bb", 2)) for i in range(12)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, declared string, host string")
+    settings = language.Evidence(languages=language.declared_languages(df))
+    unseen = language.trained(df, settings).min(axis=1)
+    assert settings.languages == ("aa", "bb") and unseen[0] == unseen[1]
+
+
 def test_language_of_nothing(no_docs):
     assert language.identified(language.evidence_of_documents(no_docs)).collect() == []
 
