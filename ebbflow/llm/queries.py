@@ -75,8 +75,9 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op8_language_fusion")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = language.evidence_of_documents(table(spark, sf_dir, "documents"))
-    return language.identified(docs).drop("text_hash")
+    # documents have neither markup nor addresses; the pipeline's stage reads them
+    pages = language.evidence_of_pages(table(spark, sf_dir, "pages"))
+    return language.identified(pages).drop("text_hash").withColumnRenamed("doc_id", "page_id")
 
 
 @query("op9_bit_packed_ids")

@@ -252,6 +252,20 @@ def test_language_with_little_text_is_not_favoured(spark):
     assert settings.languages == ("aa", "bb") and unseen[0] == unseen[1]
 
 
+def test_language_query_reads_markup_and_addresses(spark, tmp_path):
+    body = {"de": "der und nicht eine lichkeit ", "en": "the and thing ation with "}
+    page = '<html lang="{}"><body><p>{}</p></body></html>'
+    rows = [(i, f"http://h{i % 5}.{s}/", page.format(n, body[n] * 20)) for n, s, at in (("de", "de", 0), ("en", "com", 100)) for i in range(at, at + 40)]
+    rows += [(900, "http://h1.de/x", "<p>xy</p>"), (901, "http://h1.com/x", "<p>xy</p>"), (902, None, page.format("de", "xy")), (903, None, page.format("en", "xy"))]
+    rows += [(904, "http://new.de/", "<p>xy</p>"), (905, "http://new.com/", "<p>xy</p>")]  # known by their suffix only
+    spark.createDataFrame(rows, "page_id bigint, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    out = QUERIES["op8_language_fusion"](spark, str(tmp_path))
+    assert out.schema["page_id"].dataType.typeName() == "long"
+    got = {r["page_id"]: r["language"] for r in out.collect()}
+    assert len(got) == len(rows)
+    assert [got[i] for i in range(900, 906)] == ["de", "en"] * 3
+
+
 def test_language_of_nothing(no_docs):
     assert language.identified(language.evidence_of_documents(no_docs)).collect() == []
 
