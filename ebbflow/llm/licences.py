@@ -1,12 +1,14 @@
 """Licence scan by sentence rules, with JVM functions only.
 
 A text's sentences are normalised, known licence sentences become identifiers, and the
-sequence of identifiers is matched against ordered licence rules. Only texts that hold a
-cue word are cut into sentences at all; nothing is shuffled.
+sequence of identifiers is matched against ordered licence rules. Every text is read
+whole; nothing is shuffled.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -76,26 +78,50 @@ ENDS = (
 NORMAL = ((r"[^a-z0-9.+]+", " "), (r"\.+( |$)", " "), (r" +", " "))
 
 
-def sentences(text: Column) -> Column:
-    """Normalised sentences: lower case, words and numbers joined by single blanks."""
-    for pattern, by in ENDS:
-        text = F.regexp_replace(text, pattern, by)
-    cut = F.split(text, "\u0001")
+END, LINE = "\u0001", "\u0002"
+
+
+def normalised(text: Column) -> Column:
+    """Words and numbers in lower case, joined by single blanks; sentences end at END.
+
+    LINE stands at a line end before a capital or a list mark. It may end a sentence or lie
+    inside a wrapped one.
+    """
+    text = F.translate(text, LINE, " ")
+    for (pattern, by), mark in zip(ENDS, (END, END, END)):
+        text = F.regexp_replace(text, pattern, by.replace(END, mark))
+    marks = f"[{END}{LINE}]"
+    (other, _), (dots, _), _ = NORMAL
+    text = F.regexp_replace(F.lower(text), other.replace("]+", f"{END}{LINE}]+"), " ")
+    text = F.regexp_replace(text, dots.replace("$)", f"$|(?={marks}))"), " ")
+    text = F.regexp_replace(F.trim(F.regexp_replace(text, " +", " ")), f" ?({marks}) ?", "$1")
+    return F.regexp_replace(text, f"{LINE}+", LINE)
+
+
+def _over_lines(pattern: str) -> str:
+    """A sentence's pattern that may run over LINE marks; an open end stops at the next mark."""
+    parts = re.sub(r"\[[^\]]*\]| ", lambda m: f"[ {LINE}]" if m[0] == " " else m[0], pattern)
+    if parts.endswith(".*"):
+        parts = parts[:-2] + f"[^{END}{LINE}]*"
+    return parts.replace(".*", f"[^{END}]*?")
+
+
+# forms of a sentence besides those of SENTENCES
+HEADINGS = ()
+FORMS = tuple((name, _over_lines(pattern)) for name, pattern in (*SENTENCES, *HEADINGS))
+ANY_FORM = f"(?<![^{END}{LINE}])(" + "|".join(f"(?:{p})(?![^{END}{LINE}])" for _, p in FORMS) + ")"
 
-    def normal(s: Column) -> Column:
-        s = F.lower(s)
-        for pattern, by in NORMAL:
-            s = F.regexp_replace(s, pattern, by)
-        return F.trim(s)
 
-    return F.transform(cut, normal)
+def identifiers(text: Column) -> Column:
+    """The identifiers of the known sentences of a normalised text, in order."""
 
+    def named(sentence: Column) -> Column:
+        found = F.lit(None).cast("string")
+        for name, pattern in reversed(FORMS):
+            found = F.when(sentence.rlike(f"^(?:{pattern})$"), F.lit(name)).otherwise(found)
+        return found
 
-def identifier(sentence: Column) -> Column:
-    found = F.lit(None).cast("string")
-    for name, pattern in reversed(SENTENCES):
-        found = F.when(sentence.rlike(f"^{pattern}$"), F.lit(name)).otherwise(found)
-    return found
+    return F.transform(F.regexp_extract_all(text, F.lit(ANY_FORM), F.lit(1)), named)
 
 
 def rule_pattern(ids: tuple[str, ...]) -> str:
@@ -107,15 +133,14 @@ def scanned(docs: DataFrame) -> DataFrame:
     """doc_id, n_cue_sentences, sentence_ids, licences, n_licences; one row per input row.
 
     `sentence_ids` lists the recognised sentences in order, between commas that stand twice
-    between two; `licences` the rules met, in rule order, without repeats. Null and empty
-    texts have none. Whole texts are read, whatever their length.
+    between two; `licences` the rules met, in rule order, without repeats. Sentences count
+    as cued by CUE, but are recognised with a cue or without. Null and empty texts have none. Whole texts are read, whatever their length.
     """
     text = F.col("text").cast("string")
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text.alias("text"))
-    cued = F.when(F.col("text").rlike(CUE), F.filter(sentences(F.col("text")), lambda s: s.rlike(CUE)))
-    rows = rows.select("doc_id", F.coalesce(cued, F.array().cast("array<string>")).alias("s"))
-    ids = F.filter(F.transform("s", identifier), lambda i: i.isNotNull())
-    rows = rows.select("doc_id", F.size("s").cast("bigint").alias("n_cue_sentences"), ids.alias("ids"))
+    rows = rows.select("doc_id", normalised(F.coalesce("text", F.lit(""))).alias("s"))
+    cued = F.filter(F.split("s", f"[{END}{LINE}]"), lambda s: s.rlike(CUE))
+    rows = rows.select("doc_id", F.size(cued).cast("bigint").alias("n_cue_sentences"), identifiers(F.col("s")).alias("ids"))
     joined = F.array_join(F.transform("ids", lambda i: F.concat(F.lit(","), i, F.lit(","))), "")
     rows = rows.withColumn("sentence_ids", joined)
     met = F.array(*[F.when(F.col("sentence_ids").like(rule_pattern(r)), F.lit(n)) for n, r in RULES])
@@ -130,7 +155,7 @@ def scanned(docs: DataFrame) -> DataFrame:
 
 
 def scan_sql() -> str:
-    """The same rows by DuckDB."""
+    """The rows by DuckDB, of sentences that have a cue and are not wrapped before a capital."""
     text = "text"
     for pattern, by in ENDS:
         text = f"regexp_replace({text}, '{pattern}', '{by.replace('$1', chr(92) + '1')}', 'g')"

@@ -221,6 +221,32 @@ def test_licence_rules(spark):
     assert got[8] == got[9] == "MIT" and got[10] == "Apache-2.0,SPDX"
 
 
+# a sentence of each identifier
+EXAMPLES = {
+    "SPDX": "SPDX-License-Identifier: MIT", "COPYRIGHT": "Copyright (c) 2020 Some Body", "ALLRIGHTS": "All rights reserved.",
+    "APACHE2": "Released under the Apache License, Version 2.0.", "COMPLIANCE": "you may not use this file except in compliance with the License.",
+    "OBTAINCOPY": "You may obtain a copy of the License at", "SEELICENSE": "See the License for the specific language governing permissions and limitations under the License.",
+    "MIT": "The MIT License", "GPL3": "GNU General Public License, version 3", "GPL2": "GNU General Public License version 2.0.",
+    "LGPL": "GNU Lesser General Public License version 2.1", "MPL2": "This Source Code Form is subject to the terms of the Mozilla Public License, v.2.0.",
+    "CCBYNC4": "Distributed under CC BY-NC 4.0.", "CCBYSA4": "CC BY-SA 4.0", "CCBY4": "Released under CC BY 4.0.", "PUBLICDOMAIN": "This work is in the public domain.",
+}
+
+
+def test_licence_sentences_need_no_cue(spark):
+    rows = [(i, f"Some prose. {t}") for i, t in enumerate(EXAMPLES.values())]
+    out = licences.scanned(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {r["doc_id"]: r["sentence_ids"] for r in out} == {i: f",{n}," for i, n in enumerate(EXAMPLES)}
+    bare = {n for i, n in enumerate(EXAMPLES) for r in out if r["doc_id"] == i and r["n_cue_sentences"] == 0}
+    assert bare == {"ALLRIGHTS", "CCBYNC4", "CCBYSA4", "CCBY4"}
+
+
+def test_licence_query_on_test_table_keeps_sentences_without_cue(spark, small):
+    docs = spark.read.parquet(f"{small}/../sf0.01/documents.parquet")
+    said = {r["doc_id"] for r in docs.collect() if re.search(r"[.!?;]\s+All rights reserved\.(\s|$)", r["text"])}
+    found = {r["doc_id"] for r in licences.scanned(docs).collect() if ",ALLRIGHTS," in r["sentence_ids"]}
+    assert said and said <= found
+
+
 def test_licence_rules_by_sql(spark, hard_docs, no_docs):
     texts = [*MIXED, *[r["text"] for r in hard_docs.collect()]]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
