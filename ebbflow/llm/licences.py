@@ -88,7 +88,9 @@ def normalised(text: Column) -> Column:
     inside a wrapped one.
     """
     text = F.translate(text, LINE, " ")
-    for (pattern, by), mark in zip(ENDS, (END, END, END)):
+    # the dot of a version's "v." ends no sentence
+    text = F.regexp_replace(text, r"(?i)\b(v)\.\s+(?=[0-9])", "$1 ")
+    for (pattern, by), mark in zip(ENDS, (END, END, LINE)):
         text = F.regexp_replace(text, pattern, by.replace(END, mark))
     marks = f"[{END}{LINE}]"
     (other, _), (dots, _), _ = NORMAL
@@ -107,7 +109,7 @@ def _over_lines(pattern: str) -> str:
 
 
 # forms of a sentence besides those of SENTENCES
-HEADINGS = ()
+HEADINGS = (("MIT", r"(the )?mit license mit"),)
 FORMS = tuple((name, _over_lines(pattern)) for name, pattern in (*SENTENCES, *HEADINGS))
 ANY_FORM = f"(?<![^{END}{LINE}])(" + "|".join(f"(?:{p})(?![^{END}{LINE}])" for _, p in FORMS) + ")"
 

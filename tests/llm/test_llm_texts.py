@@ -240,6 +240,66 @@ def test_licence_sentences_need_no_cue(spark):
     assert bare == {"ALLRIGHTS", "CCBYNC4", "CCBYSA4", "CCBY4"}
 
 
+# canonical notices at their usual wrapping
+NOTICES = [
+    ("BSD-3-Clause", """Copyright (c) 2020, Some Body
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED."""),
+    ("GPL", """    This program is free software: you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation, either version 3 of the License, or
+    (at your option) any later version.
+
+    This program is distributed in the hope that it will be useful,
+    but WITHOUT ANY WARRANTY; without even the implied warranty of
+    MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE."""),
+    ("Apache-2.0", """# Licensed under the Apache License, Version 2.0 (the "License");
+# you may not use this file except in compliance with the License.
+# You may obtain a copy of the License at
+#
+#     http://www.apache.org/licenses/LICENSE-2.0
+#
+# Unless required by applicable law or agreed to in writing, software
+# distributed under the License is distributed on an "AS IS" BASIS,
+# WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+# See the License for the specific language governing permissions and
+# limitations under the License."""),
+    ("MIT", "The MIT License (MIT)\n\nCopyright (c) 2020 Some Body"),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not\ndistributed with this file, You can obtain one."),
+    ("LGPL", "Licensed under the GNU Lesser General Public\nLicense version 2.1."),
+]
+
+
+def test_licence_notices_wrapped_as_usual(spark):
+    bare = [(n, t.replace("# ", "").replace("#", "")) for n, t in NOTICES]
+    starred = [(n, "/*\n" + "\n".join(f" * {x}" for x in t.split("\n")) + "\n */") for n, t in bare]
+    cases = [*NOTICES, *bare, *starred]
+    two = NOTICES[0][1].replace("3. Neither", "3. Or")
+    cases.append(("BSD-2-Clause", two))
+    docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(cases)], "doc_id bigint, text string")
+    out = {r["doc_id"]: r for r in licences.scanned(docs).collect()}
+    assert [out[i]["licences"].split(",")[0] for i in range(len(cases))] == [n for n, _ in cases]
+    assert ",ALLRIGHTS," in out[0]["sentence_ids"] and ",BSDASIS," in out[0]["sentence_ids"]
+    for i in (8, 14):
+        assert ",COMPLIANCE,,OBTAINCOPY,,ASISBASIS,,SEELICENSE," in out[i]["sentence_ids"]
+
+
 def test_licence_query_on_test_table_keeps_sentences_without_cue(spark, small):
     docs = spark.read.parquet(f"{small}/../sf0.01/documents.parquet")
     said = {r["doc_id"] for r in docs.collect() if re.search(r"[.!?;]\s+All rights reserved\.(\s|$)", r["text"])}
