@@ -3,6 +3,7 @@
 Balanced label propagation: documents with equal texts are linked. The linked documents
 of a group form nodes of bounded size; in each round a node asks for the shard where most
 of its group's bytes lie, and a shard admits as many bytes as its quota leaves room for.
+A group larger than a quota fills one shard after the other, node by node.
 The plan is then laid out in one global order (shard, group) and cut into equal parts, so
 sizes differ by a document at most and a cut parts few groups.
 """
@@ -11,7 +12,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ebbflow.llm.ordering import running_totals
@@ -63,30 +64,71 @@ def linked_nodes(rows: DataFrame, node_bytes: int) -> tuple[DataFrame, DataFrame
     return groups, nodes
 
 
+def _goal(turn: int, loads: dict[int, int], quota: float, plan: Plan) -> Column:
+    """The shard that the nodes of a group ask for: the one with most of its bytes.
+
+    Nodes of a large group that lie in no shard it holds ask for the next shard with room,
+    one beside those it holds if there is one, as the final cut runs over neighbours.
+    """
+    # equal shares are told apart by a hash of the round, so no shard is asked by all
+    tie = lambda s: F.xxhash64(F.lit(200 + turn), *GROUP, s)
+    share = lambda s: F.coalesce(F.col("near")[s], F.lit(0).cast("bigint"))
+    most = F.array_max(F.transform(F.map_keys("near"), lambda s: F.struct(share(s), tie(s), s.alias("shard"))))["shard"]
+    free = [s for s in range(plan.shards) if loads.get(s, 0) + quota / plan.nodes_per_shard <= quota]
+    shards = F.filter(F.array(*[F.lit(s) for s in free]).cast("array<int>"), lambda s: ~F.array_contains("held", s))
+    beside = lambda s: F.exists("held", lambda h: F.abs(h - s) == 1)
+    following = F.array_max(F.transform(shards, lambda s: F.struct(beside(s), share(s), tie(s), s.alias("shard"))))["shard"]
+    return F.when(F.col("large"), following).otherwise(most)
+
+
+def _admitted(load: Column, quota: float, plan: Plan) -> Column:
+    """The requests for a shard that fit beside its load, in order; a refused one takes no room."""
+
+    def turn(state: Column, r: Column) -> Column:
+        used = state["used"] + r["b"]
+        fits = used <= F.when(r["large"], quota).otherwise(quota * plan.slack)
+        return F.struct(
+            F.when(fits, used).otherwise(state["used"]).alias("used"),
+            F.when(fits, F.concat(state["taken"], F.array(r))).otherwise(state["taken"]).alias("taken"),
+        )
+
+    none = F.filter("requests", lambda r: F.lit(False))
+    start = F.struct(load.cast("bigint").alias("used"), none.alias("taken"))
+    return F.aggregate("requests", start, turn, lambda state: state["taken"])
+
+
 def propagated(nodes: DataFrame, quota: float, plan: Plan) -> DataFrame:
     """Nodes with the shard they end in. Each round is written, which cuts its lineage."""
     start = F.pmod(F.xxhash64(F.lit(2), *GROUP, "node"), F.lit(plan.shards)).cast("int")
     state = stored(nodes.withColumn("shard", start), "labels")
     for turn in range(plan.rounds):
+        loads = {r["shard"]: r["b"] for r in state.groupBy("shard").agg(F.sum("bytes").alias("b")).collect()}
         near = state.groupBy(*GROUP, "shard").agg(F.sum("bytes").alias("b"))
-        # equal shares are told apart by a hash of the round, so no shard is asked by all
-        tie = F.xxhash64(F.lit(200 + turn), *GROUP, "shard").alias("tie")
-        best = near.groupBy(*GROUP).agg(F.max_by("shard", F.struct(F.col("b"), tie)).alias("goal"))
-        asked = state.join(best, list(GROUP))
-        draw = F.pmod(F.xxhash64(F.lit(100 + turn), *GROUP), F.lit(BINS)).cast("int")
+        # a row for each group, with an entry for each shard at most
+        groups = near.groupBy(*GROUP).agg(
+            F.map_from_entries(F.collect_list(F.struct("shard", "b"))).alias("near"), F.sum("b").alias("group_bytes")
+        )
+        large = F.col("group_bytes") > quota
+        held = F.filter(F.map_keys("near"), lambda s: large & (F.col("near")[s] >= quota / 2))
+        goal = _goal(turn, loads, quota, plan)
+        best = groups.withColumns({"large": large, "held": held}).withColumn("goal", goal)
+        asked = state.join(best.select(*GROUP, "large", "held", "goal"), list(GROUP))
+        goes = (F.col("goal") != F.col("shard")) & ~F.array_contains("held", F.col("shard"))
+        asked = asked.withColumn("goal", F.when(F.coalesce(goes, F.lit(False)), F.col("goal")).otherwise(F.col("shard")))
+        # a group that fits moves as a whole
+        whole, node = (F.xxhash64(F.lit(100 + turn), *GROUP, *more) for more in ((), ("node",)))
+        draw = F.pmod(F.when(F.col("large"), node).otherwise(whole), F.lit(BINS)).cast("int")
         asked = asked.withColumn("bin", draw)
-        moves = asked.filter("goal <> shard")
-        per_bin = moves.groupBy("goal", "bin").agg(F.sum("bytes").alias("b"))
-        so_far = F.sum("b").over(Window.partitionBy("goal").orderBy("bin"))
+        per_bin = asked.filter("goal <> shard").groupBy("goal", "large", "bin").agg(F.sum("bytes").alias("b"))
         # what asks to leave a shard makes room there
         staying = F.sum(F.when(F.col("goal") == F.col("shard"), F.col("bytes")).otherwise(0))
-        loads = asked.groupBy("shard").agg(staying.alias("load")).withColumnRenamed("shard", "goal")
-        # at most shards x BINS rows
-        room = per_bin.withColumn("so_far", so_far).join(loads, "goal", "left")
-        admitted = room.filter(F.col("so_far") + F.coalesce("load", F.lit(0)) <= quota * plan.slack).select(
-            "goal", "bin", F.lit(True).alias("admitted")
-        )
-        moved = asked.join(F.broadcast(admitted), ["goal", "bin"], "left")
+        stay = asked.groupBy("shard").agg(staying.alias("load")).withColumnRenamed("shard", "goal")
+        # at most 2 x shards x BINS rows
+        requests = per_bin.groupBy("goal").agg(F.array_sort(F.collect_list(F.struct("bin", "large", "b"))).alias("requests"))
+        room = requests.join(stay, "goal", "left")
+        taken = room.select("goal", F.explode(_admitted(F.coalesce("load", F.lit(0)), quota, plan)).alias("r"))
+        admitted = taken.select("goal", F.col("r.large").alias("large"), F.col("r.bin").alias("bin"), F.lit(True).alias("admitted"))
+        moved = asked.join(F.broadcast(admitted), ["goal", "large", "bin"], "left")
         state = stored(
             moved.select(
                 *GROUP, "node", "bytes", F.when(F.col("admitted"), F.col("goal")).otherwise(F.col("shard")).alias("shard")

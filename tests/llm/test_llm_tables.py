@@ -128,6 +128,20 @@ def test_copies_stay_together_unless_too_many(spark):
     assert max(loads.values()) - min(loads.values()) <= 40
 
 
+@pytest.mark.parametrize("share", [0.2, 1 / 3])
+def test_large_group_fills_as_few_shards_as_it_needs(spark, share):
+    n = 6000
+    hot = int(n * share)
+    rows = [(i, "hot text " * 3 if i < hot else f"own text {i:06d} " + "x" * 11) for i in range(n - 600)]
+    rows += [(n + i, f"shared text {i // 3:04d} " + "y" * 11) for i in range(600)]
+    out = sharding.sharded(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert len({r["shard"] for r in out if r["doc_id"] < hot}) <= (3 if share < 0.3 else 4)
+    loads = Counter()
+    for r in out:
+        loads[r["shard"]] += r["size"]
+    assert max(loads.values()) - min(loads.values()) <= 60
+
+
 # --- archives -------------------------------------------------------------------------------
 
 
