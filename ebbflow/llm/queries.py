@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbflow.llm import arc, bitpack, imatch, jaccard, language, licences, mixing, packing, repetition, sharding
+from ebbflow.llm import (
+    arc,
+    bitpack,
+    imatch,
+    jaccard,
+    language,
+    licences,
+    merkle,
+    mixing,
+    packing,
+    periodic,
+    repetition,
+    sharding,
+    vantage,
+)
 from ebbflow.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -90,3 +104,19 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_label_propagation_shards")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.sharded(table(spark, sf_dir, "documents"))
+
+
+@query("op11_periodic_runs")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.digests(periodic.periodic_runs(periodic.with_planted_periods(table(spark, sf_dir, "documents"))))
+
+
+@query("op12_merkle_manifest", merkle.manifest_sql())
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return merkle.summary(merkle.verified(docs, merkle.without_line_ends(docs)))
+
+
+@query("op13_vantage_simhash")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vantage.near_copies(table(spark, sf_dir, "documents"))
