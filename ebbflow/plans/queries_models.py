@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ebbflow.operators import evaluation as ev
+from ebbflow.operators import exported as ex
 from ebbflow.operators import learning as le
 from ebbflow.plans.registry import query
 from ebbflow.plans.sql import oracle
@@ -221,7 +222,23 @@ def model_comparison(spark, sf_dir):
     return metrics.withColumn("recommended", F.col("model") == best)
 
 
-@query("feature_names")
+_SLOT_NAMES = " UNION ALL ".join(
+    [
+        f"SELECT {i} AS part, count(*) AS n, '{c}_ohe_' || {c} AS name FROM silver GROUP BY {c}"
+        for i, c in enumerate(FEATURES.categorical)
+    ]
+    + [f"SELECT {100 + i}, 0, '{c}'" for i, c in enumerate(FEATURES.numeric)]
+)
+
+
+@query(
+    "feature_names",
+    oracle(
+        f"""SELECT CAST(row_number() OVER (ORDER BY part, n DESC, name) - 1 AS INTEGER) AS slot, name
+        FROM ({_SLOT_NAMES})""",
+        "silver",
+    ),
+)
 def feature_names(spark, sf_dir):
     """Slot and name of the assembled vector, read from its metadata."""
     rows = silver_stage(spark, sf_dir).table
@@ -270,7 +287,10 @@ def tuning_comparison(spark, sf_dir):
     )
 
 
-@query("model_reload")
+@query(
+    "model_reload",
+    oracle("SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_different FROM parts WHERE part = 'test'", "parts"),
+)
 def model_reload(spark, sf_dir):
     """Save, load, predict: rows where the loaded model disagrees (must be none)."""
     model, test, *_ = _fitted(spark, sf_dir, le.logistic_regression())
@@ -282,3 +302,130 @@ def model_reload(spark, sf_dir):
         F.count(F.lit(1)).alias("n_rows"),
         F.count_if(F.col("prediction") != F.col("_again")).alias("n_different"),
     )
+
+
+_SAME = oracle(
+    """SELECT month_seq, region, section, age_band, TRUE AS same_score, TRUE AS same_class
+    FROM parts WHERE part = 'test'""",
+    "parts",
+)
+
+
+@query("lr_scores_sql", _SAME)
+def lr_scores_sql(spark, sf_dir):
+    """Every test row scored from the exported coefficients, beside MLlib's score."""
+    model, test, *_ = _fitted(spark, sf_dir, le.logistic_regression())
+    scored = ex.regression_scores(le.predict(model, test), ex.regression_table(spark, model))
+    return ex.agreement(scored, le.COHORT_KEY)
+
+
+@query("rf_scores_sql", _SAME)
+def rf_scores_sql(spark, sf_dir):
+    """Every test row scored from the exported tree nodes, beside MLlib's score."""
+    model, test, *_ = _fitted(spark, sf_dir, le.random_forest())
+    slots = ex.vector_slots(spark, model)
+    scored = ex.forest_scores(le.predict(model, test), ex.forest_table(spark, model), slots)
+    return ex.agreement(scored, le.COHORT_KEY)
+
+
+@query(
+    "lr_calibration",
+    oracle(
+        " UNION ALL ".join(
+            f"""SELECT '{c}' AS column_name, {c} AS value, count(*) AS n_rows,
+            CAST(sum(high_turnover) AS BIGINT) AS n_pos, CAST(sum(high_turnover) AS BIGINT) AS expected_pos
+            FROM parts WHERE part = 'train' GROUP BY {c}"""
+            for c in FEATURES.categorical
+        ),
+        "parts",
+    ),
+)
+def lr_calibration(spark, sf_dir):
+    """The regression at its optimum expects the positives of every category that there are."""
+    train, _ = le.split_parts(parts_stage(spark, sf_dir).table)
+    model, _ = le.fit(train, le.logistic_regression().setMaxIter(1000).setTol(1e-12))
+    return ex.calibration(le.predict(model, train), FEATURES.categorical)
+
+
+_ENTROPY = "-(q * ln(q) + (1 - q) * ln(1 - q))"
+
+
+@query(
+    "model_bounds",
+    oracle(
+        " UNION ALL ".join(
+            f"""SELECT '{m}' AS model, '{measure}' AS measure, n_rows, n_pos, round({null}, 9) AS by_base_rate,
+            TRUE AS fits_better FROM (SELECT count(*) AS n_rows, CAST(sum(high_turnover) AS BIGINT) AS n_pos,
+            avg(high_turnover) AS q FROM parts WHERE part = 'train')"""
+            for m, measure, null in (
+                ("logistic_regression", "log_loss", _ENTROPY),
+                ("random_forest", "brier", "q * (1 - q)"),
+            )
+        ),
+        "parts",
+    ),
+)
+def model_bounds(spark, sf_dir):
+    """What the fits lose on their own rows, against the base rate that each could have kept."""
+    train, _ = le.split_parts(parts_stage(spark, sf_dir).table)
+    rows = []
+    for name, classifier, measure in (
+        ("logistic_regression", le.logistic_regression(), "log_loss"),
+        ("random_forest", le.random_forest(), "brier"),
+    ):
+        model, _ = le.fit(train, classifier)
+        quality = ex.fit_quality(le.predict(model, train))
+        rows.append(
+            quality.select(
+                F.lit(name).alias("model"),
+                F.lit(measure).alias("measure"),
+                "n_rows",
+                "n_pos",
+                F.round(f"null_{measure}", 9).alias("by_base_rate"),
+                (F.col(measure) <= F.col(f"null_{measure}")).alias("fits_better"),
+            )
+        )
+    return reduce(DataFrame.unionByName, rows)
+
+
+_CONFUSED = oracle(
+    """SELECT model, count(*) FILTER (WHERE high_turnover = 0) AS n_neg,
+      count(*) FILTER (WHERE high_turnover = 1) AS n_pos, TRUE AS rates_follow, TRUE AS auc_in_range
+    FROM parts, (VALUES ('baseline'), ('logistic_regression'), ('random_forest')) m(model)
+    WHERE part = 'test' GROUP BY model""",
+    "parts",
+)
+
+
+@query("model_comparison_checked", _CONFUSED)
+def model_comparison_checked(spark, sf_dir):
+    """The comparison's cells add up to the test rows and its rates follow from the cells."""
+    m = model_comparison(spark, sf_dir)
+    near = lambda rate, part, whole: F.abs(F.col(rate) - F.coalesce(F.expr(f"({part}) / nullif({whole}, 0)"), F.lit(0.0))) <= 1e-6
+    follow = (
+        near("accuracy", "tp + tn", "tp + tn + fp + fn")
+        & near("precision_pos", "tp", "tp + fp")
+        & near("recall_pos", "tp", "tp + fn")
+        & near("f1_pos", "2 * tp", "2 * tp + fp + fn")
+    )
+    return m.select(
+        "model",
+        (F.col("tn") + F.col("fp")).alias("n_neg"),
+        (F.col("fn") + F.col("tp")).alias("n_pos"),
+        follow.alias("rates_follow"),
+        F.col("auc_roc").between(0, 1).alias("auc_in_range"),
+    )
+
+
+_SOURCES = " UNION ALL ".join(
+    [f"SELECT '{c}' AS source, count(DISTINCT {c}) AS n_slots FROM parts WHERE part = 'train'" for c in FEATURES.categorical]
+    + [f"SELECT '{c}', CAST(1 AS BIGINT)" for c in FEATURES.numeric]
+)
+
+
+@query("importance_bounds", oracle(f"SELECT source, n_slots, TRUE AS in_range, 1.0::DOUBLE AS total FROM ({_SOURCES})", "parts"))
+def importance_bounds(spark, sf_dir):
+    """Slots of each source and whether the importances are shares of one."""
+    found = materialise(source_importance(spark, sf_dir), "importance")
+    total = found.agg(F.round(F.sum("importance"), 9)).scalar()
+    return found.select("source", "n_slots", F.col("importance").between(0, 1).alias("in_range"), total.alias("total"))
