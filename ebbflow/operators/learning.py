@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import itertools
 import time
 from collections.abc import Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -12,8 +14,7 @@ from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
@@ -25,6 +26,7 @@ from ebbflow.operators.evaluation import (
     confusion_matrix,
 )
 from ebbflow.operators.quality import require_no_leakage
+from ebbflow.operators.splits import hash_part
 from ebbflow.settings import REGIONAL, FeatureSet
 from ebbflow.sources.layers import materialise
 
@@ -228,65 +230,78 @@ def coefficients(model: PipelineModel, predictions: DataFrame) -> DataFrame:
     return slots.withColumn("sign", sign).orderBy(F.abs("coefficient").desc(), "slot")
 
 
+CUT_SEED = 43  # not the seed of the outer split, which would leave one side empty
+
+
+def tuning_cut(
+    train: DataFrame, keys: Sequence[str] = COHORT_KEY, fit_percent: int = 70
+) -> tuple[DataFrame, DataFrame]:
+    """(fit rows, validation rows) of the training part, by a hash of the key.
+
+    A retried task or another layout gives the same cut, and a key is never on both sides.
+    """
+    cut = hash_part(train, keys, fit_percent, CUT_SEED)
+    return split_parts(cut)
+
+
+def tuning_grid(
+    spark: SparkSession,
+    trees: Sequence[int] = (20, 30),
+    depths: Sequence[int] = (5, 8),
+    min_instances: Sequence[int] = (1, 5),
+) -> DataFrame:
+    """(combination, trees, depth, min_instances): a row for each forest to grow."""
+    points = itertools.product(trees, depths, min_instances)
+    rows = [(i, *point) for i, point in enumerate(points, 1)]
+    return spark.createDataFrame(rows, "combination int, trees int, depth int, min_instances int")
+
+
 def tune(
     train: DataFrame,
     features: FeatureSet = FEATURES,
     trees: Sequence[int] = (20, 30),
     depths: Sequence[int] = (5, 8),
     min_instances: Sequence[int] = (1, 5),
-    train_ratio: float = 0.7,
+    fit_percent: int = 70,
     parallelism: int = 4,
     keys: Sequence[str] = COHORT_KEY,
     tasks: int = FIT_TASKS,
 ) -> tuple[PipelineModel, list[dict], float]:
-    """Grid search on a train/validation split.
+    """Grid search of the whole pipeline on a cut of the training rows.
 
-    The features are prepared once and the vectors held, so each combination costs
-    one forest; `parallelism` forests grow at a time and share the executors. Returns
-    the best pipeline, one record per combination and seconds.
+    The features are prepared on the fit rows alone, so nothing about the validation rows,
+    such as their categories, reaches a fit. Vectors of both sides are held once, so each
+    combination costs one forest; `parallelism` forests grow at a time and share the
+    executors. The best combination is then fitted, features included, on all of `train`.
+    Returns that pipeline, one record per combination and seconds.
     """
-    forest = random_forest(features)
-    grid = (
-        ParamGridBuilder()
-        .addGrid(forest.numTrees, list(trees))
-        .addGrid(forest.maxDepth, list(depths))
-        .addGrid(forest.minInstancesPerNode, list(min_instances))
-        .build()
-    )
     started = time.perf_counter()
-    prepared = Pipeline(stages=feature_stages(features)).fit(train)
-    layout = stable_layout(prepared.transform(train), keys, tasks)
-    with held(layout.select("features", features.label)) as vectors:
-        search = TrainValidationSplit(
-            estimator=forest,
-            estimatorParamMaps=grid,
-            evaluator=BinaryClassificationEvaluator(
-                labelCol=features.label, metricName="areaUnderROC"
-            ),
-            trainRatio=train_ratio,
-            seed=SEED,
-            parallelism=parallelism,
-        )
-        found = search.fit(vectors)
-    seconds = time.perf_counter() - started
-    records = [
-        {
-            "trees": point[forest.numTrees],
-            "depth": point[forest.maxDepth],
-            "min_instances": point[forest.minInstancesPerNode],
-            "validation_auc": auc,
-        }
-        for point, auc in zip(grid, found.validationMetrics)
-    ]
-    best = PipelineModel(stages=[*prepared.stages, found.bestModel])
-    return best, records, seconds
+    fit_rows, validation = tuning_cut(train, keys, fit_percent)
+    prepared = Pipeline(stages=feature_stages(features)).fit(fit_rows)
+    columns = ("features", features.label)
+    layout = stable_layout(prepared.transform(fit_rows), keys, tasks).select(*columns)
+    points = [p.asDict() for p in tuning_grid(train.sparkSession, trees, depths, min_instances).collect()]
+    with held(layout) as fit_vectors, held(prepared.transform(validation).select(*columns)) as judged:
+
+        def validation_auc(point: dict) -> float:
+            grown = random_forest(features, point["trees"], point["depth"], point["min_instances"]).fit(fit_vectors)
+            scored = grown.transform(judged).select(features.label, vector_to_array("probability")[1].alias("score"))
+            return area_under_roc(scored, features.label)
+
+        with ThreadPoolExecutor(parallelism) as pool:
+            aucs = list(pool.map(validation_auc, points))
+    records = [{**point, "validation_auc": auc} for point, auc in zip(points, aucs)]
+    won = max(records, key=lambda r: (r["validation_auc"], -r["combination"]))
+    forest = random_forest(features, won["trees"], won["depth"], won["min_instances"])
+    best, _ = fit(train, forest, features, keys, tasks)
+    return best, records, time.perf_counter() - started
 
 
 def tuning_grid_report(records: list[dict], predictions: DataFrame) -> DataFrame:
     """One row per combination, best validation AUC first."""
     rows = [
-        (i, r["trees"], r["depth"], r["min_instances"], float(r["validation_auc"]))
-        for i, r in enumerate(records, 1)
+        (r["combination"], r["trees"], r["depth"], r["min_instances"], float(r["validation_auc"]))
+        for r in records
     ]
     schema = "combination int, trees int, depth int, min_instances int, validation_auc double"
     frame = predictions.sparkSession.createDataFrame(rows, schema)

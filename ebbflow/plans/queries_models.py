@@ -12,7 +12,7 @@ from ebbflow.operators import evaluation as ev
 from ebbflow.operators import exported as ex
 from ebbflow.operators import learning as le
 from ebbflow.plans.registry import query
-from ebbflow.plans.sql import oracle
+from ebbflow.plans.sql import COHORT_KEY, hash_percent, oracle
 from ebbflow.plans.stages import parts_stage, silver_stage
 from ebbflow.settings import NATIONAL, REGIONAL
 from ebbflow.sources.layers import materialise, new_path
@@ -429,3 +429,48 @@ def importance_bounds(spark, sf_dir):
     found = materialise(source_importance(spark, sf_dir), "importance")
     total = found.agg(F.round(F.sum("importance"), 9)).scalar()
     return found.select("source", "n_slots", F.col("importance").between(0, 1).alias("in_range"), total.alias("total"))
+
+
+_GRID = """(VALUES (1, 20, 5, 1), (2, 20, 5, 5), (3, 20, 8, 1), (4, 20, 8, 5), (5, 30, 5, 1), (6, 30, 5, 5),
+    (7, 30, 8, 1), (8, 30, 8, 5)) g(combination, trees, depth, min_instances)"""
+
+
+@query(
+    "tuning_report_checked",
+    oracle(
+        f"""SELECT combination, trees, depth, min_instances, n_fit, n_validation, TRUE AS auc_in_range
+        FROM {_GRID}, (SELECT count(*) FILTER (WHERE h < 70) AS n_fit, count(*) FILTER (WHERE h >= 70) AS n_validation
+          FROM (SELECT {hash_percent(COHORT_KEY, 43)} AS h FROM parts WHERE part = 'train'))""",
+        "parts",
+    ),
+)
+def tuning_report_checked(spark, sf_dir):
+    """The grid with the rows that each combination was fitted and judged on."""
+    train, _ = le.split_parts(parts_stage(spark, sf_dir).table)
+    fit_rows, validation = le.tuning_cut(train)
+    _, records, _ = le.tune(train)
+    report = le.tuning_grid_report(records, train)
+    return report.select(
+        "combination",
+        "trees",
+        "depth",
+        "min_instances",
+        fit_rows.agg(F.count(F.lit(1))).scalar().alias("n_fit"),
+        validation.agg(F.count(F.lit(1))).scalar().alias("n_validation"),
+        F.col("validation_auc").between(0, 1).alias("auc_in_range"),
+    )
+
+
+@query(
+    "tuning_comparison_checked",
+    """SELECT metric, TRUE AS change_follows, TRUE AS verdict_follows FROM (VALUES ('accuracy'), ('precision_pos'),
+    ('recall_pos'), ('f1_pos'), ('specificity'), ('auc_roc')) m(metric)""",
+)
+def tuning_comparison_checked(spark, sf_dir):
+    """Before and after per metric: the change and the verdict follow from the two values."""
+    found = materialise(tuning_comparison(spark, sf_dir), "tuning-comparison")
+    change = F.col("after") - F.col("before")
+    verdict = F.when(change > 1e-4, "better").when(change < -1e-4, "worse").otherwise("same")
+    return found.select(
+        "metric", (F.col("change") == change).alias("change_follows"), (F.col("verdict") == verdict).alias("verdict_follows")
+    )
