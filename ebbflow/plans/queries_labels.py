@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ebbflow.operators import labels as la
 from ebbflow.operators import splits as sp
 from ebbflow.operators.features import silver
+from ebbflow.operators.lineage import lineage_report
 from ebbflow.operators.quality import leakage_audit, schema_diff
 from ebbflow.operators.ranking import approximate_quantiles
 from ebbflow.plans.registry import query
@@ -299,3 +300,35 @@ def hash_sample(spark, sf_dir):
     cohorts = eligible_stage(spark, sf_dir).table
     kept = sp.hash_sample(cohorts, REGIONAL.keys.columns, 30)
     return kept.select(*REGIONAL.keys.columns, "share_neg_6m")
+
+
+_MADE = ("volume_ahead", "churn", "class_hint")
+
+
+@query(
+    "leakage_lineage",
+    oracle(
+        """SELECT column_name, role, leak, hidden_sources, n_filled FROM (SELECT count(*) AS n_filled FROM labelled),
+        (VALUES ('month_seq', 'other', FALSE, ''), ('region', 'feature', FALSE, ''), ('section', 'feature', FALSE, ''),
+          ('age_band', 'feature', FALSE, ''), ('n_total', 'feature', FALSE, ''), ('n_neg', 'feature', FALSE, ''),
+          ('share_neg', 'feature', FALSE, ''), ('volume_ahead', 'feature', TRUE, 'n_total_6m'),
+          ('churn', 'feature', TRUE, 'n_neg_6m,n_total_6m'), ('class_hint', 'feature', TRUE, 'high_turnover,share_neg_6m'),
+          ('high_turnover', 'label', FALSE, 'high_turnover,share_neg_6m')) v(column_name, role, leak, hidden_sources)""",
+        "labelled",
+    ),
+)
+def leakage_lineage(spark, sf_dir):
+    """A renamed and two derived columns of the future, found by what they are made from."""
+    ahead = F.col("n_total_6m")
+    table = labelled_stage(spark, sf_dir).table.select(
+        *REGIONAL.keys.columns,
+        "n_total",
+        "n_neg",
+        (F.col("n_neg") / F.col("n_total")).alias("share_neg"),
+        ahead.alias("volume_ahead"),
+        (F.col("n_neg_6m") / F.greatest(ahead, F.lit(1))).alias("churn"),
+        (F.col("high_turnover") * 2).alias("class_hint"),
+        "high_turnover",
+    )
+    used = [*REGIONAL.keys.profile, "n_total", "n_neg", "share_neg", *_MADE]
+    return lineage_report(table, used, "high_turnover").drop("sources")

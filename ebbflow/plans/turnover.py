@@ -23,6 +23,7 @@ from ebbflow.operators import cohorts as co
 from ebbflow.operators import horizon as ho
 from ebbflow.operators import labels as la
 from ebbflow.operators import learning as le
+from ebbflow.operators import lineage as li
 from ebbflow.operators import occupation as oc
 from ebbflow.operators import profiling as pr
 from ebbflow.operators import quality as qu
@@ -92,7 +93,8 @@ def build_silver(spark: SparkSession, base: str, study: Study = REGIONAL) -> Dat
     modelling = sinks.read_table(spark, f"{base}/modelling")
     qu.require_unique(modelling, study.keys.columns)
     qu.require_no_leakage(study.features, study.outlook)
-    sinks.write_partitioned(silver(modelling, study), f"{base}/silver", "year")
+    features = li.require_clean_lineage(silver(modelling, study), study.features, study.outlook)
+    sinks.write_partitioned(features, f"{base}/silver", "year")
     return sinks.read_table(spark, f"{base}/silver")
 
 

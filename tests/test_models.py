@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import math
 import random
+from functools import reduce
 
 import pytest
 from pyspark.ml import Pipeline
@@ -8,9 +10,10 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
 
 from ebbflow.operators import evaluation as ev
+from ebbflow.operators import exported as ex
 from ebbflow.operators import learning as le
 from ebbflow.plans.stages import parts_stage
-from ebbflow.settings import NATIONAL, REGIONAL
+from ebbflow.settings import NATIONAL, REGIONAL, FeatureSet
 
 
 @pytest.fixture(scope="module")
@@ -152,3 +155,87 @@ def test_tuning(parts):
     assert {r.verdict for r in same.collect()} == {"same"}
     verdict = le.worth_tuning(same).first()
     assert (verdict.worth_it, verdict.cost_factor) == (False, 1.0)
+
+
+# --- exported models ---------------------------------------------------------------------
+
+
+def test_regression_scores_by_hand(spark):
+    table = spark.createDataFrame(
+        [(-1, None, None, False, 0.5), (0, "c", "a", False, 1.0), (1, "c", "b", False, -2.0), (2, "c", None, True, 9.0), (3, "x", None, False, 0.25)],
+        "slot int, source string, value string, unseen boolean, coefficient double",
+    )
+    features = FeatureSet(categorical=("c",), numeric=("x",))
+    rows = spark.createDataFrame([("a", 2.0), ("b", 0.0), ("new", 1.0)], "c string, x double")
+    got = {r.c: r.own_score for r in ex.regression_scores(rows, table, features).collect()}
+    want = {"a": 0.5 + 1 + 0.5, "b": 0.5 - 2, "new": 0.5 + 9 + 0.25}
+    assert got == pytest.approx({c: 1 / (1 + math.exp(-m)) for c, m in want.items()})
+
+
+def test_forest_scores_by_hand(spark):
+    slots = spark.createDataFrame(
+        [(0, "c", "a", False), (1, "c", "b", False), (2, "x", None, False)], "slot int, source string, value string, unseen boolean"
+    )
+    # tree 0 asks whether c is b, then x; tree 1 is a single leaf
+    nodes = spark.createDataFrame(
+        [
+            (0, 0, 1, None, [0.0], 1, 2, 0.5), (0, 1, 2, 1.5, None, 3, 4, 0.4), (0, 2, -1, None, None, -1, -1, 0.9),
+            (0, 3, -1, None, None, -1, -1, 0.1), (0, 4, -1, None, None, -1, -1, 0.6), (1, 0, -1, None, None, -1, -1, 0.2),
+        ],
+        "tree int, node int, feature int, cut double, left_values array<double>, left int, right int, p1 double",
+    )
+    features = FeatureSet(categorical=("c",), numeric=("x",))
+    rows = spark.createDataFrame([("a", 1.5), ("a", 1.6), ("b", 0.0), ("new", 0.0)], "c string, x double")
+    got = [r.own_score for r in ex.forest_scores(rows, nodes, slots, features).collect()]
+    assert got == pytest.approx([(0.1 + 0.2) / 2, (0.6 + 0.2) / 2, (0.9 + 0.2) / 2, (0.1 + 0.2) / 2])
+
+
+@pytest.mark.parametrize("study", [REGIONAL, NATIONAL], ids=["regional", "national"])
+def test_exported_models_score_like_mllib(spark, small, study):
+    features = study.features
+    train, test = le.split_parts(parts_stage(spark, small, study).table)
+    # a category that the fit has not seen
+    test = test.withColumn("section", F.when(F.col("region") == test.select(F.min("region")).scalar(), "unseen").otherwise(F.col("section")))
+    for classifier in (le.logistic_regression(features), le.random_forest(features, 4, 5)):
+        model, _ = le.fit(train, classifier, features)
+        scored = le.predict(model, test)
+        if hasattr(model.stages[-1], "coefficients"):
+            own = ex.regression_scores(scored, ex.regression_table(spark, model, features), features)
+        else:
+            own = ex.forest_scores(scored, ex.forest_table(spark, model), ex.vector_slots(spark, model, features), features)
+        found = ex.agreement(own, study.keys.columns)
+        assert found.count() == test.count() and found.filter("not (same_score and same_class)").isEmpty()
+
+
+def test_slots_are_those_of_the_metadata(spark, parts):
+    train, test = le.split_parts(parts.table)
+    model, _ = le.fit(train, le.logistic_regression())
+    ours = {r.slot: f"{r.source}_ohe_{r.value}" if r.value else r.source for r in ex.vector_slots(spark, model).collect()}
+    assert ours == {r.slot: r["name"] for r in le.feature_names(le.predict(model, test)).collect()}
+
+
+def test_validation_rows_stay_unseen_while_tuning(parts, monkeypatch):
+    train, _ = le.split_parts(parts.table)
+    fit_rows, validation = le.tuning_cut(train)
+    keys = list(le.COHORT_KEY)
+    assert fit_rows.join(validation, keys).isEmpty()
+    assert fit_rows.count() + validation.count() == train.count()
+    key = validation.select(*keys).first()
+    mine = reduce(lambda a, b: a & b, [F.col(k) == key[k] for k in keys])
+    # one validation row has a section of its own
+    marked = train.withColumn("volume_band", F.when(mine, "ONLY_HERE").otherwise(F.col("volume_band")))
+    seen = []
+    plain = le.feature_stages
+
+    def watched(features=le.FEATURES):
+        stages = plain(features)
+        fit = stages[0].fit
+        monkeypatch.setattr(stages[0], "_fit", lambda rows: seen.append(type(stages[0])._fit(stages[0], rows)) or seen[-1])
+        assert fit
+        return stages
+
+    monkeypatch.setattr(le, "feature_stages", watched)
+    _, records, _ = le.tune(marked, trees=(2,), depths=(2, 3), min_instances=(1,))
+    labels = [{v for column in m.labelsArray for v in column} for m in seen]
+    assert "ONLY_HERE" not in labels[0] and "ONLY_HERE" in labels[-1]
+    assert [r["combination"] for r in records] == [1, 2]
