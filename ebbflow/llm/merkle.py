@@ -248,9 +248,8 @@ def proofs(manifest: Manifest, requested: DataFrame | None = None) -> DataFrame:
     kinds = f"tree string, digest string, path {PATH_KIND}"
     schema = pa.schema([("tree", pa.string()), ("digest", pa.string()), ("path", _PATH)])
     arrived = lambda carried, node, path, request: {"tree": request["tree"], "digest": node, "path": path}
-    start = manifest.sources.sparkSession.range(1).select(
-        F.lit("").alias("tree"), F.lit(0).cast("bigint").alias("rank"), F.lit(root).alias("digest"), F.lit("").alias("carried"), no_path.alias("path")
-    )
+    one = manifest.sources.sparkSession.createDataFrame([("", 0, root, "")], "tree string, rank bigint, digest string, carried string")
+    start = one.withColumn("path", no_path)
     named = manifest.sources.join(rows.select("tree").distinct(), "tree", "left_semi")
     wanted = named.select(F.lit("").alias("tree"), "rank", F.struct("tree").alias("request"))
     tops = stored(_descend(start, wanted, manifest.top_packs, shape, (kinds, schema, arrived)), "subroot-paths")
