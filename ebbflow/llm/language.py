@@ -77,7 +77,8 @@ def suffix_of(host: Column) -> Column:
 
 
 def host_of(url: Column) -> Column:
-    return F.lower(F.parse_url(url, F.lit("HOST")))
+    """The host of an address in lower case; none if it has none or can't be read."""
+    return F.lower(F.try_parse_url(url, F.lit("HOST")))
 
 
 def declared_in(html: Column) -> Column:

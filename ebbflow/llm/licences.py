@@ -156,28 +156,56 @@ def scanned(docs: DataFrame) -> DataFrame:
     )
 
 
+SQL_END, SQL_LINE = r"\x01", r"\x02"  # END and LINE in patterns
+
+
+def _sql_form(pattern: str) -> str:
+    """A sentence's pattern over a text whose marks stand twice, in RE2, which looks neither ahead nor back."""
+    parts = re.sub(r"\[[^\]]*\]| ", lambda m: f"(?: |{SQL_LINE * 2})" if m[0] == " " else m[0], pattern)
+    if parts.endswith(".*"):
+        parts = parts[:-2] + f"[^{SQL_END}{SQL_LINE}]*"
+    return parts.replace(".*", f"[^{SQL_END}]*?")
+
+
 def scan_sql() -> str:
-    """The rows by DuckDB, of sentences that have a cue and are not wrapped before a capital."""
-    text = "text"
-    for pattern, by in ENDS:
-        text = f"regexp_replace({text}, '{pattern}', '{by.replace('$1', chr(92) + '1')}', 'g')"
-    normal = "lower(s)"
-    for pattern, by in NORMAL:
-        normal = f"regexp_replace({normal}, '{pattern}', '{by}', 'g')"
-    cases = " ".join(f"WHEN regexp_full_match(s, '{p}') THEN '{n}'" for n, p in SENTENCES)
-    rules = ", ".join(
-        f"CASE WHEN sentence_ids LIKE '{rule_pattern(ids)}' THEN '{n}' END" for n, ids in RULES
+    """The rows by DuckDB: every sentence of every text, with a cue or without, wrapped or not.
+
+    Marks are doubled, so that two neighbouring sentences can each have one beside them.
+    """
+    blank, marks = r"[\x20\x09-\x0D]", f"[{SQL_END}{SQL_LINE}]"
+    steps = (
+        (r"(?i)\b(v)\." + blank + "+([0-9])", r"\1 \2"),
+        (r"([.!?;])" + blank + "+", rf"\1{END}"),
+        (r"\n[\x20\x09\r]*\n", END),
+        (r"\n[\x20\x09]*([A-Z0-9*(-])", rf"{LINE}\1"),
     )
+    lowered = (
+        (f"[^a-z0-9.+{SQL_END}{SQL_LINE}]+", " "),
+        (r"\.+( |$)", " "),
+        (rf"\.+({marks})", r" \1"),
+        (" +", " "),
+    )
+
+    def replaced(text: str, all_steps: tuple) -> str:
+        for pattern, by in all_steps:
+            text = f"regexp_replace({text}, '{pattern}', '{by}', 'g')"
+        return text
+
+    text = replaced(f"replace(coalesce(text, ''), '{LINE}', ' ')", steps)
+    text = f"trim({replaced(f'lower({text})', lowered)})"
+    text = replaced(text, ((f" ?({marks}) ?", r"\1"), (f"{SQL_LINE}+", LINE)))
+    forms = [(n, _sql_form(p)) for n, p in (*SENTENCES, *HEADINGS)]
+    any_form = "|".join(f"(?:{p})" for _, p in forms)
+    cases = " ".join(f"WHEN regexp_full_match(x, '{p}') THEN '{n}'" for n, p in forms)
+    rules = ", ".join(f"CASE WHEN sentence_ids LIKE '{rule_pattern(ids)}' THEN '{n}' END" for n, ids in RULES)
     order = ", ".join(f"'{n}'" for n in dict.fromkeys(n for n, _ in RULES))
-    return f"""
+    sql = f"""
 WITH cut AS (
-    SELECT doc_id, CASE WHEN regexp_matches(text, '{CUE}') THEN
-        list_filter(list_transform(string_split({text}, chr(1)), lambda s: trim({normal})),
-                    lambda s: regexp_matches(s, '{CUE}')) ELSE [] END AS s
-    FROM documents
+    SELECT doc_id, {text} AS s FROM documents
 ), named AS (
-    SELECT doc_id, len(s) AS n_cue_sentences,
-        list_filter(list_transform(s, lambda s: CASE {cases} END), lambda i: i IS NOT NULL) AS ids
+    SELECT doc_id, len(list_filter(string_split_regex(s, '{marks}'), lambda x: regexp_matches(x, '{CUE}'))) AS n_cue_sentences,
+        list_transform(regexp_extract_all('{END}' || regexp_replace(s, '({marks})', '\\1\\1', 'g') || '{END}',
+            '{marks}({any_form}){marks}', 1), lambda x: CASE {cases} END) AS ids
     FROM cut
 ), joined AS (
     SELECT doc_id, n_cue_sentences,
@@ -190,4 +218,7 @@ WITH cut AS (
 )
 SELECT doc_id, n_cue_sentences::BIGINT AS n_cue_sentences, sentence_ids,
     coalesce(array_to_string(names, ','), '') AS licences, len(names)::BIGINT AS n_licences
-FROM once""".replace("\u0001", "' || chr(1) || '").replace("'' || chr(1) || ''", "chr(1)")
+FROM once"""
+    for mark in (END, LINE):
+        sql = sql.replace(mark, f"' || chr({ord(mark)}) || '")
+    return sql

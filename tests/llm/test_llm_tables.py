@@ -232,6 +232,13 @@ def test_evidence_of_pages(spark, small):
     assert found.filter("kept").count() >= 45
 
 
+def test_addresses_that_cannot_be_read_have_no_host(spark):
+    urls = ["http://exa mple.com/a b|c", "no address", "", "http://", "http://A.de/x|y", "http://ok.de/x", None]
+    rows = spark.createDataFrame([(i, u, "<p>x</p>") for i, u in enumerate(urls)], "page_id bigint, url string, html string")
+    hosts = {r["doc_id"]: r["host"] for r in language.evidence_of_pages(rows).collect()}
+    assert len(hosts) == len(urls) and hosts[5] == "ok.de" and hosts[0] is hosts[1] is hosts[2] is hosts[6] is None
+
+
 FOREIGN = {
     "it": "Tutti gli esseri umani nascono liberi ed eguali in dignità e diritti. Essi sono dotati di ragione e di coscienza.",
     "pl": "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw.",
