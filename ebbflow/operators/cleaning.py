@@ -18,8 +18,8 @@ EXTRA = (
 )
 
 
-def typed(raw: DataFrame, thousands_sep: str | None = None) -> DataFrame:
-    """Cast conformed raw columns; anything unreadable becomes null."""
+def typed(raw: DataFrame, thousands_sep: str | None = None, keep: Iterable[str] = ()) -> DataFrame:
+    """Cast conformed raw columns; anything unreadable becomes null. `keep` goes through as it is."""
     return raw.select(
         F.col("month").cast("string").alias("month"),
         month_ordinal("month").alias("month_seq"),
@@ -33,6 +33,7 @@ def typed(raw: DataFrame, thousands_sep: str | None = None) -> DataFrame:
         to_int(F.col("balance")).alias("balance"),
         to_int(F.col("category")).alias("category"),
         *[as_type(F.col(c)).alias(c) for c, as_type in EXTRA if c in raw.columns],
+        *keep,
     )
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ebbflow.functions import month_label, to_double, to_int
 from ebbflow.operators import cleaning as cl
+from ebbflow.operators import filings
 from ebbflow.operators import profiling as pr
 from ebbflow.operators import quality as qu
 from ebbflow.operators.horizon import last_month
@@ -14,7 +15,7 @@ from ebbflow.plans.registry import query
 from ebbflow.plans.sql import oracle
 from ebbflow.plans.stages import cohorts_of, modelling_stage, silver_stage, windowed_stage
 from ebbflow.settings import REGIONAL
-from ebbflow.sources import delimited, files, layers, sinks
+from ebbflow.sources import delimited, files, landing, layers, sinks
 from ebbflow.sources.samples import movements, order_movements, raw_movements, table
 
 _SALARY = """CASE WHEN l_linenumber IN (5, 6, 7) THEN NULL ELSE cents / 100 END"""
@@ -345,3 +346,164 @@ def attrition(spark, sf_dir):
     ingested = qu.stage_counts(rows, {"raw": None, "valid": cl.is_valid(cl.month_of(rows))})
     modelled = qu.stage_counts(windowed.table, {"cohorts": None, "eligible": in_data}, first=3)
     return qu.attrition(ingested.unionByName(modelled), minimum=5_000)
+
+
+def _delivered(spark, sf_dir):
+    """The raw rows as text lines of monthly deliveries in one folder, as parts of written folders.
+
+    Even years use other names and another order of columns, and are compressed. In odd
+    ones some lines (number 4) have a field too many or a quote that isn't closed.
+    """
+    raw = raw_movements(spark, sf_dir)
+    odd = F.substring("competênciamov", 1, 4).cast("int") % 2 == 1
+    plain = list(raw.columns)
+    other = ["saldomovimentação", *[c for c in reversed(plain) if c != "saldomovimentação"]]
+    names = {"salário": "valorsaláriofixo", "idade": "faixaetária"}
+    bad = F.when((F.col("categoria") == "4") & (F.col("seção") == "A"), "2;2").when(
+        (F.col("categoria") == "4") & (F.col("seção") == "R"), '"1'
+    )
+    spoilt = raw.withColumn("sexo", F.coalesce(F.when(odd, bad), F.col("sexo")))
+    cells = lambda columns: F.concat_ws(";", *[F.coalesce(F.col(c), F.lit("")) for c in columns])
+    delivery = F.concat(F.lit("LABORMOV"), F.col("competênciamov"), F.lit(".txt"))
+    folder = layers.new_path(spark, "deliveries")
+    for kind, columns, kept, packed in (("a", plain, odd, "none"), ("b", other, ~odd, "gzip")):
+        rows = spoilt.filter(kept).select(delivery.alias("delivery"), F.lit(1).alias("_at"), cells(columns).alias("line"))
+        header = ";".join(c if kind == "a" else names.get(c, c).upper() for c in columns)
+        heads = rows.select("delivery").distinct().select("delivery", F.lit(0).alias("_at"), F.lit(header).alias("line"))
+        # one part for each delivery, its header first
+        laid = rows.unionByName(heads).repartition(16, "delivery").sortWithinPartitions("delivery", "_at")
+        laid.drop("_at").write.partitionBy("delivery").option("compression", packed).mode("append").text(folder)
+    # a second copy of a month, a name that is none, and a delivery of another kind
+    extra = spark.createDataFrame(
+        [("OTHERMOV199501.txt", ";".join(plain)), ("notes.txt", "x"), ("LABORMOV199913.txt", "x"), ("LABORMOV205001.txt", "a;b;c")],
+        "delivery string, line string",
+    )
+    extra.write.partitionBy("delivery").mode("append").text(folder)
+    return folder
+
+
+_SPEC = landing.Delivery(years=_YEARS)
+_SPOILT = "l_linenumber = 4 AND comp // 100 % 2 = 1 AND section IN ('A', 'R')"
+
+
+@query(
+    "file_ingest",
+    oracle(
+        f"""SELECT CAST(comp AS VARCHAR) AS month, region, section, count(*) AS n_rows,
+        count(*) FILTER (WHERE balance = 1) AS n_pos, count({_SALARY}) AS n_salaries,
+        CAST(sum(age) AS BIGINT) AS age_sum
+        FROM raw WHERE section IS NOT NULL AND balance IN (1, -1) AND NOT ({_SPOILT}) GROUP BY ALL""",
+        "raw",
+    ),
+)
+def file_ingest(spark, sf_dir):
+    """Deliveries with two headers, other names and compressed parts: landed, then counted."""
+    base = layers.new_path(spark, "landed")
+    landing.land(spark, _delivered(spark, sf_dir), base, spec=_SPEC)
+    return (
+        landing.movements(spark, base)
+        .groupBy("month", "region", "section")
+        .agg(
+            F.count(F.lit(1)).alias("n_rows"),
+            F.count_if(F.col("balance") == 1).alias("n_pos"),
+            F.count("salary").alias("n_salaries"),
+            F.sum("age").alias("age_sum"),
+        )
+    )
+
+
+@query(
+    "quarantine",
+    oracle(
+        f"""SELECT 'line' AS kind, CASE WHEN {_SPOILT} THEN CASE section WHEN 'A' THEN 'fields' ELSE 'quote' END
+          WHEN section IS NULL THEN 'section' ELSE 'balance' END AS reason, count(*) AS n
+        FROM raw WHERE section IS NULL OR balance IS NULL OR {_SPOILT} GROUP BY ALL
+        UNION ALL
+        SELECT 'delivery', reason, n FROM (SELECT count(DISTINCT comp) AS months FROM raw),
+          LATERAL (VALUES ('new', months), ('duplicate', 1), ('unrecognised', 2), ('error', 1)) v(reason, n)
+        UNION ALL
+        SELECT 'all deliveries', 'listed', count(DISTINCT comp) + 4 FROM raw""",
+        "raw",
+    ),
+)
+def quarantine(spark, sf_dir):
+    """What was kept apart: lines by reason, deliveries by status, and that these add up."""
+    base = layers.new_path(spark, "landed")
+    deliveries = landing.land(spark, _delivered(spark, sf_dir), base, spec=_SPEC)
+    count = F.count(F.lit(1)).alias("n")
+    by_line = landing.quarantine(spark, base).groupBy(F.lit("line").alias("kind"), "reason").agg(count)
+    by_name = deliveries.groupBy(F.lit("delivery").alias("kind"), F.col("status").alias("reason")).agg(count)
+    everything = deliveries.agg(count).select(F.lit("all deliveries").alias("kind"), F.lit("listed").alias("reason"), "n")
+    return by_line.unionByName(by_name).unionByName(everything)
+
+
+@query(
+    "family_diff",
+    oracle(
+        """SELECT family, column_name, n AS n_files, exclusive FROM
+        (SELECT CAST(count(DISTINCT comp) AS BIGINT) AS n FROM raw) months, (VALUES
+          ('MOV', 'uf', FALSE), ('MOV', 'seção', FALSE), ('MOV', 'saldomovimentação', FALSE), ('MOV', 'salário', FALSE),
+          ('MOV', 'idade', TRUE), ('EXC', 'uf', FALSE), ('EXC', 'seção', FALSE), ('EXC', 'saldomovimentação', FALSE),
+          ('EXC', 'competênciaexc', TRUE), ('EXC', 'indicadordeexclusão', TRUE), ('FOR', 'uf', FALSE),
+          ('FOR', 'seção', FALSE), ('FOR', 'saldomovimentação', FALSE), ('FOR', 'salário', FALSE),
+          ('FOR', 'competênciadec', TRUE)) v(family, column_name, exclusive)""",
+        "raw",
+    ),
+)
+def family_diff(spark, sf_dir):
+    """Columns of movement, exclusion and late files, from the headers of written deliveries."""
+    raw = raw_movements(spark, sf_dir)
+    folder = layers.new_path(spark, "families")
+    shared = ["uf", "seção", "saldomovimentação"]
+    kinds = {"MOV": ["salário", "idade"], "EXC": ["competênciaexc", "indicadordeexclusão"], "FOR": ["salário", "competênciadec"]}
+    for family, own in kinds.items():
+        columns = [*shared, *own]
+        name = F.concat(F.lit(f"LABOR{family}"), F.col("competênciamov"), F.lit(".txt"))
+        head = F.lit(";".join(columns))
+        cells = F.concat_ws(";", *[F.coalesce(F.col(c), F.lit("")) if c in raw.columns else F.lit("1") for c in columns])
+        rows = raw.groupBy(name.alias("delivery")).agg(F.max(cells).alias("cells"))
+        text = rows.select("delivery", F.concat_ws("\n", head, "cells").alias("line"))
+        text.repartition(4, "delivery").write.partitionBy("delivery").mode("append").text(folder)
+    _, files = landing.manifest(spark, folder, None, landing.Delivery(family=None, years=_YEARS))
+    return landing.family_columns(files, _SPEC)
+
+
+_FILED = """filed AS (SELECT CAST(comp AS VARCHAR) AS month, region, section, age, CAST(l_linenumber % 5 AS INTEGER) AS schooling,
+    CAST(l_linenumber AS INTEGER) AS category, balance, l_linenumber = 6 AS late, l_linenumber = 3 AND section = 'N' AS gone
+  FROM raw WHERE section IS NOT NULL AND balance IN (1, -1)), wrong AS (
+    SELECT month, region, section, age + 1000 AS age, schooling, category, balance FROM filed WHERE gone AND age < 20)"""
+_FILING_KEY = ("month", "region", "section", "age", "schooling", "category", "balance")
+
+
+@query(
+    "late_filings_merged",
+    oracle(
+        f"""SELECT * FROM (WITH {_FILED} SELECT month, region, section, count(*) AS n_rows,
+          count(*) FILTER (WHERE balance = 1) AS n_pos, count(*) FILTER (WHERE category = 6) AS n_late,
+          CAST(sum(age) AS BIGINT) AS age_sum
+        FROM (SELECT {", ".join(_FILING_KEY)} FROM filed EXCEPT ALL (
+          SELECT {", ".join(_FILING_KEY)} FROM filed WHERE gone UNION ALL SELECT * FROM wrong)) GROUP BY ALL)""",
+        "raw",
+    ),
+)
+def late_filings_merged(spark, sf_dir):
+    """Movements by month; then late filings join their months and exclusions cancel rows.
+
+    Some exclusions match nothing. The months touched are rewritten, the others stay.
+    """
+    rows = cl.valid_movements(cl.typed(delimited.conform(raw_movements(spark, sf_dir))))
+    base, target = layers.new_path(spark, "months"), layers.new_path(spark, "merged")
+    sinks.write_months(rows.filter("category <> 6"), base, rebalance=True)
+    gone = rows.filter("category = 3 and section = 'N'")
+    wrong = gone.filter("age < 20").withColumn("age", F.col("age") + 1000)
+    filings.merge_into_months(spark, base, rows.filter("category = 6"), gone.unionByName(wrong), target, _FILING_KEY)
+    return (
+        sinks.read_table(spark, target)
+        .groupBy("month", "region", "section")
+        .agg(
+            F.count(F.lit(1)).alias("n_rows"),
+            F.count_if(F.col("balance") == 1).alias("n_pos"),
+            F.count_if(F.col("category") == 6).alias("n_late"),
+            F.sum("age").alias("age_sum"),
+        )
+    )

@@ -3,6 +3,7 @@
 Each step reads the Parquet layer before it and writes its own below `base`, so a
 step can be repeated alone and an interrupted study resumes at a layer:
 
+    deliveries/     status of each file       landed/    all lines, quarantined ones with a reason
     bronze/         movements by month        cohorts/   forward counts per cohort-month
     occupations/    counts per cohort and occupation group
     target_audit/   labelled cohorts          modelling/ the same without the future
@@ -30,9 +31,7 @@ from ebbflow.operators import quality as qu
 from ebbflow.operators.features import silver
 from ebbflow.operators.splits import hash_part, split_report
 from ebbflow.settings import REGIONAL, REGION_LABELS, Study
-from ebbflow.sources import sinks
-from ebbflow.sources.delimited import read_movement_files
-from ebbflow.sources.files import TEXT_EXTENSIONS, file_name_fields, list_files
+from ebbflow.sources import landing, sinks
 
 
 def region_labels(spark: SparkSession) -> DataFrame:
@@ -48,14 +47,25 @@ def ingest(
     study: Study = REGIONAL,
     thousands_sep: str | None = None,
     glob: str = "*",
+    prefix: str = "[A-Z]*",
 ) -> DataFrame:
-    """All movement files of `folder` to `bronze`, in one scan per distinct header."""
-    files = file_name_fields(list_files(spark, folder, glob), extensions=TEXT_EXTENSIONS).filter("family = 'MOV'")
-    # one path per monthly file; Spark's own listing holds the same
-    found = files.select("path", "month").collect()
-    rows = cl.typed(read_movement_files(spark, [r.path for r in found]), thousands_sep)
-    kept = cl.valid_movements(cl.in_regions(rows, study.region_codes))
-    sinks.write_months(kept, f"{base}/bronze", months=sorted({r.month for r in found}))
+    """The movement files of `folder` that are new to `base`, to `bronze`.
+
+    One file per month is taken: the manifest, kept in `deliveries`, marks further copies,
+    files read earlier and files that can't be read. Lines that are no valid movements stay
+    in `landed` with a reason. The manifest is added last, so an interrupted run is done anew.
+    """
+    record = f"{base}/deliveries"
+    done = sinks.read_table(spark, record).filter("status = 'new'").select("file_name") if sinks.table_exists(spark, record) else None
+    spec = landing.Delivery(prefix=prefix, glob=glob, thousands_sep=thousands_sep)
+    deliveries = landing.land(spark, folder, f"{base}/landed", done, spec, study.region_codes)
+    # at most one row per calendar month
+    months = sorted(r.month for r in deliveries.filter("status = 'new'").select("month").distinct().collect())
+    if months:
+        sinks.write_months(landing.movements(spark, f"{base}/landed", months), f"{base}/bronze", months=months)
+    elif done is None:
+        raise FileNotFoundError(f"no movement files in {folder}")
+    deliveries.write.mode("append").parquet(record)
     return sinks.read_table(spark, f"{base}/bronze")
 
 

@@ -43,8 +43,7 @@ def write_months(
     if months:
         for m, n in seen.get.items():
             if n == 0:
-                path, files = _file_system(df.sparkSession, f"{base}/competencia={m}")
-                files.delete(path, True)
+                remove_folder(df.sparkSession, f"{base}/competencia={m}")
 
 
 def write_partitioned(df: DataFrame, base: str, by: str) -> None:
@@ -80,11 +79,21 @@ def _file_system(spark: SparkSession, path: str):
     return target, target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a partition's folder; one that doesn't exist is no error."""
+    target, files = _file_system(spark, path)
+    files.delete(target, True)
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     target, files = _file_system(spark, path)
     return files.exists(target)
 
 
+def table_exists(spark: SparkSession, base: str) -> bool:
+    return _exists(spark, base)
+
+
 def readback_report(
     expected: DataFrame, base: str, partition: str | None = None, label: str | None = None
 ) -> DataFrame:
