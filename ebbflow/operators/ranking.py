@@ -2,11 +2,11 @@
 
 A global `ORDER BY` window or the built-in exact percentile puts every distinct
 value into one task. Here values are first counted
-(with map-side combine, so a value holding a third of the rows is one row per task), then cut
-into slots by approximate quantiles of the distinct values; running totals are taken inside
-each slot in parallel and shifted by the totals of the slots before it. The number of slots
-follows the number of distinct values. The counts with their slots are written once, so both
-readers see the same slots. Results are exact whatever the slot edges are.
+(with map-side combine, so a value holding a third of the rows is one row per task), then
+written in order, one range of values a file; running totals are taken inside each file in
+parallel and shifted by the totals of the files before it. No list of edges is searched, so
+the work for a value does not grow with the number of files. Results are exact wherever the
+ranges are cut.
 """
 
 from __future__ import annotations
@@ -20,8 +20,6 @@ from pyspark.sql import functions as F
 
 from ebbflow.sources.layers import materialise
 
-VALUES_PER_SLOT = 100_000
-
 
 def value_counts(
     df: DataFrame,
@@ -40,55 +38,57 @@ def value_counts(
     )
 
 
+def ordered_files(df: DataFrame, order: Sequence[str], name: str, files: int | None = None) -> DataFrame:
+    """`df` sorted by `order`, one range a file, with `_file` (its place among the files); written once.
+
+    Spark's range exchange samples the rows for its bounds; neither they nor anything else
+    that grows with the data reaches a plan or the driver. A file holds the rows of a task,
+    and the number of rows in it follows from the partitions the session asks for.
+    """
+    ranged = df.repartitionByRange(files, *order) if files else df.repartitionByRange(*order)
+    rows = ranged.sortWithinPartitions(*order)
+    # Spark numbers rows by task: the task's place is in the upper bits
+    return materialise(rows.withColumn("_file", F.shiftright(F.monotonically_increasing_id(), 33)), name)
+
+
 def running_totals(
     counts: DataFrame,
     by: Sequence[str],
     value: str,
     totals: Sequence[str],
-    values_per_slot: int = VALUES_PER_SLOT,
+    values_per_slot: int | None = None,
 ) -> DataFrame:
     """Add `<c>_before` and `<c>_all` for every total column `c`.
 
     `counts` has one row per (`by`, `value`); it may have any number of groups. `<c>_before`
-    sums `c` over smaller values of the same group, `<c>_all` over the whole group.
+    sums `c` over smaller values of the same group, `<c>_all` over the whole group. The
+    rows lie in ordered files; a group's totals per file, at most a row for each, are summed
+    up to where a file starts, and inside a file a window adds the rest. `values_per_slot`
+    sets how many rows a file holds; else the session's partitions do.
     """
     by = list(by)
-    counts = materialise(counts, "counts")
     groups = [f"_by_{c}" for c in by]
-    distinct = F.count(F.lit(1))
-    largest = counts.groupBy(*by).agg(distinct.alias("n")).agg(F.max("n")).first()[0] or 0
-    slots = max(1, math.ceil(largest / values_per_slot))
-    cuts = [i / slots for i in range(1, slots)] or [0.5]
-    summary = counts.groupBy(*[F.col(c).alias(g) for c, g in zip(by, groups)]).agg(
-        F.percentile_approx(value, cuts, max(10_000, slots * 10)).alias("_edges"),
-        *[F.sum(c).alias(f"{c}_all") for c in totals],
-    )
-    slot = F.size(F.filter("_edges", lambda edge: edge < F.col(value))) if slots > 1 else F.lit(0)
-    same = F.lit(True)
-    for c, g in zip(by, groups):
-        same = same & counts[c].eqNullSafe(summary[g])
-    known = counts.join(summary, same) if by else counts.join(F.broadcast(summary))  # one row
-    placed = materialise(known.withColumn("_slot", slot).drop("_edges", *groups), "slotted")
-    before = Window.partitionBy(*by).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
-    slot_totals = placed.groupBy(*by, "_slot").agg(*[F.sum(c).alias(f"_{c}") for c in totals])
-    offsets = slot_totals.select(
+    counts = materialise(counts, "counts")
+    files = max(1, math.ceil(counts.count() / values_per_slot)) if values_per_slot else None
+    placed = ordered_files(counts, [*by, value], "ordered-counts", files)
+    per_file = placed.groupBy(*by, "_file").agg(*[F.sum(c).alias(f"_{c}") for c in totals])
+    group = Window.partitionBy(*by)
+    before = group.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_file.select(
         *[F.col(c).alias(g) for c, g in zip(by, groups)],
-        F.col("_slot").alias("_at"),
+        F.col("_file").alias("_at"),
         *[F.coalesce(F.sum(f"_{c}").over(before), F.lit(0)).alias(f"_{c}_off") for c in totals],
+        *[F.sum(f"_{c}").over(group).alias(f"{c}_all") for c in totals],
     )
-    inside = (
-        Window.partitionBy(*by, "_slot")
-        .orderBy(value)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    here = placed["_slot"] == offsets["_at"]
+    inside = Window.partitionBy(*by, "_file").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    here = placed["_file"] == offsets["_at"]
     for c, g in zip(by, groups):
         here = here & placed[c].eqNullSafe(offsets[g])
     result = placed.join(offsets, here)
     for c in totals:
         running = F.coalesce(F.sum(c).over(inside), F.lit(0)) + F.col(f"_{c}_off")
         result = result.withColumn(f"{c}_before", running)
-    return result.drop("_slot", "_at", *groups, *[f"_{c}_off" for c in totals])
+    return result.drop("_file", "_at", *groups, *[f"_{c}_off" for c in totals])
 
 
 def _rank_of(probability: float, total: Column) -> Column:

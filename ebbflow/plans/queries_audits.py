@@ -5,15 +5,19 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ebbflow.functions import month_label, to_double, to_int
+from ebbflow.operators import checks as ck
 from ebbflow.operators import cleaning as cl
 from ebbflow.operators import filings
 from ebbflow.operators import profiling as pr
 from ebbflow.operators import quality as qu
+from ebbflow.operators import sketches as sk
+from ebbflow.operators.features import silver
 from ebbflow.operators.horizon import last_month
+from ebbflow.operators.labels import modelling_table
 from ebbflow.operators.ranking import exact_quantiles
 from ebbflow.plans.registry import query
 from ebbflow.plans.sql import oracle
-from ebbflow.plans.stages import cohorts_of, modelling_stage, silver_stage, windowed_stage
+from ebbflow.plans.stages import cohorts_of, labelled_stage, modelling_stage, silver_stage, windowed_stage
 from ebbflow.settings import REGIONAL
 from ebbflow.sources import delimited, files, landing, layers, sinks
 from ebbflow.sources.samples import movements, order_movements, raw_movements, table
@@ -507,3 +511,95 @@ def late_filings_merged(spark, sf_dir):
             F.sum("age").alias("age_sum"),
         )
     )
+
+
+_SKETCHED = {"p10": 0.1, "p50": 0.5, "p90": 0.9, "p99": 0.99}
+
+
+def _sketched_months(spark, sf_dir):
+    """The movements and their sketches, every year's January delivered twice."""
+    rows = movements(spark, sf_dir, ["month_seq", "age", "salary", "region", "section", "occupation"])
+    rows = layers.materialise(rows.withColumn("month", month_label("month_seq")), "sketched-rows")
+    base = layers.new_path(spark, "sketches")
+    numbers, categories = ["age", "salary"], ["region", "section", "occupation"]
+    first = rows.filter(~F.col("month").endswith("01") | (F.col("age") > 30))
+    sk.store_sketches(sk.month_sketches(first, numbers, categories), base)
+    again = rows.filter(F.col("month").endswith("01"))
+    sk.store_sketches(sk.month_sketches(again, numbers, categories), base)
+    return rows, sk.read_sketches(spark, base)
+
+
+@query(
+    "quantiles_by_merged_sketch",
+    oracle(
+        """SELECT metric, name, n, TRUE AS in_bound FROM (SELECT 'age' AS metric, count(age) AS n FROM mv
+        UNION ALL SELECT 'salary', count(salary) FROM mv), (VALUES ('p10'), ('p50'), ('p90'), ('p99')) q(name)""",
+        "mv",
+    ),
+)
+def quantiles_by_merged_sketch(spark, sf_dir):
+    """Sketches of all months merged; each quantile's exact rank is within the promised bound."""
+    rows, sketches = _sketched_months(spark, sf_dir)
+    found = layers.materialise(sk.merged_quantiles(sketches, _SKETCHED), "merged-quantiles")
+    checks = []
+    for metric in ("age", "salary"):
+        mine = found.filter(F.col("metric") == metric)
+        errors = rows.agg(
+            *[sk.rank_error(rows, metric, mine.select(q).scalar(), p).alias(q) for q, p in _SKETCHED.items()]
+        )
+        long = errors.unpivot([], list(_SKETCHED), "name", "error")
+        checks.append(long.select(F.lit(metric).alias("metric"), "name", mine.select("n").scalar().alias("n"), (F.col("error") <= sk.RANK_ERROR).alias("in_bound")))
+    return checks[0].unionByName(checks[1])
+
+
+@query(
+    "cardinality_merged",
+    oracle(
+        " UNION ALL ".join(
+            f"""SELECT '{c}' AS column_name, count(DISTINCT {c}) AS n_exact,
+            CASE WHEN count(DISTINCT {c}) <= 64 THEN count(DISTINCT {c}) END AS n_small, TRUE AS in_bound FROM mv"""
+            for c in ("age", "salary", "region", "section", "occupation")
+        ),
+        "mv",
+    ),
+)
+def cardinality_merged(spark, sf_dir):
+    """Distinct values from merged monthly sketches: exact while few, else within two percent."""
+    rows, sketches = _sketched_months(spark, sf_dir)
+    exact = pr.cardinality(rows, ["age", "salary", "region", "section", "occupation"])
+    both = sk.merged_distinct(sketches).withColumnRenamed("n_distinct", "_about").join(exact, "column_name")
+    return both.select(
+        "column_name",
+        F.col("n_distinct").alias("n_exact"),
+        F.when(F.col("n_distinct") <= 64, F.col("_about")).alias("n_small"),
+        (F.abs(F.col("_about") - F.col("n_distinct")) <= sk.DISTINCT_ERROR * F.col("n_distinct")).alias("in_bound"),
+    )
+
+
+_CHECKED = (("target_audit", "labelled"), ("modelling", "modelling"), ("silver", "silver"))
+
+
+@query(
+    "study_checks",
+    oracle(
+        " UNION ALL ".join(
+            f"""SELECT '{layer}' AS layer, (SELECT count(*) FROM labelled) AS rows_expected, count(*) AS rows_written,
+            count(*) AS rows_read, CAST(sum(high_turnover) AS BIGINT) AS n_label_1_written,
+            CAST(sum(high_turnover) AS BIGINT) AS n_label_1_read, TRUE AS same_content, TRUE AS ok FROM {source}"""
+            for layer, source in _CHECKED
+        ),
+        "silver",
+    ),
+)
+def study_checks(spark, sf_dir):
+    """The study's layers written one from the other, each compared with what was read back."""
+    base = layers.new_path(spark, "study")
+    labelled = layers.materialise(labelled_stage(spark, sf_dir).table, "labelled")
+    n = labelled.count()
+    ck.record(ck.write_checked(labelled, f"{base}/target_audit", "target_audit", label="high_turnover", exactly=n), f"{base}/checks")
+    modelling = modelling_table(sinks.read_table(spark, f"{base}/target_audit"))
+    ck.record(ck.write_checked(modelling, f"{base}/modelling", "modelling", label="high_turnover", exactly=n), f"{base}/checks")
+    by_year = lambda df, path: sinks.write_partitioned(df, path, "year")
+    features = silver(sinks.read_table(spark, f"{base}/modelling"))
+    ck.record(ck.write_checked(features, f"{base}/silver", "silver", by_year, "high_turnover", n), f"{base}/checks")
+    return sinks.read_table(spark, f"{base}/checks")

@@ -9,6 +9,7 @@ step can be repeated alone and an interrupted study resumes at a layer:
     target_audit/   labelled cohorts          modelling/ the same without the future
     silver/         features by year          models/    fitted pipelines
     metrics/        one row per model and run reports/   small summaries
+    checks/         what each write should hold against what was read back
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbflow.functions import age_band, leading_digits, salary_band
-from ebbflow.operators import cleaning as cl
+from ebbflow.operators import checks as ck
 from ebbflow.operators import cohorts as co
 from ebbflow.operators import horizon as ho
 from ebbflow.operators import labels as la
@@ -69,6 +70,13 @@ def ingest(
     return sinks.read_table(spark, f"{base}/bronze")
 
 
+def _write(
+    base: str, layer: str, df: DataFrame, write=sinks.write_table, label: str | None = None, exactly: int | None = None
+) -> None:
+    """Write a layer, compare it with what can be read back and keep the check."""
+    ck.record(ck.write_checked(df, f"{base}/{layer}", layer, write, label, exactly), f"{base}/checks")
+
+
 def banded(movements: DataFrame) -> DataFrame:
     """Movements with every column a cohort key may use."""
     return movements.withColumns(
@@ -85,16 +93,16 @@ def build_target(spark: SparkSession, base: str, study: Study = REGIONAL) -> Dat
     counts every later table derives from."""
     movements = banded(sinks.read_table(spark, f"{base}/bronze"))
     fine = co.fine_counts(movements, ["occupation_group"], study.keys)
-    sinks.write_table(fine, f"{base}/occupations")
+    _write(base, "occupations", fine)
     counts = sinks.read_table(spark, f"{base}/occupations")
     windowed = ho.forward_window(co.roll_up(counts, study.keys), study.keys, study.outlook)
-    sinks.write_table(windowed, f"{base}/cohorts")
+    _write(base, "cohorts", windowed)
     cohorts = sinks.read_table(spark, f"{base}/cohorts")
     kept = ho.eligible(cohorts, study.keys, study.outlook)
     labelled = la.with_label(kept, study.keys, study.outlook)
-    sinks.write_table(labelled, f"{base}/target_audit")
+    _write(base, "target_audit", labelled, label=la.LABEL)
     audit = sinks.read_table(spark, f"{base}/target_audit")
-    sinks.write_table(la.modelling_table(audit, study.keys), f"{base}/modelling")
+    _write(base, "modelling", la.modelling_table(audit, study.keys), label=la.LABEL, exactly=audit.count())
     return audit
 
 
@@ -104,7 +112,8 @@ def build_silver(spark: SparkSession, base: str, study: Study = REGIONAL) -> Dat
     qu.require_unique(modelling, study.keys.columns)
     qu.require_no_leakage(study.features, study.outlook)
     features = li.require_clean_lineage(silver(modelling, study), study.features, study.outlook)
-    sinks.write_partitioned(features, f"{base}/silver", "year")
+    by_year = lambda df, path: sinks.write_partitioned(df, path, "year")
+    _write(base, "silver", features, by_year, study.features.label, exactly=modelling.count())
     return sinks.read_table(spark, f"{base}/silver")
 
 
@@ -168,14 +177,23 @@ def train(
         "random_forest": le.fit(train_rows, le.random_forest(features), features, keys),
     }
     if tuned:
-        best, _, seconds = le.tune(train_rows, features, keys=keys)
+        best, records, seconds = le.tune(train_rows, features, keys=keys)
         fitted["random_forest_tuned"] = (best, seconds)
+        sinks.write_report(le.tuning_grid_report(records, parts), f"{base}/reports/tuning_grid")
     rows = [le.baseline_row(parts, features.label)]
     for name, (model, seconds) in fitted.items():
         loaded = le.save_model(model, f"{base}/models/{name}")
         scored = le.scores(loaded, test_rows, features.label)
         rows.append(le.metrics_row(scored, name, seconds, features.label))
-    return sinks.store_metrics(reduce(DataFrame.unionByName, rows), f"{base}/metrics")
+        vectors = le.predict(loaded, test_rows)
+        if name == "logistic_regression":
+            sinks.write_report(le.coefficients(loaded, vectors), f"{base}/reports/coefficients")
+        else:
+            importance = le.feature_importance(loaded, vectors, features)
+            sinks.write_report(importance, f"{base}/reports/importance_{name}")
+    metrics = sinks.store_metrics(reduce(DataFrame.unionByName, rows), f"{base}/metrics")
+    sinks.write_report(le.recommended(metrics), f"{base}/reports/recommended")
+    return metrics
 
 
 def run(

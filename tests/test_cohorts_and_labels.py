@@ -13,6 +13,7 @@ from ebbflow.operators import cohorts as co
 from ebbflow.operators import horizon as ho
 from ebbflow.operators import labels as la
 from ebbflow.operators import ranking as ra
+from ebbflow.operators import sketches as sk
 from ebbflow.operators import splits as sp
 from ebbflow.settings import CohortKeys, Outlook
 
@@ -240,3 +241,37 @@ def test_stability_in_one_pass_equals_single_dimensions(spark):
         ("section", "G"): (2, 1),
         ("section", "C"): (1, 1),
     }
+
+
+def test_running_totals_hold_no_edges_in_their_plan(spark):
+    """However many files the values lie in, the plan is the same: nothing is listed or searched."""
+    counts = spark.range(20_000).selectExpr("id % 3 as g", "cast(id as double) as v", "1L as n")
+    plans = [
+        ra.running_totals(counts, ["g"], "v", ["n"], values_per_slot=k)._jdf.queryExecution().optimizedPlan().toString()
+        for k in (20_000, 100)
+    ]
+    assert "percentile" not in plans[0] and abs(len(plans[0]) - len(plans[1])) < 200
+    many = ra.running_totals(counts, ["g"], "v", ["n"], values_per_slot=100)
+    wrong = many.filter("n_before <> floor(v / 3) or n_all <> 20000 div 3 + if(g < 20000 % 3, 1, 0)")
+    assert many.count() == 20_000 and wrong.isEmpty()
+
+
+def test_sketches_by_month_merge_and_are_replaced(spark, tmp_path):
+    rows = spark.range(30_000).selectExpr(
+        "cast(202301 + id % 3 as string) as month", "cast(id as double) as x", "id % 700 as k", "cast(null as string) as none"
+    )
+    base = str(tmp_path / "s")
+    sk.store_sketches(sk.month_sketches(rows, ["x"], ["k", "none"]), base)
+    half = rows.filter("month = '202302' and x < 100")
+    sk.store_sketches(sk.month_sketches(half, ["x"], ["k", "none"]), base)
+    left = rows.filter("month <> '202302'").unionByName(half)
+    stored = sk.read_sketches(spark, base)
+    got = sk.merged_quantiles(stored, {"p50": 0.5, "p999": 0.999}).collect()
+    assert [(r.metric, r.n) for r in got] == [("x", left.count())]
+    for name, p in (("p50", 0.5), ("p999", 0.999)):
+        off = left.agg(sk.rank_error(left, "x", F.lit(got[0][name]), p)).first()[0]
+        assert off <= sk.RANK_ERROR
+    counts = {r.column_name: r.n_distinct for r in sk.merged_distinct(stored).collect()}
+    assert counts["none"] == 0 and abs(counts["k"] - 700) <= 14
+    one = sk.merged_distinct(sk.read_sketches(spark, base, ["202302"])).collect()
+    assert {r.column_name: r.n_distinct for r in one}["x"] == half.count()
