@@ -9,20 +9,45 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 from collections.abc import Sequence
 from functools import lru_cache
 
-import numpy as np
-
-REMEMBERED = 300_000
+REMEMBERED = 500_000
 LONGEST = 64
 
 _chunks = re.compile(r"[ \n]*[^ \n]+|[ \n]+").findall
 _other_white = re.compile(r"[^\S \n]").search
 
 
+# a run of Latin letters, perhaps after a blank and before signs; an apostrophe may start a piece of its own
+_plain = re.compile(r"( ?)([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+)([!-&(-/:-@\[-`{-~]*)").fullmatch
+
+
+def _byte_letters() -> dict[int, str]:
+    """Latin letters as byte-level vocabularies spell them: a character for each UTF-8 byte.
+
+    Bytes that print stand for themselves, the others for characters from 256 on, in order.
+    """
+    prints = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = iter(range(256, 512))
+    spelling = {b: b if b in prints else next(others) for b in range(256)}
+    return {c: "".join(chr(spelling[b]) for b in chr(c).encode()) for c in range(0xC0, 0x100)}
+
+
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class Encoder:
-    """Ids as little-endian unsigned 32-bit bytes; keeps at most about REMEMBERED runs."""
+    """Ids as little-endian unsigned 32-bit bytes; keeps at most about REMEMBERED runs.
+
+    The runs met lately are kept in two generations: a full young one becomes the old one,
+    and an old run that is met again is young again, so common runs outlive rare ones. A
+    plain run (`_plain`) is put together from its word and its signs, both remembered, too,
+    and a new word goes to the vocabulary's merges without the steps before them, which
+    change nothing in it but case. That this is so is tried when the vocabulary is loaded.
+    """
 
     def __init__(self, vocabulary: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -31,35 +56,89 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(vocabulary)
         # the text of a control token is ordinary text
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, bytes] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.letters = _byte_letters()
+        self.tokenize = self.tokenizer.model.tokenize
+        normal, cut = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
+        self.lower = normal is not None and normal.normalize_str("A") == "a"
+        self.blank = "\u0120" if cut is not None and cut.pre_tokenize_str(" a")[0][0] == "\u0120a" else ""
+        self.direct = True
+        self.direct = self._merges_agree()
+
+    def _merges_agree(self) -> bool:
+        letters = [chr(c) for c in (*range(65, 91), *range(97, 123), *self.letters) if chr(c).isalpha()]
+        signs = [chr(c) for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'"]
+        tries = [f"{b}{x}{y}e{s}" for b in ("", " ") for x in letters for y, s in (("", ""), ("n", ".")) if _plain(f"{b}{x}{y}e{s}")]
+        tries += [f" a{s}{t}" for s in signs for t in signs]
+        return [self._of_run(r, {}) for r in tries] == self._encode(tries)
 
     def _encode(self, texts: Sequence[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+        return [_packed(e.ids) for e in found]
+
+    def _merged(self, piece: str) -> bytes:
+        return _packed([t.id for t in self.tokenize(piece)])
+
+    def _of_run(self, run: str, known: dict[str, bytes]) -> bytes | None:
+        """The ids of a plain run, its parts remembered in `known`; None of any other."""
+        found = _plain(run)
+        if not found:
+            return None
+        blank, word, signs = found.groups()
+        head = run[: len(blank) + len(word)]
+        ids = known.get(head)
+        if ids is None:
+            spelt = word.lower() if self.lower else word
+            if not spelt.isascii():
+                spelt = spelt.translate(self.letters)
+            ids = known[head] = self._merged(self.blank + spelt if blank else spelt)
+        if signs:
+            tail = known.get(signs)
+            if tail is None:
+                tail = known[signs] = self._merged(signs)
+            ids += tail
+        return ids
+
+    def _encode_runs(self, runs: list[str], known: dict[str, bytes]) -> dict[str, bytes]:
+        out, rest = {}, []
+        for r in runs:
+            ids = self._of_run(r, known) if self.direct and len(r) <= LONGEST else None
+            if ids is None:
+                rest.append(r)
+            else:
+                out[r] = ids
+        out.update(zip(rest, self._encode(rest)))
+        return out
 
     def encode(self, texts: Sequence[str | None]) -> list[bytes]:
         """The ids of each text; null is the empty text."""
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        known = self.known
         cut = [None if t and _other_white(t) else _chunks(t or "") for t in texts]
-        wanted = set().union(*(c for c in cut if c))
-        new = [c for c in wanted if c not in known]
-        fresh = dict(zip(new, self._encode(new)))
+        young, old = self.young, self.old
+        new = []
+        for c in set().union(*(c for c in cut if c)):
+            if c not in young:
+                if c in old:
+                    young[c] = old[c]
+                else:
+                    new.append(c)
+        fresh = self._encode_runs(new, young)
         if len(fresh) > REMEMBERED:
-            look = {**known, **fresh}
+            look = {**young, **fresh}
         else:
-            known.update(fresh)
-            look = known
+            young.update(fresh)
+            look = young
         out = []
         for text, chunks in zip(texts, cut):
             out.append(
                 self._encode([text])[0] if chunks is None else b"".join([look[c] for c in chunks])
             )
-        if look is known:
+        if look is young:
             for c in new:
                 if len(c) > LONGEST:
-                    del known[c]
+                    del young[c]
+        if len(young) > REMEMBERED // 2:
+            self.old, self.young = young, {}
         return out
 
 
