@@ -376,7 +376,9 @@ def _verified(docs: DataFrame, rows: DataFrame, pairs: DataFrame, like: Likeness
     first = rows.filter("key is not null").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
     wanted = first.join(wanted, "key", "left_semi").select("doc_id").distinct()
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").hint("merge")
-    texts = texts.join(stored(wanted, "wanted"), "doc_id", "left_semi")
+    # a set may have no other document than one without an id
+    wanted = stored(wanted, "wanted")
+    texts = texts.join(wanted, texts["doc_id"].eqNullSafe(wanted["doc_id"]), "left_semi")
     full = stored(_word_hashes(texts).mapInArrow(_whole(like), "key bigint, tokens binary"), "sets")
     left = full.select(F.col("key").alias("k1"), F.col("tokens").alias("left"))
     right = full.select(F.col("key").alias("k2"), F.col("tokens").alias("right"))

@@ -120,3 +120,11 @@ def test_slim_tokens_keep_their_order():
 
     back = jaccard._tokens(pa.scalar(jaccard._slim(t), pa.binary()))
     assert back.tolist() == (t >> np.uint64(24)).tolist()
+
+
+def test_a_document_without_an_id_is_linked(spark):
+    words = [f"n{i}" for i in range(60)]
+    rows = [(None, " ".join([*words, "more"])), (5, " ".join(words)), (None, "something else of five words here"), (7, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {(r["doc_id"], r["n_shingles"]): r["component_id"] for r in jaccard.grouped(docs).collect()}
+    assert got == {(None, 57): 5, (5, 56): 5, (None, 2): None, (7, 0): 7}
