@@ -5,6 +5,7 @@ step can be repeated alone and an interrupted study resumes at a layer:
 
     deliveries/     status of each file       landed/    all lines, quarantined ones with a reason
     bronze/         movements by month        cohorts/   forward counts per cohort-month
+    dominant/       labelled cohorts with their dominant occupation group
     occupations/    counts per cohort and occupation group
     target_audit/   labelled cohorts          modelling/ the same without the future
     silver/         features by year          models/    fitted pipelines
@@ -129,7 +130,9 @@ def describe_study(spark: SparkSession, base: str, study: Study = REGIONAL) -> d
     months = cohorts.groupBy("month_seq").agg(F.sum("n_total").alias("n_rows"))
     regions = cohorts.select("month_seq", "region", "n_total")
     dominant = oc.dominant_occupation(counts, study.keys.columns)
-    joined = oc.dominant_join(audit, dominant, study.keys.columns)
+    # four reports read the join
+    sinks.write_table(oc.dominant_join(audit, dominant, study.keys.columns), f"{base}/dominant")
+    joined = sinks.read_table(spark, f"{base}/dominant")
     dimensions = {
         "year": F.substring("month", 1, 4),
         "month": F.col("month"),
@@ -159,12 +162,13 @@ def describe_study(spark: SparkSession, base: str, study: Study = REGIONAL) -> d
 
 
 def train(
-    spark: SparkSession, base: str, study: Study = REGIONAL, tuned: bool = True
+    spark: SparkSession, base: str, study: Study = REGIONAL, tuned: bool = True, tasks: int = le.FIT_TASKS
 ) -> DataFrame:
     """Baseline, regression, forest and tuned forest on one split of `silver`.
 
     Models are saved, metrics appended under a new run number; returns the latest
-    metrics of every model.
+    metrics of every model. A large training part wants more `tasks`: its rows are held
+    in so many partitions, and with the same number a fit repeats.
     """
     features = study.features
     parts = hash_part(sinks.read_table(spark, f"{base}/silver"), study.keys.columns)
@@ -173,11 +177,11 @@ def train(
     train_rows, test_rows = le.split_parts(parts)
     keys = study.keys.columns
     fitted = {
-        "logistic_regression": le.fit(train_rows, le.logistic_regression(features), features, keys),
-        "random_forest": le.fit(train_rows, le.random_forest(features), features, keys),
+        "logistic_regression": le.fit(train_rows, le.logistic_regression(features), features, keys, tasks),
+        "random_forest": le.fit(train_rows, le.random_forest(features), features, keys, tasks),
     }
     if tuned:
-        best, records, seconds = le.tune(train_rows, features, keys=keys)
+        best, records, seconds = le.tune(train_rows, features, keys=keys, tasks=tasks)
         fitted["random_forest_tuned"] = (best, seconds)
         sinks.write_report(le.tuning_grid_report(records, parts), f"{base}/reports/tuning_grid")
     rows = [le.baseline_row(parts, features.label)]
@@ -197,7 +201,12 @@ def train(
 
 
 def run(
-    spark: SparkSession, folder: str, base: str, study: Study = REGIONAL, tuned: bool = True
+    spark: SparkSession,
+    folder: str,
+    base: str,
+    study: Study = REGIONAL,
+    tuned: bool = True,
+    tasks: int = le.FIT_TASKS,
 ) -> DataFrame:
     """Every step in order; returns the model metrics."""
     qu.require_rows(ingest(spark, folder, base, study), at_least=1)
@@ -205,7 +214,7 @@ def run(
     build_silver(spark, base, study)
     for name, report in describe_study(spark, base, study).items():
         sinks.write_report(report, f"{base}/reports/{name}")
-    metrics = train(spark, base, study, tuned)
+    metrics = train(spark, base, study, tuned, tasks)
     parts = sinks.read_table(spark, f"{base}/parts")
     sinks.write_report(split_report(parts, study.features.label), f"{base}/reports/split")
     return metrics
