@@ -2,15 +2,16 @@
 
 A document's tokens are the hashes of its distinct five-word shingles. Two sets whose
 Jaccard similarity reaches the threshold share a token among the first n - ceil(t n) + 1
-tokens of either set, whatever global order the tokens are put in. Candidates share enough
-tokens of their prefixes under the first order, where the tokens known to be frequent come
-last, rarest first, and the rest follow a hash; they must meet in their prefixes under
-further hash orders, too, before the sets themselves are compared.
+tokens of either set, whatever global order the tokens are put in. Candidates meet in their
+prefixes under the first order, where frequent tokens come last, rarest first, and the rest
+follow a hash. Before any set moves, the prefixes under two further hash orders are joined
+to the candidates and must share enough tokens, too. Texts are cut into tokens once to count
+them and once to post them; the sets are stored by that second pass.
 
 Which tokens count as frequent has no influence on the result, for any set of them gives a
-valid order; it keeps passages that many documents share out of the prefixes. The set is
-found over all documents (counts within each task, summed) and holds at most MOST_FREQUENT
-tokens by its threshold.
+valid order; it keeps passages that many documents share out of the prefixes. Tokens are
+counted exactly over all documents. The MOST_FREQUENT commonest at most are known to every
+task; all others that still have many posts are compared as stars, like the known ones.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ebbflow.llm.components import components
@@ -31,18 +32,25 @@ from ebbflow.llm.store import stored
 MOST_FREQUENT = 1 << 20  # tokens, eight bytes each
 ORDERS = 3
 ROWS_AT_ONCE = 256
-TOKEN_BYTES = 5
+TOKENS_AT_ONCE = 2_000_000
+ROWS_PER_BUCKET = 1 << 14
+LEAST_BUCKETS = 1 << 10
 WORD_BREAK = r"[\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 @dataclass(frozen=True)
 class Likeness:
-    """Sets are linked when 100 * |common| >= percent * |either|."""
+    """Sets are linked when 100 * |common| >= percent * |either|.
+
+    Sets that post one token are compared pair by pair up to `pairs_up_to` of them. Neither
+    this nor `frequent_from` has an influence on the result.
+    """
 
     words: int = 5
     percent: int = 75
     frequent_from: int = 24
+    pairs_up_to: int = 4
 
 
 _SALTS = np.array(
@@ -132,40 +140,85 @@ def set_key(tokens: np.ndarray) -> int:
     return int.from_bytes(blake2b(tokens.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
-def frequent_tokens(docs: DataFrame, like: Likeness = Likeness()) -> list[tuple[int, int]]:
-    """(token, count) of tokens that tasks saw repeatedly and that are frequent in sum."""
+def token_counts(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
+    """(token, n): how many sets hold each token, of tokens in `frequent_from` sets or more.
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Tasks sort their tokens and send them as packed cells, one for each leading part of the
+    hash (a bucket), eight bytes a token; equal sets of a task count once. Buckets grow in
+    number with the rows, so that one holds some millions of tokens whatever the corpus is.
+    """
+    buckets = max(LEAST_BUCKETS, 1 << (docs.count() // ROWS_PER_BUCKET).bit_length())
+    shift = np.uint64(64 - buckets.bit_length() + 1)
+    names = ["bucket", "tokens", "counts"]
+
+    def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
-        kept_tokens = np.zeros(0, np.uint64)
-        kept_counts = np.zeros(0, np.int64)
+        seen: set[int] = set()
 
-        def fold() -> None:
-            nonlocal held, size, kept_tokens, kept_counts
+        def packed() -> pa.RecordBatch:
             found, n = np.unique(np.concatenate(held), return_counts=True)
-            found, n = found[n > 1], n[n > 1]
-            both = np.concatenate([kept_tokens, found])
-            kept_tokens, back = np.unique(both, return_inverse=True)
-            kept_counts = np.bincount(back, np.concatenate([kept_counts, n]), len(kept_tokens)).astype(np.int64)
-            held, size = [], 0
+            bucket = (found >> shift).astype(np.int64)
+            edges = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+            ends = np.append(edges[1:], len(found))
+            parts = list(zip(edges.tolist(), ends.tolist()))
+            tokens = [found[s:e].tobytes() for s, e in parts]
+            counts = [n[s:e].astype(np.uint32).tobytes() if n[s:e].max() > 1 else None for s, e in parts]
+            columns = [pa.array(bucket[edges]), pa.array(tokens, pa.binary()), pa.array(counts, pa.binary())]
+            return pa.RecordBatch.from_arrays(columns, names=names)
 
         for batch in batches:
-            for _, tokens, _ in _sets(batch, like.words):
-                held.append(tokens)
-                size += len(tokens)
-                if size > 4_000_000:
-                    fold()
+            for _, tokens, ends in _sets(batch, like.words):
+                begin = 0
+                for end in ends.tolist():
+                    mine = tokens[begin:end]
+                    begin = end
+                    key = set_key(mine)
+                    if len(mine) and key not in seen:
+                        seen.add(key)
+                        held.append(mine)
+                        size += len(mine)
+                if size > TOKENS_AT_ONCE:
+                    yield packed()
+                    held, size = [], 0
         if held:
-            fold()
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(kept_tokens.view(np.int64)), pa.array(kept_counts)], names=["token", "n"]
-        )
+            yield packed()
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bucket, parts, weights = None, [], []
+
+        def summed() -> pa.RecordBatch:
+            tokens = np.concatenate(parts)
+            order = np.argsort(tokens, kind="stable")
+            tokens, n = tokens[order], np.concatenate(weights)[order]
+            edges = np.flatnonzero(np.append(True, tokens[1:] != tokens[:-1]))
+            sums = np.add.reduceat(n.astype(np.int64), edges)
+            often = sums >= like.frequent_from
+            found = tokens[edges[often]].view(np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(found), pa.array(sums[often])], names=["token", "n"])
 
-    seen = _word_hashes(docs).mapInArrow(count, "token bigint, n bigint")
-    sums = stored(seen.groupBy("token").agg(F.sum("n").alias("n")), "token-counts")
+        for batch in batches:
+            for number, tokens, counts in zip(*[c.to_pylist() for c in batch.columns]):
+                if number != bucket and parts:
+                    yield summed()
+                    parts, weights = [], []
+                bucket = number
+                parts.append(np.frombuffer(tokens, np.uint64))
+                ones = np.ones(len(parts[-1]), np.uint32)
+                weights.append(ones if counts is None else np.frombuffer(counts, np.uint32))
+        if parts:
+            yield summed()
+
+    sent = _word_hashes(docs).mapInArrow(cells, "bucket bigint, tokens binary, counts binary")
+    dealt = sent.repartition("bucket").sortWithinPartitions("bucket")
+    return stored(dealt.mapInArrow(count, "token bigint, n bigint"), "token-counts")
+
+
+def frequent_tokens(docs: DataFrame, like: Likeness = Likeness()) -> list[tuple[int, int]]:
+    """(token, count) of the commonest tokens, MOST_FREQUENT of them at most."""
+    sums = token_counts(docs, like)
     # the lowest limit that leaves at most MOST_FREQUENT tokens, from counts of counts
     step = F.floor(F.log2("n") * 16).cast("int")
-    steps = sums.filter(F.col("n") >= like.frequent_from).groupBy(step.alias("s")).agg(
+    steps = sums.groupBy(step.alias("s")).agg(
         F.count(F.lit(1)).alias("tokens"), F.min("n").alias("least")
     )
     held, least = 0, None
@@ -192,136 +245,144 @@ def _ranked(frequent: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _posted(docs: DataFrame, like: Likeness, shared) -> DataFrame:
-    """(doc_id, n_shingles, key, rare, prefix): every document's set key and first tokens.
+    """(doc_id, n_shingles, key, rare, prefix, filters, tokens): every document's set.
 
-    Copies within a task give their prefix once, so a group of copies that holds a third of
-    all rows posts a set at most once a task.
+    Copies within a task give their set once, so a group of copies that holds a third of all
+    rows posts a set at most once a task; the other copies have the key alone. `filters` are
+    the prefixes under the further orders, four bytes a token, one order after the other.
     """
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         freq, ranks = shared.value
-        none = np.zeros(0, np.int64)
         for batch in batches:
             for ids, tokens, ends in _sets(batch, like.words):
-                begin, sizes, found, rares, prefixes = 0, [], [], [], []
+                begin, sizes, found, rares, prefixes, filters, sets = 0, [], [], [], [], [], []
                 for end in ends.tolist():
                     mine = tokens[begin:end]
                     begin = end
                     key = set_key(mine) if len(mine) else None
                     sizes.append(len(mine))
                     found.append(key)
-                    first, rare = none, 0
-                    if len(mine) and key not in seen:
-                        seen.add(key)
-                        first, rare = prefix(mine, freq, ranks, 0, like.percent)
+                    if key is None or key in seen:
+                        for c in (rares, prefixes, filters, sets):
+                            c.append(None)
+                        continue
+                    seen.add(key)
+                    first, rare = prefix(mine, freq, ranks, 0, like.percent)
                     rares.append(rare)
                     prefixes.append(first.view(np.int64))
+                    filters.append(b"".join(short_prefix(mine, k, like.percent) for k in range(1, ORDERS)))
+                    sets.append(mine.tobytes())
                 columns = [pa.array(c, pa.int64()) for c in (sizes, found, rares)]
-                lists = pa.array(prefixes, pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays(
-                    [ids, *columns, lists], names=["doc_id", "n_shingles", "key", "rare", "prefix"]
-                )
+                columns += [pa.array(prefixes, pa.list_(pa.int64()))]
+                columns += [pa.array(c, pa.binary()) for c in (filters, sets)]
+                names = ["doc_id", "n_shingles", "key", "rare", "prefix", "filters", "tokens"]
+                yield pa.RecordBatch.from_arrays([ids, *columns], names=names)
 
     kinds = "doc_id bigint, n_shingles bigint, key bigint, rare bigint, prefix array<bigint>"
-    return _word_hashes(docs).mapInArrow(keys, kinds)
+    return _word_hashes(docs).mapInArrow(keys, f"{kinds}, filters binary, tokens binary")
+
+
+def short_prefix(tokens: np.ndarray, order: int, percent: int) -> bytes:
+    """The first tokens of a set under a hash order, 32 bits of each, sorted."""
+    p = prefix_length(len(tokens), percent)
+    key = mixed(tokens, order)
+    first = key if p >= len(key) else key[np.argpartition(key, p - 1)[:p]]
+    return np.sort((first & np.uint64(0xFFFFFFFF)).astype(np.uint32)).tobytes()
 
 
-def least_shared(n1: Column, n2: Column, percent: int) -> Column:
-    """How many posted tokens two sets must share to be linked.
+def least_shared(n1: int, n2: int, percent: int) -> int:
+    """How many prefix tokens two sets must share under any order to be linked.
 
     A link needs `overlap` common tokens. Those beyond the prefix that ends first are at
     most the rest of its set, so the prefixes hold the remainder.
     """
-    overlap = F.ceil((n1 + n2) * percent / (100 + percent))
-    rest = F.greatest(*[F.ceil(n * percent / 100) - 1 for n in (n1, n2)])
+    overlap = -(-(n1 + n2) * percent // (100 + percent))
+    rest = max(-(-n * percent // 100) for n in (n1, n2)) - 1
     return overlap - rest
 
 
-def _rare_candidates(posts: DataFrame, like: Likeness) -> DataFrame:
-    """(k1, k2) that share a token that is not frequent, enough of them, and fit in size.
+def _paired(posts: DataFrame, like: Likeness) -> DataFrame:
+    """(token, n, k1, k2) of the posts (token, n, key) of tokens that are not known as frequent.
 
-    Posts are (token, n, key, others): `others` counts the frequent tokens of the prefix,
-    each of which may be shared as well. They are dealt by token and sorted, so the sets of
-    a token stand together, the smaller first; each meets only those its size allows.
+    Posts are dealt by token and sorted, so the sets of a token stand together, the smaller
+    first. Up to `pairs_up_to` of them meet pair by pair, as far as their sizes allow: a row
+    with the pair and no token. The posts of a token with more sets come back as they were
+    (k1 is the key, k2 null). A task holds a batch and `pairs_up_to` posts.
     """
-    names = ["k1", "n1", "o1", "k2", "n2", "o2", "shared"]
-    schema = pa.schema([(c, pa.int64()) for c in names])
+    names = ["token", "n", "k1", "k2"]
+    most = like.pairs_up_to
 
-    def summed(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if parts:
-            table = pa.Table.from_batches(parts, schema).group_by(names[:6]).aggregate([("shared", "sum")])
-            ordered = table.select([*names[:6], "shared_sum"]).rename_columns(names)
-            yield from ordered.combine_chunks().to_batches()
-
-    def found(token: np.ndarray, n: np.ndarray, key: np.ndarray, others: np.ndarray) -> Iterator[pa.RecordBatch]:
-        if len(token) < 2:
-            return
-        # copies in several tasks post alike
-        new = np.ones(len(token), bool)
-        new[1:] = (token[1:] != token[:-1]) | (key[1:] != key[:-1])
-        token, n, key, others = token[new], n[new], key[new], others[new]
+    def found(token: np.ndarray, n: np.ndarray, key: np.ndarray) -> list[tuple]:
+        """Rows of whole tokens."""
         edges = np.flatnonzero(np.append(True, token[1:] != token[:-1]))
-        ends = np.append(edges[1:], len(token))
-        several = ends - edges > 1
-        for s, e in zip(edges[several].tolist(), ends[several].tolist()):
-            sizes, ids, more = n[s:e], key[s:e], others[s:e]
-            reach = np.searchsorted(sizes, sizes * 100 // like.percent, "right")
-            for i in range(e - s - 1):
-                m = int(reach[i]) - i - 1
-                if m > 0:
-                    mine = [np.full(m, c[i]) for c in (ids, sizes, more)]
-                    theirs = [c[i + 1 : reach[i]] for c in (ids, sizes, more)]
-                    columns = [*mine, *theirs, np.ones(m, np.int64)]
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=schema)
-
-    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [np.zeros(0, np.int64)] * 4
-        for batch in batches:
-            columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-            joint = [np.concatenate([h, c]) for h, c in zip(held, columns)]
-            if len(joint[0]):
-                # the last token may go on in the next batch
-                cut = int(np.searchsorted(joint[0], joint[0][-1], "left"))
-                yield from found(*[c[:cut] for c in joint])
-                held = [c[cut:] for c in joint]
-        yield from found(*held)
+        sizes = np.diff(np.append(edges, len(token)))
+        many = np.repeat(sizes > most, sizes)
+        # the i-th set of a token meets the next ones
+        left, right = [], []
+        for gap in range(1, most):
+            i = np.flatnonzero((token[gap:] == token[:-gap]) & ~many[gap:])
+            i = i[n[i] * 100 >= n[i + gap] * like.percent]
+            left.append(key[i])
+            right.append(key[i + gap])
+        pairs_found = (None, None, np.concatenate(left), np.concatenate(right))
+        return [(token[many], n[many], key[many], None), pairs_found]
+
+    def batch_of(rows: tuple) -> pa.RecordBatch:
+        size = len(rows[2])
+        columns = [pa.nulls(size, pa.int64()) if c is None else pa.array(c, pa.int64()) for c in rows]
+        return pa.RecordBatch.from_arrays(columns, names=names)
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept, rows = [], 0
-        for part in runs(batches):
-            kept.append(part)
-            rows += part.num_rows
-            if rows > 200_000:
-                yield from summed(kept)
-                kept, rows = [], 0
-        yield from summed(kept)
+        held = [np.zeros(0, np.int64)] * 3
+        streaming = None  # a token whose first posts went out as too many already
+        for batch in batches:
+            columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            token, n, key = (np.concatenate([h, c]) for h, c in zip(held, columns))
+            if not len(token):
+                continue
+            # copies in several tasks post alike
+            new = np.append(True, (token[1:] != token[:-1]) | (key[1:] != key[:-1]))
+            token, n, key = token[new], n[new], key[new]
+            if streaming is not None:
+                cut = int(np.searchsorted(token, streaming, "right"))
+                yield batch_of((token[:cut], n[:cut], key[:cut], None))
+                token, n, key = token[cut:], n[cut:], key[cut:]
+                if len(token):
+                    streaming = None
+            # the last token may go on in the next batch
+            cut = int(np.searchsorted(token, token[-1], "left")) if len(token) else 0
+            if cut:
+                yield from map(batch_of, found(token[:cut], n[:cut], key[:cut]))
+            held = [token[cut:], n[cut:], key[cut:]]
+            if len(held[0]) > most:
+                streaming = held[0][0]
+                yield batch_of((*held, None))
+                held = [np.zeros(0, np.int64)] * 3
+        if len(held[0]):
+            yield from map(batch_of, found(*held))
 
     dealt = posts.repartition("token").sortWithinPartitions("token", "n", "key")
     kinds = ", ".join(f"{c} bigint" for c in names)
-    rows = dealt.select("token", "n", "key", "others").mapInArrow(pairs, kinds)
-    counted = rows.groupBy(*names[:6]).agg(F.sum("shared").alias("shared"))
-    most = F.col("shared") + F.least("o1", "o2")
-    return counted.filter(most >= least_shared(F.col("n1"), F.col("n2"), like.percent)).select("k1", "k2")
+    return stored(dealt.select("token", "n", "key").mapInArrow(pairs, kinds), "paired")
 
 
 def _star_candidates(posts: DataFrame, like: Likeness) -> DataFrame:
-    """(k1, k2): each set that posts a frequent token, with the smallest set posting it and
-    with one set chosen by a hash of set and token.
-
-    Two rows a post, however many sets share the token. The hashed choice differs from token
-    to token, so a set meets many members of its group, not only one that may be too far
-    away. Size steps are powers of the size
-    ratio, so the smallest set of a step can be linked to all of it; the largest set of a
-    step meets the smallest of the next.
+    """(k1, k2): each set that posts a token of many sets, with two centres of those sets.
+
+    One centre has the fewest tokens of its own (`rare`), then the smallest size: the text
+    that the others were made from, or what is nearest to it. The other is chosen by a hash
+    of the set alone, so most tokens of a group choose the same few and the pairs stay few.
+    Two rows a post, however many sets share the token. Size steps are powers of the size
+    ratio; the largest set of a step meets the centre of the next.
     """
     step = F.floor(F.log(F.col("n")) / math.log(100 / like.percent)).cast("int")
     stepped = posts.withColumn("step", step)
-    size = F.struct("n", "key")
     ends = stepped.groupBy("token", "step").agg(
-        F.min_by("key", size).alias("k1"),
-        F.max_by("key", size).alias("top"),
-        F.min_by("key", F.xxhash64("token", "key")).alias("any"),
+        F.min_by("key", F.struct("rare", "n", "key")).alias("k1"),
+        F.max_by("key", F.struct("n", "key")).alias("top"),
+        F.min_by("key", F.xxhash64("key")).alias("any"),
     )
     ends = stored(ends, "token-steps")
     both = stepped.join(ends, ["token", "step"])
@@ -335,12 +396,14 @@ def _star_candidates(posts: DataFrame, like: Likeness) -> DataFrame:
 
 
 def _cross_candidates(posts: DataFrame, roots: DataFrame, like: Likeness) -> DataFrame:
-    """(k1, k2) sharing a frequent token in different components so far, that can be linked.
+    """(k1, k2) sharing a token of many sets, in different components so far, that can be linked.
 
     Tokens whose sets are all of one component give nothing; the sets of the others are
-    paired across components only. A set that posts a frequent token posts all of its
-    `rare` tokens, too, and linked sets with one of those in common are in one component
-    by now. So what two sets still have in common is at most the rest of each.
+    paired across components only. A set that posts a known frequent token posts all of its
+    `rare` tokens, too. Linked sets with one of those in common are in one component by now
+    or share a token of many sets that is not known as frequent, for which only the sizes
+    count here (`rare` is null). So what two other sets have in common is at most the rest of
+    each, and all tokens that their prefixes share are counted here.
     """
     known = posts.join(roots.select(F.col("node").alias("key"), "root"), "key", "left")
     known = known.withColumn("root", F.coalesce("root", "key"))
@@ -352,8 +415,9 @@ def _cross_candidates(posts: DataFrame, roots: DataFrame, like: Likeness) -> Dat
             F.col("key").alias(f"k{i}"),
             F.col("n").alias(f"n{i}"),
             F.col("root").alias(f"r{i}"),
+            F.col("rare").alias(f"rare{i}"),
             # the greatest sum of both sizes at which the rest is enough for a link
-            F.floor((F.col("n") - F.col("rare")) * (100 + like.percent) / like.percent).alias(f"most{i}"),
+            F.floor((F.col("n") - F.coalesce("rare", F.lit(0))) * (100 + like.percent) / like.percent).alias(f"most{i}"),
         )
         for i in (1, 2)
     )
@@ -362,118 +426,116 @@ def _cross_candidates(posts: DataFrame, roots: DataFrame, like: Likeness) -> Dat
     both = F.col("n1") + F.col("n2")
     fits = (both <= F.col("most1")) & (both <= F.col("most2")) & (F.struct("n1", "k1") < F.struct("n2", "k2"))
     met = a.join(b, "token").filter((F.col("r1") != F.col("r2")) & fits)
-    shared = met.groupBy("k1", "k2", "n1", "n2").agg(F.lit(1))
-    return shared.select("k1", "k2")
+    shared = met.groupBy("k1", "k2", "n1", "n2").agg(
+        F.count(F.lit(1)).alias("shared"), F.max(F.col("rare1").isNull()).alias("sizes_only")
+    )
+    n1, n2, t = F.col("n1"), F.col("n2"), like.percent
+    overlap = F.ceil((n1 + n2) * t / (100 + t))
+    rest = F.greatest(F.ceil(n1 * t / 100), F.ceil(n2 * t / 100)) - 1
+    return shared.filter(F.col("sizes_only") | (F.col("shared") >= overlap - rest)).select("k1", "k2")
+
+
+def _meeting(sets: DataFrame, pairs: DataFrame, like: Likeness) -> DataFrame:
+    """The candidates (k1, k2) whose prefixes under every further order share enough tokens."""
+    left = sets.select(F.col("key").alias("k1"), F.col("n").alias("n1"), F.col("filters").alias("left"))
+    right = sets.select(F.col("key").alias("k2"), F.col("n").alias("n2"), F.col("filters").alias("right"))
+    compared = pairs.join(left, "k1").join(right, "k2").select("k1", "k2", "n1", "n2", "left", "right")
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())
+            keep = [
+                _meets(x.as_buffer(), y.as_buffer(), least_shared(n1, n2, like.percent))
+                for (n1, n2), x, y in zip(sizes, batch.column(4), batch.column(5))
+            ]
+            yield batch.select(["k1", "k2"]).filter(pa.array(keep, pa.bool_()))
+
+    return stored(compared.mapInArrow(meet, "k1 bigint, k2 bigint"), "meeting")
+
 
+def _meets(x: pa.Buffer, y: pa.Buffer, least: int) -> bool:
+    left = np.frombuffer(x, np.uint32).reshape(ORDERS - 1, -1)
+    right = np.frombuffer(y, np.uint32).reshape(ORDERS - 1, -1)
+    return all(shared_values(a, b) >= least for a, b in zip(left, right))
 
-def _verified(docs: DataFrame, rows: DataFrame, pairs: DataFrame, like: Likeness) -> DataFrame:
+
+def shared_values(x: np.ndarray, y: np.ndarray) -> int:
+    """How many values of sorted `x` are in sorted `y`."""
+    if not len(y):
+        return 0
+    return int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+
+
+def _verified(posted: DataFrame, pairs: DataFrame, like: Likeness) -> DataFrame:
     """The candidates that are links: (a, b, common), written once.
 
-    The texts of the documents that stand for a set are read again, by one merge join at every
-    size, and their tokens are written in short form.
+    The sets of candidates are taken out of the posted ones, one of those that several tasks
+    posted. Then the prefixes of the further orders move, a quarter of each set and order, and
+    at last the sets of the candidates that meet in them all.
     """
-    wanted = pairs.select(F.col("k1").alias("key")).union(pairs.select("k2")).distinct()
-    first = rows.filter("key is not null").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
-    wanted = first.join(wanted, "key", "left_semi").select("doc_id").distinct()
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").hint("merge")
-    # a set may have no other document than one without an id
-    wanted = stored(wanted, "wanted")
-    texts = texts.join(wanted, texts["doc_id"].eqNullSafe(wanted["doc_id"]), "left_semi")
-    full = stored(_word_hashes(texts).mapInArrow(_whole(like), "key bigint, tokens binary"), "sets")
-    left = full.select(F.col("key").alias("k1"), F.col("tokens").alias("left"))
-    right = full.select(F.col("key").alias("k2"), F.col("tokens").alias("right"))
-    compared = pairs.join(left, "k1").join(right, "k2").select("k1", "k2", "left", "right")
+    wanted = stored(pairs.select(F.col("k1").alias("key")).union(pairs.select("k2")).distinct(), "wanted")
+    sets = posted.select("key", "n", "filters", "tokens").join(wanted, "key", "left_semi")
+    sets = stored(sets.dropDuplicates(["key"]), "sets")
+    met = _meeting(sets, pairs, like)
+    left = sets.select(F.col("key").alias("k1"), F.col("tokens").alias("left"))
+    right = sets.select(F.col("key").alias("k2"), F.col("tokens").alias("right"))
+    compared = met.join(left, "k1").join(right, "k2").select("k1", "k2", "left", "right")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [
-                _common(_tokens(x), _tokens(y), like.percent) for x, y in zip(batch.column(2), batch.column(3))
+                _common(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), like.percent)
+                for x, y in zip(batch.column(2), batch.column(3))
             ]
             common = pa.array(found, pa.int64())
             out = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), common], names=["a", "b", "common"])
             yield out.filter(common.is_valid())
 
-    links = compared.mapInArrow(verify, "a bigint, b bigint, common bigint").distinct()
-    return stored(links, "links")
-
+    return stored(compared.mapInArrow(verify, "a bigint, b bigint, common bigint"), "links")
 
-def _whole(like: Likeness):
-    """Task function: the short tokens of each different set, by its key."""
-
-    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        for batch in batches:
-            for _, tokens, ends in _sets(batch, like.words):
-                begin, keys, sets = 0, [], []
-                for end in ends.tolist():
-                    mine = tokens[begin:end]
-                    begin = end
-                    key = set_key(mine) if len(mine) else None
-                    if key is not None and key not in seen:
-                        seen.add(key)
-                        keys.append(key)
-                        sets.append(_slim(mine))
-                columns = [pa.array(keys, pa.int64()), pa.array(sets, pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, names=["key", "tokens"])
 
-    return whole
+def _common(x: np.ndarray, y: np.ndarray, percent: int) -> int | None:
+    """Size of the intersection of two sets that are alike enough."""
+    common = shared_values(x, y)
+    return common if 100 * common >= percent * (len(x) + len(y) - common) else None
 
 
 def joined(docs: DataFrame, like: Likeness = Likeness()) -> tuple[DataFrame, DataFrame]:
     """Documents with the key of their set, and the component of each set that has a link.
 
     Documents: doc_id, n_shingles, key (null for an empty set). Components: node, root
-    (keys). Sets that share a token that is not frequent are compared pair by pair. Sets
-    that share frequent tokens only (those of large groups of near copies) are first
-    compared with the smallest set of each token; after that only sets of different
-    components are left to compare. So every two sets that are linked lie in one component,
+    (keys). Sets that share a token of few sets are compared pair by pair. Sets that share
+    tokens of many sets only (those of large groups of near copies) are first compared with
+    centres of each token; after that only sets of different components are left to compare.
+    So every two sets that are linked lie in one component,
     and a large group of near copies never becomes all its pairs.
     """
     frequent = _ranked(frequent_tokens(docs, like))
     # bounded by MOST_FREQUENT, whatever the corpus is
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
     rows = stored(_posted(docs, like, shared), "prefixes")
-    n = F.col("n_shingles")
-    rare = rows.select(
-        "key", n.alias("n"), (F.size("prefix") - F.col("rare")).alias("others"),
-        F.explode(F.slice("prefix", F.lit(1), F.col("rare").cast("int"))).alias("token"),
+    posted = rows.filter("tokens is not null").withColumnRenamed("n_shingles", "n")
+    rare = posted.select(
+        "key", "n", F.explode(F.slice("prefix", F.lit(1), F.col("rare").cast("int"))).alias("token")
     )
+    paired = _paired(rare, like)
     after = F.filter("prefix", lambda t, i: i >= F.col("rare"))
-    common = rows.select("key", n.alias("n"), "rare", F.explode(after).alias("token"))
-    common = stored(common.distinct(), "frequent-posts")
-    pairs = _rare_candidates(rare, like).union(_star_candidates(common, like)).distinct()
-    links = _verified(docs, rows, stored(pairs, "candidates"), like)
+    common = posted.select(F.explode(after).alias("token"), "n", "key", "rare")
+    many = paired.filter("token is not null").select(
+        "token", "n", F.col("k1").alias("key"), F.lit(None).cast("bigint").alias("rare")
+    )
+    common = stored(common.union(many).distinct(), "many-posts")
+    few = paired.filter("token is null").select(F.least("k1", "k2").alias("k1"), F.greatest("k1", "k2").alias("k2"))
+    pairs = stored(few.union(_star_candidates(common, like)).distinct(), "candidates")
+    links = _verified(posted, pairs, like)
     roots = stored(components(links, "a", "b"), "roots")
     more = stored(_cross_candidates(common, roots, like), "candidates")
     if not more.isEmpty():
-        late = _verified(docs, rows, more, like)
+        late = _verified(posted, more, like)
         roots = components(links.union(late), "a", "b")
     return rows.select("doc_id", "n_shingles", "key"), roots
 
 
-def _slim(tokens: np.ndarray) -> bytes:
-    """The highest TOKEN_BYTES bytes of each hash: enough to compare two sets, not a corpus."""
-    return np.ascontiguousarray(tokens.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :TOKEN_BYTES]).tobytes()
-
-
-def _tokens(value: pa.BinaryScalar) -> np.ndarray:
-    held = np.frombuffer(value.as_buffer(), np.uint8).reshape(-1, TOKEN_BYTES)
-    wide = np.zeros((len(held), 8), np.uint8)
-    wide[:, 8 - TOKEN_BYTES :] = held
-    return wide.view(">u8").ravel().astype(np.uint64)
-
-
-def _common(x: np.ndarray, y: np.ndarray, percent: int) -> int | None:
-    """Size of the intersection if the sets meet in every further order and are alike enough."""
-    none = np.zeros(0, np.uint64)
-    for order in range(1, ORDERS):
-        first, second = (prefix(t, none, none, order, percent)[0] for t in (x, y))
-        if not len(np.intersect1d(first, second, True)):
-            return None
-    common = len(np.intersect1d(x, y, True))
-    return common if 100 * common >= percent * (len(x) + len(y) - common) else None
-
-
 def grouped(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
     """doc_id, n_shingles, component_id, class_size; one row per input row.
 

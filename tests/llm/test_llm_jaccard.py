@@ -114,12 +114,51 @@ def test_join_of_nothing(no_docs, spark):
     assert ours(jaccard.grouped(nulls)) == Counter({(None, 2, 3, 2): 1, (None, 0, None, 1): 1, (3, 2, 3, 2): 1})
 
 
-def test_slim_tokens_keep_their_order():
-    t = np.sort(np.random.default_rng(1).integers(0, 2**64, 100, dtype=np.uint64))
-    import pyarrow as pa
-
-    back = jaccard._tokens(pa.scalar(jaccard._slim(t), pa.binary()))
-    assert back.tolist() == (t >> np.uint64(24)).tolist()
+def test_counts_of_tokens_are_exact(spark, monkeypatch):
+    """Tokens spread thinly over tasks and over cells of a task are counted, copies of a task once."""
+    monkeypatch.setattr(jaccard, "TOKENS_AT_ONCE", 40)
+    passage = " ".join(f"p{i}" for i in range(9))
+    rows = [(i, f"{passage} own{i} a{i} b{i} c{i} d{i}") for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(30)
+    counted = jaccard.token_counts(docs, jaccard.Likeness(frequent_from=20))
+    assert [r["n"] for r in counted.collect()] == [30] * 5
+    copies = spark.createDataFrame([(i, passage) for i in range(9)], "doc_id bigint, text string").coalesce(1)
+    assert jaccard.token_counts(copies, jaccard.Likeness(frequent_from=2)).collect() == []
+
+
+@pytest.mark.parametrize("batch", [3, 10_000])
+def test_posts_of_many_sets_come_back_whole(spark, batch):
+    posts = [(t, 10 + k, 100 * t + k) for t, m in ((1, 2), (2, 4), (3, 5), (4, 40), (5, 1), (6, 3)) for k in range(m)]
+    df = spark.createDataFrame([*posts, *posts], "token bigint, n bigint, key bigint").repartition(4)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        rows = jaccard._paired(df, jaccard.Likeness()).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    many = {(r["token"], r["n"], r["k1"]) for r in rows if r["token"] is not None}
+    assert many == {p for p in posts if p[0] in (3, 4)}
+    pairs = [(r["k1"], r["k2"]) for r in rows if r["token"] is None]
+    sizes = {1: 2, 2: 4, 6: 3}
+    assert sorted(pairs) == sorted(
+        (100 * t + i, 100 * t + j) for t, m in sizes.items() for j in range(m) for i in range(j)
+    )
+
+
+def test_filters_keep_every_link():
+    """Linked sets share at least `least_shared` prefix tokens under each order."""
+    r = np.random.default_rng(3)
+    for _ in range(300):
+        n, own = int(r.integers(1, 90)), int(r.integers(0, 14))
+        both = np.unique(r.integers(0, 2**64, n, dtype=np.uint64))
+        x, y = (np.unique(np.append(both, r.integers(0, 2**64, k, dtype=np.uint64))) for k in (own, own // 2))
+        if jaccard._common(x, y, 75) is None:
+            continue
+        least = jaccard.least_shared(len(x), len(y), 75)
+        a, b = (b"".join(jaccard.short_prefix(s, k, 75) for k in (1, 2)) for s in (x, y))
+        import pyarrow as pa
+
+        assert least >= 1 and jaccard._meets(pa.py_buffer(a), pa.py_buffer(b), least)
 
 
 def test_a_document_without_an_id_is_linked(spark):
