@@ -6,11 +6,11 @@ tokens of either set, whatever global order the tokens are put in. Candidates me
 prefixes under the first order, where frequent tokens come last, rarest first, and the rest
 follow a hash. Before any set moves, the prefixes under two further hash orders are joined
 to the candidates and must share enough tokens, too. Texts are cut into tokens once to count
-them and once to post them; the sets are stored by that second pass.
+them and once to post them; those of candidates are read once more, by the key of their set.
 
 Which tokens count as frequent has no influence on the result, for any set of them gives a
 valid order; it keeps passages that many documents share out of the prefixes. Tokens are
-counted exactly over all documents. The MOST_FREQUENT commonest at most are known to every
+counted over all documents, those with equal leading bits as one. The MOST_FREQUENT commonest at most are known to every
 task; all others that still have many posts are compared as stars, like the known ones.
 """
 
@@ -35,6 +35,7 @@ ROWS_AT_ONCE = 256
 TOKENS_AT_ONCE = 2_000_000
 ROWS_PER_BUCKET = 1 << 14
 LEAST_BUCKETS = 1 << 10
+BITS_IN_BUCKET = 22
 WORD_BREAK = r"[\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -99,18 +100,20 @@ def prefix_length(n: int, percent: int) -> int:
 
 
 def prefix(
-    tokens: np.ndarray, frequent: np.ndarray, rank: np.ndarray, order: int, percent: int
+    tokens: np.ndarray, frequent: np.ndarray, rank: np.ndarray, bits: int, percent: int, order: int = 0
 ) -> tuple[np.ndarray, int]:
     """The first tokens of a set under one global order, and how many of them are not frequent.
 
-    Those that are not frequent stand first.
+    Those that are not frequent stand first. `frequent` are leading bits of tokens, sorted.
     """
     p = prefix_length(len(tokens), percent)
     key = mixed(tokens, order) >> np.uint64(1)
     if len(frequent):
-        at = np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)
-        known = frequent[at] == tokens
-        key[known] = np.uint64(1 << 63) + rank[at[known]]
+        lead = tokens >> np.uint64(64 - bits)
+        at = np.minimum(np.searchsorted(frequent, lead), len(frequent) - 1)
+        known = frequent[at] == lead
+        # tokens of one rank follow their hash
+        key[known] = np.uint64(1 << 63) + (rank[at[known]] << np.uint64(42)) + (key[known] >> np.uint64(21))
     first = np.arange(len(tokens)) if p >= len(tokens) else np.argpartition(key, p - 1)[:p]
     rare = key[first] < np.uint64(1 << 63)
     return np.concatenate([tokens[first[rare]], tokens[first[~rare]]]), int(rare.sum())
@@ -140,30 +143,44 @@ def set_key(tokens: np.ndarray) -> int:
     return int.from_bytes(blake2b(tokens.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
-def token_counts(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
-    """(token, n): how many sets hold each token, of tokens in `frequent_from` sets or more.
+def leading_bits(rows: int) -> int:
+    """How many leading bits of a token are counted for a corpus of so many documents."""
+    buckets = max(LEAST_BUCKETS, 1 << (rows // ROWS_PER_BUCKET).bit_length())
+    return buckets.bit_length() - 1 + BITS_IN_BUCKET
 
-    Tasks sort their tokens and send them as packed cells, one for each leading part of the
-    hash (a bucket), eight bytes a token; equal sets of a task count once. Buckets grow in
-    number with the rows, so that one holds some millions of tokens whatever the corpus is.
+
+def token_counts(docs: DataFrame, bits: int, like: Likeness = Likeness()) -> DataFrame:
+    """(token, n): how many sets hold a token with these leading `bits`, if `frequent_from` or more.
+
+    Tasks sort their tokens and send them as packed cells, one for each bucket (the bits but
+    the last BITS_IN_BUCKET), as steps of two bytes, or of four where they are wide; equal
+    sets of a task count once. Buckets grow in number with the rows, so that one holds some
+    millions of tokens, few of them with equal bits, whatever the corpus is.
     """
-    buckets = max(LEAST_BUCKETS, 1 << (docs.count() // ROWS_PER_BUCKET).bit_length())
-    shift = np.uint64(64 - buckets.bit_length() + 1)
-    names = ["bucket", "tokens", "counts"]
+    names = ["bucket", "wide", "tokens", "counts"]
+    inside = np.uint64((1 << BITS_IN_BUCKET) - 1)
 
     def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         seen: set[int] = set()
 
         def packed() -> pa.RecordBatch:
-            found, n = np.unique(np.concatenate(held), return_counts=True)
-            bucket = (found >> shift).astype(np.int64)
+            found, n = np.unique(np.concatenate(held) >> np.uint64(64 - bits), return_counts=True)
+            bucket = (found >> np.uint64(BITS_IN_BUCKET)).astype(np.int64)
             edges = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
-            ends = np.append(edges[1:], len(found))
-            parts = list(zip(edges.tolist(), ends.tolist()))
-            tokens = [found[s:e].tobytes() for s, e in parts]
-            counts = [n[s:e].astype(np.uint32).tobytes() if n[s:e].max() > 1 else None for s, e in parts]
-            columns = [pa.array(bucket[edges]), pa.array(tokens, pa.binary()), pa.array(counts, pa.binary())]
+            steps = (found & inside).astype(np.int64)
+            first = steps[edges]
+            steps[1:] -= steps[:-1].copy()
+            steps[edges] = first
+            wide = np.maximum.reduceat(steps, edges) > 0xFFFF
+            repeats = np.maximum.reduceat(n, edges) > 1
+            parts = list(zip(edges.tolist(), np.append(edges[1:], len(found)).tolist()))
+            tokens = [
+                steps[s:e].astype(np.uint32 if w else np.uint16).tobytes() for (s, e), w in zip(parts, wide.tolist())
+            ]
+            counts = [n[s:e].astype(np.uint32).tobytes() if r else None for (s, e), r in zip(parts, repeats.tolist())]
+            columns = [pa.array(bucket[edges]), pa.array(wide)]
+            columns += [pa.array(c, pa.binary()) for c in (tokens, counts)]
             return pa.RecordBatch.from_arrays(columns, names=names)
 
         for batch in batches:
@@ -193,29 +210,30 @@ def token_counts(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
             edges = np.flatnonzero(np.append(True, tokens[1:] != tokens[:-1]))
             sums = np.add.reduceat(n.astype(np.int64), edges)
             often = sums >= like.frequent_from
-            found = tokens[edges[often]].view(np.int64)
+            found = tokens[edges[often]]
             return pa.RecordBatch.from_arrays([pa.array(found), pa.array(sums[often])], names=["token", "n"])
 
         for batch in batches:
-            for number, tokens, counts in zip(*[c.to_pylist() for c in batch.columns]):
+            for number, wide, steps, counts in zip(*[c.to_pylist() for c in batch.columns]):
                 if number != bucket and parts:
                     yield summed()
                     parts, weights = [], []
                 bucket = number
-                parts.append(np.frombuffer(tokens, np.uint64))
+                steps = np.frombuffer(steps, np.uint32 if wide else np.uint16)
+                parts.append((number << BITS_IN_BUCKET) + np.cumsum(steps, dtype=np.int64))
                 ones = np.ones(len(parts[-1]), np.uint32)
                 weights.append(ones if counts is None else np.frombuffer(counts, np.uint32))
         if parts:
             yield summed()
 
-    sent = _word_hashes(docs).mapInArrow(cells, "bucket bigint, tokens binary, counts binary")
+    sent = _word_hashes(docs).mapInArrow(cells, "bucket bigint, wide boolean, tokens binary, counts binary")
     dealt = sent.repartition("bucket").sortWithinPartitions("bucket")
     return stored(dealt.mapInArrow(count, "token bigint, n bigint"), "token-counts")
 
 
-def frequent_tokens(docs: DataFrame, like: Likeness = Likeness()) -> list[tuple[int, int]]:
-    """(token, count) of the commonest tokens, MOST_FREQUENT of them at most."""
-    sums = token_counts(docs, like)
+def frequent_tokens(docs: DataFrame, bits: int, like: Likeness = Likeness()) -> list[tuple[int, int]]:
+    """(leading bits, count) of the commonest tokens, MOST_FREQUENT of them at most."""
+    sums = token_counts(docs, bits, like)
     # the lowest limit that leaves at most MOST_FREQUENT tokens, from counts of counts
     step = F.floor(F.log2("n") * 16).cast("int")
     steps = sums.groupBy(step.alias("s")).agg(
@@ -234,7 +252,7 @@ def frequent_tokens(docs: DataFrame, like: Likeness = Likeness()) -> list[tuple[
 
 
 def _ranked(frequent: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted frequent tokens and the place of each in the order of rising counts."""
+    """Sorted frequent tokens (leading bits) and the place of each in the order of rising counts."""
     tokens = np.array([t for t, _ in frequent], np.int64).view(np.uint64)
     counts = np.array([n for _, n in frequent], np.int64)
     by_token = np.argsort(tokens)
@@ -245,19 +263,18 @@ def _ranked(frequent: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _posted(docs: DataFrame, like: Likeness, shared) -> DataFrame:
-    """(doc_id, n_shingles, key, rare, prefix, filters, tokens): every document's set.
+    """(doc_id, n_shingles, key, rare, prefix): every document's set key and first tokens.
 
-    Copies within a task give their set once, so a group of copies that holds a third of all
-    rows posts a set at most once a task; the other copies have the key alone. `filters` are
-    the prefixes under the further orders, four bytes a token, one order after the other.
+    Copies within a task give their prefix once, so a group of copies that holds a third of
+    all rows posts a set at most once a task; the other copies have the key alone.
     """
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        freq, ranks = shared.value
+        freq, ranks, bits = shared.value
         for batch in batches:
             for ids, tokens, ends in _sets(batch, like.words):
-                begin, sizes, found, rares, prefixes, filters, sets = 0, [], [], [], [], [], []
+                begin, sizes, found, rares, prefixes = 0, [], [], [], []
                 for end in ends.tolist():
                     mine = tokens[begin:end]
                     begin = end
@@ -265,31 +282,31 @@ def _posted(docs: DataFrame, like: Likeness, shared) -> DataFrame:
                     sizes.append(len(mine))
                     found.append(key)
                     if key is None or key in seen:
-                        for c in (rares, prefixes, filters, sets):
-                            c.append(None)
+                        rares.append(None)
+                        prefixes.append(None)
                         continue
                     seen.add(key)
-                    first, rare = prefix(mine, freq, ranks, 0, like.percent)
+                    first, rare = prefix(mine, freq, ranks, bits, like.percent)
                     rares.append(rare)
                     prefixes.append(first.view(np.int64))
-                    filters.append(b"".join(short_prefix(mine, k, like.percent) for k in range(1, ORDERS)))
-                    sets.append(mine.tobytes())
                 columns = [pa.array(c, pa.int64()) for c in (sizes, found, rares)]
                 columns += [pa.array(prefixes, pa.list_(pa.int64()))]
-                columns += [pa.array(c, pa.binary()) for c in (filters, sets)]
-                names = ["doc_id", "n_shingles", "key", "rare", "prefix", "filters", "tokens"]
+                names = ["doc_id", "n_shingles", "key", "rare", "prefix"]
                 yield pa.RecordBatch.from_arrays([ids, *columns], names=names)
 
     kinds = "doc_id bigint, n_shingles bigint, key bigint, rare bigint, prefix array<bigint>"
-    return _word_hashes(docs).mapInArrow(keys, f"{kinds}, filters binary, tokens binary")
+    return _word_hashes(docs).mapInArrow(keys, kinds)
 
 
 def short_prefix(tokens: np.ndarray, order: int, percent: int) -> bytes:
-    """The first tokens of a set under a hash order, 32 bits of each, sorted."""
+    """The first tokens of a set under a hash order, 16 bits of each, sorted.
+
+    Different tokens with equal bits can only let a candidate through.
+    """
     p = prefix_length(len(tokens), percent)
     key = mixed(tokens, order)
     first = key if p >= len(key) else key[np.argpartition(key, p - 1)[:p]]
-    return np.sort((first & np.uint64(0xFFFFFFFF)).astype(np.uint32)).tobytes()
+    return np.sort((first & np.uint64(0xFFFF)).astype(np.uint16)).tobytes()
 
 
 def least_shared(n1: int, n2: int, percent: int) -> int:
@@ -454,8 +471,8 @@ def _meeting(sets: DataFrame, pairs: DataFrame, like: Likeness) -> DataFrame:
 
 
 def _meets(x: pa.Buffer, y: pa.Buffer, least: int) -> bool:
-    left = np.frombuffer(x, np.uint32).reshape(ORDERS - 1, -1)
-    right = np.frombuffer(y, np.uint32).reshape(ORDERS - 1, -1)
+    left = np.frombuffer(x, np.uint16).reshape(ORDERS - 1, -1)
+    right = np.frombuffer(y, np.uint16).reshape(ORDERS - 1, -1)
     return all(shared_values(a, b) >= least for a, b in zip(left, right))
 
 
@@ -466,16 +483,23 @@ def shared_values(x: np.ndarray, y: np.ndarray) -> int:
     return int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
 
 
-def _verified(posted: DataFrame, pairs: DataFrame, like: Likeness) -> DataFrame:
+def _verified(docs: DataFrame, rows: DataFrame, pairs: DataFrame, like: Likeness) -> DataFrame:
     """The candidates that are links: (a, b, common), written once.
 
-    The sets of candidates are taken out of the posted ones, one of those that several tasks
-    posted. Then the prefixes of the further orders move, a quarter of each set and order, and
-    at last the sets of the candidates that meet in them all.
+    The texts of the documents that stand for a candidate's set are read. Then the prefixes of
+    the further orders move, a quarter of each set and order, and at last the sets of the
+    candidates that meet in them all.
     """
-    wanted = stored(pairs.select(F.col("k1").alias("key")).union(pairs.select("k2")).distinct(), "wanted")
-    sets = posted.select("key", "n", "filters", "tokens").join(wanted, "key", "left_semi")
-    sets = stored(sets.dropDuplicates(["key"]), "sets")
+    wanted = pairs.select(F.col("k1").alias("key")).union(pairs.select("k2")).distinct()
+    first = rows.filter("key is not null").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
+    wanted = stored(first.join(wanted, "key").select("doc_id", F.col("key").alias("wanted")), "wanted")
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    # a set may have no other document than one without an id
+    texts = texts.join(wanted.select("doc_id").distinct(), texts["doc_id"].eqNullSafe(wanted["doc_id"]), "left_semi")
+    full = _word_hashes(texts).mapInArrow(_whole(like), "key bigint, n bigint, filters binary, tokens binary")
+    # other rows of the same doc_id have sets of their own, copies of them in other tasks
+    sets = full.join(wanted, full["key"] == wanted["wanted"], "left_semi").dropDuplicates(["key"])
+    sets = stored(sets, "sets")
     met = _meeting(sets, pairs, like)
     left = sets.select(F.col("key").alias("k1"), F.col("tokens").alias("left"))
     right = sets.select(F.col("key").alias("k2"), F.col("tokens").alias("right"))
@@ -494,6 +518,34 @@ def _verified(posted: DataFrame, pairs: DataFrame, like: Likeness) -> DataFrame:
     return stored(compared.mapInArrow(verify, "a bigint, b bigint, common bigint"), "links")
 
 
+def _whole(like: Likeness):
+    """Task function: key, size, filters and tokens of each different set.
+
+    `filters` are the prefixes under the further orders, one after the other.
+    """
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for batch in batches:
+            for _, tokens, ends in _sets(batch, like.words):
+                begin, keys, sizes, filters, sets = 0, [], [], [], []
+                for end in ends.tolist():
+                    mine = tokens[begin:end]
+                    begin = end
+                    key = set_key(mine) if len(mine) else None
+                    if key is not None and key not in seen:
+                        seen.add(key)
+                        keys.append(key)
+                        sizes.append(len(mine))
+                        filters.append(b"".join(short_prefix(mine, k, like.percent) for k in range(1, ORDERS)))
+                        sets.append(mine.tobytes())
+                columns = [pa.array(keys, pa.int64()), pa.array(sizes, pa.int64())]
+                columns += [pa.array(c, pa.binary()) for c in (filters, sets)]
+                yield pa.RecordBatch.from_arrays(columns, names=["key", "n", "filters", "tokens"])
+
+    return whole
+
+
 def _common(x: np.ndarray, y: np.ndarray, percent: int) -> int | None:
     """Size of the intersection of two sets that are alike enough."""
     common = shared_values(x, y)
@@ -510,11 +562,12 @@ def joined(docs: DataFrame, like: Likeness = Likeness()) -> tuple[DataFrame, Dat
     So every two sets that are linked lie in one component,
     and a large group of near copies never becomes all its pairs.
     """
-    frequent = _ranked(frequent_tokens(docs, like))
+    bits = leading_bits(docs.count())
+    frequent = _ranked(frequent_tokens(docs, bits, like))
     # bounded by MOST_FREQUENT, whatever the corpus is
-    shared = docs.sparkSession.sparkContext.broadcast(frequent)
+    shared = docs.sparkSession.sparkContext.broadcast((*frequent, bits))
     rows = stored(_posted(docs, like, shared), "prefixes")
-    posted = rows.filter("tokens is not null").withColumnRenamed("n_shingles", "n")
+    posted = rows.filter("prefix is not null").withColumnRenamed("n_shingles", "n")
     rare = posted.select(
         "key", "n", F.explode(F.slice("prefix", F.lit(1), F.col("rare").cast("int"))).alias("token")
     )
@@ -527,11 +580,11 @@ def joined(docs: DataFrame, like: Likeness = Likeness()) -> tuple[DataFrame, Dat
     common = stored(common.union(many).distinct(), "many-posts")
     few = paired.filter("token is null").select(F.least("k1", "k2").alias("k1"), F.greatest("k1", "k2").alias("k2"))
     pairs = stored(few.union(_star_candidates(common, like)).distinct(), "candidates")
-    links = _verified(posted, pairs, like)
+    links = _verified(docs, rows, pairs, like)
     roots = stored(components(links, "a", "b"), "roots")
     more = stored(_cross_candidates(common, roots, like), "candidates")
     if not more.isEmpty():
-        late = _verified(posted, more, like)
+        late = _verified(docs, rows, more, like)
         roots = components(links.union(late), "a", "b")
     return rows.select("doc_id", "n_shingles", "key"), roots
 

@@ -120,10 +120,10 @@ def test_counts_of_tokens_are_exact(spark, monkeypatch):
     passage = " ".join(f"p{i}" for i in range(9))
     rows = [(i, f"{passage} own{i} a{i} b{i} c{i} d{i}") for i in range(30)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(30)
-    counted = jaccard.token_counts(docs, jaccard.Likeness(frequent_from=20))
+    counted = jaccard.token_counts(docs, 50, jaccard.Likeness(frequent_from=20))
     assert [r["n"] for r in counted.collect()] == [30] * 5
     copies = spark.createDataFrame([(i, passage) for i in range(9)], "doc_id bigint, text string").coalesce(1)
-    assert jaccard.token_counts(copies, jaccard.Likeness(frequent_from=2)).collect() == []
+    assert jaccard.token_counts(copies, 50, jaccard.Likeness(frequent_from=2)).collect() == []
 
 
 @pytest.mark.parametrize("batch", [3, 10_000])
