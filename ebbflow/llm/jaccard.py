@@ -23,7 +23,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ebbflow.llm.components import components
@@ -321,14 +321,14 @@ def least_shared(n1: int, n2: int, percent: int) -> int:
 
 
 def _paired(posts: DataFrame, like: Likeness) -> DataFrame:
-    """(token, n, k1, k2) of the posts (token, n, key) of tokens that are not known as frequent.
+    """(token, k1, n1, k2, n2) of the posts (token, n, key) of tokens that are not known as frequent.
 
     Posts are dealt by token and sorted, so the sets of a token stand together, the smaller
     first. Up to `pairs_up_to` of them meet pair by pair, as far as their sizes allow: a row
     with the pair and no token. The posts of a token with more sets come back as they were
-    (k1 is the key, k2 null). A task holds a batch and `pairs_up_to` posts.
+    (k1 is the key, n1 its size, the others null). A task holds a batch and `pairs_up_to` posts.
     """
-    names = ["token", "n", "k1", "k2"]
+    names = ["token", "k1", "n1", "k2", "n2"]
     most = like.pairs_up_to
 
     def found(token: np.ndarray, n: np.ndarray, key: np.ndarray) -> list[tuple]:
@@ -341,13 +341,13 @@ def _paired(posts: DataFrame, like: Likeness) -> DataFrame:
         for gap in range(1, most):
             i = np.flatnonzero((token[gap:] == token[:-gap]) & ~many[gap:])
             i = i[n[i] * 100 >= n[i + gap] * like.percent]
-            left.append(key[i])
-            right.append(key[i + gap])
-        pairs_found = (None, None, np.concatenate(left), np.concatenate(right))
-        return [(token[many], n[many], key[many], None), pairs_found]
+            left.append(i)
+            right.append(i + gap)
+        x, y = np.concatenate(left), np.concatenate(right)
+        return [(token[many], key[many], n[many], None, None), (None, key[x], n[x], key[y], n[y])]
 
     def batch_of(rows: tuple) -> pa.RecordBatch:
-        size = len(rows[2])
+        size = len(rows[1])
         columns = [pa.nulls(size, pa.int64()) if c is None else pa.array(c, pa.int64()) for c in rows]
         return pa.RecordBatch.from_arrays(columns, names=names)
 
@@ -364,7 +364,7 @@ def _paired(posts: DataFrame, like: Likeness) -> DataFrame:
             token, n, key = token[new], n[new], key[new]
             if streaming is not None:
                 cut = int(np.searchsorted(token, streaming, "right"))
-                yield batch_of((token[:cut], n[:cut], key[:cut], None))
+                yield batch_of((token[:cut], key[:cut], n[:cut], None, None))
                 token, n, key = token[cut:], n[cut:], key[cut:]
                 if len(token):
                     streaming = None
@@ -375,7 +375,7 @@ def _paired(posts: DataFrame, like: Likeness) -> DataFrame:
             held = [token[cut:], n[cut:], key[cut:]]
             if len(held[0]) > most:
                 streaming = held[0][0]
-                yield batch_of((*held, None))
+                yield batch_of((held[0], held[2], held[1], None, None))
                 held = [np.zeros(0, np.int64)] * 3
         if len(held[0]):
             yield from map(batch_of, found(*held))
@@ -385,6 +385,29 @@ def _paired(posts: DataFrame, like: Likeness) -> DataFrame:
     return stored(dealt.select("token", "n", "key").mapInArrow(pairs, kinds), "paired")
 
 
+def _least(like: Likeness) -> Column:
+    """`least_shared` of the columns n1 and n2."""
+    n1, n2, t = F.col("n1"), F.col("n2"), like.percent
+    rest = F.greatest(F.ceil(n1 * t / 100), F.ceil(n2 * t / 100)) - 1
+    return F.ceil((n1 + n2) * t / (100 + t)) - rest
+
+
+def _sharing_enough(pairs: DataFrame, posts: DataFrame, like: Likeness) -> DataFrame:
+    """(k1, k2) whose first prefixes can share enough tokens.
+
+    There is a row for each shared token of few sets; of the tokens of many sets two sets share
+    no more than either posts.
+    """
+    shared = pairs.groupBy("k1", "n1", "k2", "n2").agg(F.count(F.lit(1)).alias("shared"))
+    many = posts.groupBy("key").agg(F.count(F.lit(1)).alias("many"))
+    for i in ("1", "2"):
+        shared = shared.join(many.select(F.col("key").alias(f"k{i}"), F.col("many").alias(f"m{i}")), f"k{i}", "left")
+    most = F.col("shared") + F.least(F.coalesce("m1", F.lit(0)), F.coalesce("m2", F.lit(0)))
+    kept = shared.filter(most >= _least(like))
+    # either order of a pair is the same pair
+    return kept.select(F.least("k1", "k2").alias("k1"), F.greatest("k1", "k2").alias("k2"))
+
+
 def _star_candidates(posts: DataFrame, like: Likeness) -> DataFrame:
     """(k1, k2): each set that posts a token of many sets, with two centres of those sets.
 
@@ -395,7 +418,9 @@ def _star_candidates(posts: DataFrame, like: Likeness) -> DataFrame:
     ratio; the largest set of a step meets the centre of the next.
     """
     step = F.floor(F.log(F.col("n")) / math.log(100 / like.percent)).cast("int")
-    stepped = posts.withColumn("step", step)
+    # a set with more tokens of its own can't be linked by those of many sets
+    rest = F.col("n") - F.coalesce("rare", F.lit(0))
+    stepped = posts.filter(rest * 100 >= F.col("n") * like.percent).withColumn("step", step)
     ends = stepped.groupBy("token", "step").agg(
         F.min_by("key", F.struct("rare", "n", "key")).alias("k1"),
         F.max_by("key", F.struct("n", "key")).alias("top"),
@@ -422,7 +447,8 @@ def _cross_candidates(posts: DataFrame, roots: DataFrame, like: Likeness) -> Dat
     count here (`rare` is null). So what two other sets have in common is at most the rest of
     each, and all tokens that their prefixes share are counted here.
     """
-    known = posts.join(roots.select(F.col("node").alias("key"), "root"), "key", "left")
+    often = posts.filter("rare is not null").groupBy("key").agg(F.count(F.lit(1)).alias("often"))
+    known = posts.join(often, "key", "left").join(roots.select(F.col("node").alias("key"), "root"), "key", "left")
     known = known.withColumn("root", F.coalesce("root", "key"))
     mixed_tokens = known.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y")
     open_posts = stored(known.join(mixed_tokens.select("token"), "token"), "open-posts")
@@ -433,6 +459,7 @@ def _cross_candidates(posts: DataFrame, roots: DataFrame, like: Likeness) -> Dat
             F.col("n").alias(f"n{i}"),
             F.col("root").alias(f"r{i}"),
             F.col("rare").alias(f"rare{i}"),
+            F.coalesce("often", F.lit(0)).alias(f"often{i}"),
             # the greatest sum of both sizes at which the rest is enough for a link
             F.floor((F.col("n") - F.coalesce("rare", F.lit(0))) * (100 + like.percent) / like.percent).alias(f"most{i}"),
         )
@@ -443,13 +470,12 @@ def _cross_candidates(posts: DataFrame, roots: DataFrame, like: Likeness) -> Dat
     both = F.col("n1") + F.col("n2")
     fits = (both <= F.col("most1")) & (both <= F.col("most2")) & (F.struct("n1", "k1") < F.struct("n2", "k2"))
     met = a.join(b, "token").filter((F.col("r1") != F.col("r2")) & fits)
-    shared = met.groupBy("k1", "k2", "n1", "n2").agg(
+    shared = met.groupBy("k1", "k2", "n1", "n2", "often1", "often2").agg(
         F.count(F.lit(1)).alias("shared"), F.max(F.col("rare1").isNull()).alias("sizes_only")
     )
-    n1, n2, t = F.col("n1"), F.col("n2"), like.percent
-    overlap = F.ceil((n1 + n2) * t / (100 + t))
-    rest = F.greatest(F.ceil(n1 * t / 100), F.ceil(n2 * t / 100)) - 1
-    return shared.filter(F.col("sizes_only") | (F.col("shared") >= overlap - rest)).select("k1", "k2")
+    # the bound by `rare` may have cut rows of known tokens where another token is shared, too
+    cut = F.when(F.col("sizes_only"), F.least("often1", "often2")).otherwise(0)
+    return shared.filter(F.col("shared") + cut >= _least(like)).select("k1", "k2")
 
 
 def _meeting(sets: DataFrame, pairs: DataFrame, like: Likeness) -> DataFrame:
@@ -467,7 +493,7 @@ def _meeting(sets: DataFrame, pairs: DataFrame, like: Likeness) -> DataFrame:
             ]
             yield batch.select(["k1", "k2"]).filter(pa.array(keep, pa.bool_()))
 
-    return stored(compared.mapInArrow(meet, "k1 bigint, k2 bigint"), "meeting")
+    return stored(compared.mapInArrow(meet, "k1 bigint, k2 bigint").distinct(), "meeting")
 
 
 def _meets(x: pa.Buffer, y: pa.Buffer, least: int) -> bool:
@@ -492,14 +518,13 @@ def _verified(docs: DataFrame, rows: DataFrame, pairs: DataFrame, like: Likeness
     """
     wanted = pairs.select(F.col("k1").alias("key")).union(pairs.select("k2")).distinct()
     first = rows.filter("key is not null").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
-    wanted = stored(first.join(wanted, "key").select("doc_id", F.col("key").alias("wanted")), "wanted")
+    wanted = stored(first.join(wanted, "key", "left_semi").select("doc_id").distinct(), "wanted")
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     # a set may have no other document than one without an id
-    texts = texts.join(wanted.select("doc_id").distinct(), texts["doc_id"].eqNullSafe(wanted["doc_id"]), "left_semi")
+    # rows of one doc_id in several tasks may give a set more than once: links are distinct
+    texts = texts.join(wanted, texts["doc_id"].eqNullSafe(wanted["doc_id"]), "left_semi")
     full = _word_hashes(texts).mapInArrow(_whole(like), "key bigint, n bigint, filters binary, tokens binary")
-    # other rows of the same doc_id have sets of their own, copies of them in other tasks
-    sets = full.join(wanted, full["key"] == wanted["wanted"], "left_semi").dropDuplicates(["key"])
-    sets = stored(sets, "sets")
+    sets = stored(full, "sets")
     met = _meeting(sets, pairs, like)
     left = sets.select(F.col("key").alias("k1"), F.col("tokens").alias("left"))
     right = sets.select(F.col("key").alias("k2"), F.col("tokens").alias("right"))
@@ -515,7 +540,7 @@ def _verified(docs: DataFrame, rows: DataFrame, pairs: DataFrame, like: Likeness
             out = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), common], names=["a", "b", "common"])
             yield out.filter(common.is_valid())
 
-    return stored(compared.mapInArrow(verify, "a bigint, b bigint, common bigint"), "links")
+    return stored(compared.mapInArrow(verify, "a bigint, b bigint, common bigint").distinct(), "links")
 
 
 def _whole(like: Likeness):
@@ -575,10 +600,10 @@ def joined(docs: DataFrame, like: Likeness = Likeness()) -> tuple[DataFrame, Dat
     after = F.filter("prefix", lambda t, i: i >= F.col("rare"))
     common = posted.select(F.explode(after).alias("token"), "n", "key", "rare")
     many = paired.filter("token is not null").select(
-        "token", "n", F.col("k1").alias("key"), F.lit(None).cast("bigint").alias("rare")
+        "token", F.col("n1").alias("n"), F.col("k1").alias("key"), F.lit(None).cast("bigint").alias("rare")
     )
     common = stored(common.union(many).distinct(), "many-posts")
-    few = paired.filter("token is null").select(F.least("k1", "k2").alias("k1"), F.greatest("k1", "k2").alias("k2"))
+    few = _sharing_enough(paired.filter("token is null"), common, like)
     pairs = stored(few.union(_star_candidates(common, like)).distinct(), "candidates")
     links = _verified(docs, rows, pairs, like)
     roots = stored(components(links, "a", "b"), "roots")

@@ -136,7 +136,7 @@ def test_posts_of_many_sets_come_back_whole(spark, batch):
         rows = jaccard._paired(df, jaccard.Likeness()).collect()
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
-    many = {(r["token"], r["n"], r["k1"]) for r in rows if r["token"] is not None}
+    many = {(r["token"], r["n1"], r["k1"]) for r in rows if r["token"] is not None}
     assert many == {p for p in posts if p[0] in (3, 4)}
     pairs = [(r["k1"], r["k2"]) for r in rows if r["token"] is None]
     sizes = {1: 2, 2: 4, 6: 3}
