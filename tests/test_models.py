@@ -7,6 +7,7 @@ from functools import reduce
 import pytest
 from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from ebbflow.operators import evaluation as ev
@@ -114,6 +115,18 @@ def test_metrics_row_and_recommendation(forest, parts):
     assert le.recommended(both).first().model == best
 
 
+def test_models_score_in_a_session_that_has_observed_rows(spark, parts):
+    seen = Observation()
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get == {"n": 3}
+    train, test = le.split_parts(parts.table)
+    for classifier in (le.logistic_regression().setMaxIter(2), le.random_forest(trees=2, depth=2)):
+        model, _ = le.fit(train, classifier)
+        assert le.predict(model, test).filter("score between 0 and 1").count() == test.count()
+    _, records, _ = le.tune(train, trees=(2,), depths=(2,), min_instances=(1,))
+    assert 0 <= records[0]["validation_auc"] <= 1
+
+
 def test_fit_repeats_whatever_the_layout(parts):
     train, test = le.split_parts(parts.table)
     a, _ = le.fit(train, le.random_forest(trees=3, depth=3))
