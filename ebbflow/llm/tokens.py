@@ -7,10 +7,11 @@ white space is encoded as it stands.
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 import struct
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from functools import lru_cache
 
 REMEMBERED = 500_000
@@ -21,7 +22,8 @@ _other_white = re.compile(r"[^\S \n]").search
 
 
 # a run of Latin letters, perhaps after a blank and before signs; an apostrophe may start a piece of its own
-_plain = re.compile(r"( ?)([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+)([!-&(-/:-@\[-`{-~]*)").fullmatch
+_plain = re.compile(r" ?[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+[!-&(-/:-@\[-`{-~]*").fullmatch
+SIGNS = "".join(chr(c) for c in range(0x21, 0x7F) if not chr(c).isalnum() and chr(c) != "'")
 
 
 def _byte_letters() -> dict[int, str]:
@@ -59,6 +61,7 @@ class Encoder:
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         self.letters = _byte_letters()
+        self.four = [_packed([i]) for i in range(max(self.tokenizer.get_vocab().values()) + 1)]
         self.tokenize = self.tokenizer.model.tokenize
         normal, cut = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
         self.lower = normal is not None and normal.normalize_str("A") == "a"
@@ -68,71 +71,77 @@ class Encoder:
 
     def _merges_agree(self) -> bool:
         letters = [chr(c) for c in (*range(65, 91), *range(97, 123), *self.letters) if chr(c).isalpha()]
-        signs = [chr(c) for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'"]
         tries = [f"{b}{x}{y}e{s}" for b in ("", " ") for x in letters for y, s in (("", ""), ("n", ".")) if _plain(f"{b}{x}{y}e{s}")]
-        tries += [f" a{s}{t}" for s in signs for t in signs]
-        return [self._of_run(r, {}) for r in tries] == self._encode(tries)
+        tries += [f" a{s}{t}" for s in SIGNS for t in SIGNS]
+        found = self._encode_runs(tries, {})
+        return [found[r] for r in tries] == self._encode(tries)
 
     def _encode(self, texts: Sequence[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [_packed(e.ids) for e in found]
 
-    def _merged(self, piece: str) -> bytes:
-        return _packed([t.id for t in self.tokenize(piece)])
-
-    def _of_run(self, run: str, known: dict[str, bytes]) -> bytes | None:
-        """The ids of a plain run, its parts remembered in `known`; None of any other."""
-        found = _plain(run)
-        if not found:
-            return None
-        blank, word, signs = found.groups()
-        head = run[: len(blank) + len(word)]
-        ids = known.get(head)
-        if ids is None:
-            spelt = word.lower() if self.lower else word
-            if not spelt.isascii():
-                spelt = spelt.translate(self.letters)
-            ids = known[head] = self._merged(self.blank + spelt if blank else spelt)
-        if signs:
-            tail = known.get(signs)
-            if tail is None:
-                tail = known[signs] = self._merged(signs)
-            ids += tail
-        return ids
-
-    def _encode_runs(self, runs: list[str], known: dict[str, bytes]) -> dict[str, bytes]:
+    def _encode_runs(self, runs: Iterable[str], known: dict[str, bytes]) -> dict[str, bytes]:
+        """The ids of each run; the parts of plain runs with signs are remembered in `known`."""
         out, rest = {}, []
+        four, tokenize, blank, lower, letters = self.four, self.tokenize, self.blank, self.lower, self.letters
         for r in runs:
-            ids = self._of_run(r, known) if self.direct and len(r) <= LONGEST else None
-            if ids is None:
+            if not self.direct or len(r) > LONGEST:
                 rest.append(r)
-            else:
-                out[r] = ids
+                continue
+            head = r.rstrip(SIGNS)
+            word = head[1:] if head[:1] == " " else head
+            if not (word.isascii() and word.isalpha()) and not _plain(r):
+                rest.append(r)
+                continue
+            ids = known.get(head)
+            if ids is None:
+                spelt = word.lower() if lower else word
+                if not spelt.isascii():
+                    spelt = spelt.translate(letters)
+                ids = b"".join([four[t.id] for t in tokenize(spelt if word is head else blank + spelt)])
+                known[head] = ids
+            if len(head) < len(r):
+                signs = r[len(head) :]
+                tail = known.get(signs)
+                if tail is None:
+                    tail = known[signs] = b"".join([four[t.id] for t in tokenize(signs)])
+                ids += tail
+            out[r] = ids
         out.update(zip(rest, self._encode(rest)))
         return out
 
     def encode(self, texts: Sequence[str | None]) -> list[bytes]:
-        """The ids of each text; null is the empty text."""
+        """The ids of each text; null is the empty text.
+
+        Python's search for cycles rests meanwhile: none are made, and the many lists set it off.
+        """
+        searched = gc.isenabled()
+        gc.disable()
+        try:
+            return self._of_texts(texts)
+        finally:
+            if searched:
+                gc.enable()
+
+    def _of_texts(self, texts: Sequence[str | None]) -> list[bytes]:
         cut = [None if t and _other_white(t) else _chunks(t or "") for t in texts]
         young, old = self.young, self.old
         new = []
-        for c in set().union(*(c for c in cut if c)):
-            if c not in young:
-                if c in old:
-                    young[c] = old[c]
-                else:
-                    new.append(c)
+        for c in set().union(*(c for c in cut if c)).difference(young):
+            ids = old.get(c)
+            if ids is None:
+                new.append(c)
+            else:
+                young[c] = ids
         fresh = self._encode_runs(new, young)
         if len(fresh) > REMEMBERED:
             look = {**young, **fresh}
         else:
             young.update(fresh)
             look = young
-        out = []
+        out, ids_of = [], look.__getitem__
         for text, chunks in zip(texts, cut):
-            out.append(
-                self._encode([text])[0] if chunks is None else b"".join([look[c] for c in chunks])
-            )
+            out.append(self._encode([text])[0] if chunks is None else b"".join(map(ids_of, chunks)))
         if look is young:
             for c in new:
                 if len(c) > LONGEST:

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import gc
 import random
 
 import public_tokenizers
@@ -77,3 +78,17 @@ def test_remembered_runs_encode_like_whole_texts(name):
         for text, blob in zip(texts, got):
             want = plain.encode(text or "", add_special_tokens=False).ids
             assert blob == b"".join(i.to_bytes(4, "little") for i in want), text
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_encoding_sets_off_no_search_for_cycles(name):
+    encoder, searches = Encoder(public_tokenizers.path(name)), []
+    texts = [" ".join(f"{a}{b}{s}" for b in "abcdefghij") for a in ("Wort", "ñu") for s in ("", "...", "'s", ")!") for _ in range(500)]
+    gc.collect()
+    gc.callbacks.append(lambda phase, info: searches.append(phase))
+    try:
+        got = encoder.encode(texts)
+    finally:
+        gc.callbacks.pop()
+    assert gc.isenabled() and not searches
+    assert got == encoder._encode(texts)
