@@ -36,6 +36,8 @@ TOKENS_AT_ONCE = 2_000_000
 ROWS_PER_BUCKET = 1 << 14
 LEAST_BUCKETS = 1 << 10
 BITS_IN_BUCKET = 22
+MOST_MARKS = 1 << 26  # bits of a bitmap of documents
+MARKS_PER_ROW = 32
 WORD_BREAK = r"[\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -104,7 +106,8 @@ def prefix(
 ) -> tuple[np.ndarray, int]:
     """The first tokens of a set under one global order, and how many of them are not frequent.
 
-    Those that are not frequent stand first. `frequent` are leading bits of tokens, sorted.
+    They stand in that order, those that are not frequent first; `tokens` must be sorted, so
+    ties go to the smaller token in every set. `frequent` are leading bits of tokens, sorted.
     """
     p = prefix_length(len(tokens), percent)
     key = mixed(tokens, order) >> np.uint64(1)
@@ -114,9 +117,8 @@ def prefix(
         known = frequent[at] == lead
         # tokens of one rank follow their hash
         key[known] = np.uint64(1 << 63) + (rank[at[known]] << np.uint64(42)) + (key[known] >> np.uint64(21))
-    first = np.arange(len(tokens)) if p >= len(tokens) else np.argpartition(key, p - 1)[:p]
-    rare = key[first] < np.uint64(1 << 63)
-    return np.concatenate([tokens[first[rare]], tokens[first[~rare]]]), int(rare.sum())
+    first = np.argsort(key, kind="stable")[:p]
+    return tokens[first], int((key[first] < np.uint64(1 << 63)).sum())
 
 
 def _word_hashes(docs: DataFrame) -> DataFrame:
@@ -441,27 +443,36 @@ def _cross_candidates(posts: DataFrame, roots: DataFrame, like: Likeness) -> Dat
     """(k1, k2) sharing a token of many sets, in different components so far, that can be linked.
 
     Tokens whose sets are all of one component give nothing; the sets of the others are
-    paired across components only. A set that posts a known frequent token posts all of its
-    `rare` tokens, too. Linked sets with one of those in common are in one component by now
-    or share a token of many sets that is not known as frequent, for which only the sizes
-    count here (`rare` is null). So what two other sets have in common is at most the rest of
-    each, and all tokens that their prefixes share are counted here.
+    paired across components only. Two linked sets whose first common token is of few sets
+    are in one component by now. If it is known as frequent, what they have in common is at
+    most what stands from its `place` on in either set; rows of later common tokens may fail
+    that, the one of the first can't. If it is not known (`place` is null), only the sizes
+    count, and those tokens with all known ones (`often`) must be enough.
     """
-    often = posts.filter("rare is not null").groupBy("key").agg(F.count(F.lit(1)).alias("often"))
+    often = posts.filter("place is not null").groupBy("key").agg(F.count(F.lit(1)).alias("often"))
     known = posts.join(often, "key", "left").join(roots.select(F.col("node").alias("key"), "root"), "key", "left")
     known = known.withColumn("root", F.coalesce("root", "key"))
     mixed_tokens = known.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y")
     open_posts = stored(known.join(mixed_tokens.select("token"), "token"), "open-posts")
+    shared = _late_rows(open_posts, like).groupBy("k1", "k2", "n1", "n2", "often1", "often2").agg(
+        F.count_if(F.col("place1").isNull()).alias("unknown")
+    )
+    enough = F.col("unknown") + F.least("often1", "often2") >= _least(like)
+    return shared.filter(enough).select("k1", "k2")
+
+
+def _late_rows(posts: DataFrame, like: Likeness) -> DataFrame:
+    """A row for each token by which two sets of different roots may be linked."""
     a, b = (
-        open_posts.select(
+        posts.select(
             "token",
             F.col("key").alias(f"k{i}"),
             F.col("n").alias(f"n{i}"),
             F.col("root").alias(f"r{i}"),
-            F.col("rare").alias(f"rare{i}"),
+            F.col("place").alias(f"place{i}"),
             F.coalesce("often", F.lit(0)).alias(f"often{i}"),
-            # the greatest sum of both sizes at which the rest is enough for a link
-            F.floor((F.col("n") - F.coalesce("rare", F.lit(0))) * (100 + like.percent) / like.percent).alias(f"most{i}"),
+            # the greatest sum of both sizes at which the tokens from here on are enough for a link
+            F.floor((F.col("n") - F.coalesce("place", F.lit(0))) * (100 + like.percent) / like.percent).alias(f"most{i}"),
         )
         for i in (1, 2)
     )
@@ -469,13 +480,7 @@ def _cross_candidates(posts: DataFrame, roots: DataFrame, like: Likeness) -> Dat
     a = a.filter(F.col("n1") * 2 <= F.col("most1"))
     both = F.col("n1") + F.col("n2")
     fits = (both <= F.col("most1")) & (both <= F.col("most2")) & (F.struct("n1", "k1") < F.struct("n2", "k2"))
-    met = a.join(b, "token").filter((F.col("r1") != F.col("r2")) & fits)
-    shared = met.groupBy("k1", "k2", "n1", "n2", "often1", "often2").agg(
-        F.count(F.lit(1)).alias("shared"), F.max(F.col("rare1").isNull()).alias("sizes_only")
-    )
-    # the bound by `rare` may have cut rows of known tokens where another token is shared, too
-    cut = F.when(F.col("sizes_only"), F.least("often1", "often2")).otherwise(0)
-    return shared.filter(F.col("shared") + cut >= _least(like)).select("k1", "k2")
+    return a.join(b, "token").filter((F.col("r1") != F.col("r2")) & fits)
 
 
 def _meeting(sets: DataFrame, pairs: DataFrame, like: Likeness) -> DataFrame:
@@ -509,6 +514,23 @@ def shared_values(x: np.ndarray, y: np.ndarray) -> int:
     return int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
 
 
+def _marked(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows of `texts` that may have a doc_id of `wanted`: all that have, and few others.
+
+    Texts don't move. Every task knows a bitmap of hashed ids of MOST_MARKS bits at most,
+    whatever the corpus is; fuller bitmaps let more texts through, none is lost. A missing
+    doc_id has a hash, too, as a set may have no other document than one without an id.
+    """
+    bits = min(MOST_MARKS, 1 << (MARKS_PER_ROW * wanted.count()).bit_length())
+    mark = F.pmod(F.xxhash64("doc_id"), F.lit(bits)) + 1
+    bucket, bit = F.bitmap_bucket_number(mark), F.bitmap_bit_position(mark)
+    marks = wanted.groupBy(bucket.alias("bucket")).agg(F.bitmap_construct_agg(bit).alias("marks"))
+    found = texts.withColumns({"bucket": bucket, "bit": bit}).join(F.broadcast(marks), "bucket")
+    byte = F.conv(F.hex(F.substring("marks", (F.floor(F.col("bit") / 8) + 1).cast("int"), F.lit(1))), 16, 10)
+    marked = F.call_function("shiftright", byte.cast("int"), (F.col("bit") % 8).cast("int")) % 2 == 1
+    return found.filter(marked).select("doc_id", "text")
+
+
 def _verified(docs: DataFrame, rows: DataFrame, pairs: DataFrame, like: Likeness) -> DataFrame:
     """The candidates that are links: (a, b, common), written once.
 
@@ -519,10 +541,8 @@ def _verified(docs: DataFrame, rows: DataFrame, pairs: DataFrame, like: Likeness
     wanted = pairs.select(F.col("k1").alias("key")).union(pairs.select("k2")).distinct()
     first = rows.filter("key is not null").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
     wanted = stored(first.join(wanted, "key", "left_semi").select("doc_id").distinct(), "wanted")
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    # a set may have no other document than one without an id
+    texts = _marked(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), wanted)
     # rows of one doc_id in several tasks may give a set more than once: links are distinct
-    texts = texts.join(wanted, texts["doc_id"].eqNullSafe(wanted["doc_id"]), "left_semi")
     full = _word_hashes(texts).mapInArrow(_whole(like), "key bigint, n bigint, filters binary, tokens binary")
     sets = stored(full, "sets")
     met = _meeting(sets, pairs, like)
@@ -597,10 +617,12 @@ def joined(docs: DataFrame, like: Likeness = Likeness()) -> tuple[DataFrame, Dat
         "key", "n", F.explode(F.slice("prefix", F.lit(1), F.col("rare").cast("int"))).alias("token")
     )
     paired = _paired(rare, like)
-    after = F.filter("prefix", lambda t, i: i >= F.col("rare"))
-    common = posted.select(F.explode(after).alias("token"), "n", "key", "rare")
+    rest = F.slice("prefix", F.col("rare").cast("int") + 1, F.size("prefix"))
+    common = posted.select("n", "key", "rare", F.posexplode(rest).alias("place", "token"))
+    common = common.select("token", "n", "key", "rare", (F.col("place") + F.col("rare")).alias("place"))
+    unknown = F.lit(None).cast("bigint")
     many = paired.filter("token is not null").select(
-        "token", F.col("n1").alias("n"), F.col("k1").alias("key"), F.lit(None).cast("bigint").alias("rare")
+        "token", F.col("n1").alias("n"), F.col("k1").alias("key"), unknown.alias("rare"), unknown.alias("place")
     )
     common = stored(common.union(many).distinct(), "many-posts")
     few = _sharing_enough(paired.filter("token is null"), common, like)

@@ -167,3 +167,45 @@ def test_a_document_without_an_id_is_linked(spark):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     got = {(r["doc_id"], r["n_shingles"]): r["component_id"] for r in jaccard.grouped(docs).collect()}
     assert got == {(None, 57): 5, (5, 56): 5, (None, 2): None, (7, 0): 7}
+
+
+def test_prefixes_stand_in_the_global_order():
+    rng = np.random.default_rng(5)
+    x = np.unique(rng.integers(0, 1 << 63, 400, dtype=np.uint64))
+    frequent = np.sort(rng.choice(x, 380, replace=False)) >> np.uint64(14)
+    rank = rng.permutation(len(frequent)).astype(np.uint64)
+    whole, rare = jaccard.prefix(x, frequent, rank, 50, 0)
+    assert rare == len(x) - 380 and set(whole.tolist()) == set(x.tolist())
+    part, rare_of_part = jaccard.prefix(x[::2], frequent, rank, 50, 75)
+    places = [whole.tolist().index(t) for t in part.tolist()]
+    assert places == sorted(places) and rare_of_part == sum(p < rare for p in places)
+
+
+def test_late_rows_need_enough_tokens_from_their_place_on(spark):
+    # 60 sets of 145 tokens with 17 of their own share the known tokens from the 22nd on: 124 at most, of 125
+    posts = [(t, 145, k, k, 17, 17, 20, 21 + t) for k in range(60) for t in range(16)]
+    names = "token long, n long, key long, root long, rare long, often long, places long, place long"
+    late = jaccard._late_rows(spark.createDataFrame(posts, names), jaccard.Likeness())
+    assert late.count() == 0
+    one_more = [(t, n, k, root, r, o, p, place - 1) for t, n, k, root, r, o, p, place in posts]
+    late = jaccard._late_rows(spark.createDataFrame(one_more, names), jaccard.Likeness())
+    assert {(r["token"], r["place1"]) for r in late.collect()} == {(0, 20)} and late.count() == 60 * 59 // 2
+
+
+def test_texts_of_candidates_are_read_without_moving(spark, monkeypatch):
+    docs = spark.range(3000).selectExpr("id AS doc_id", "concat('text ', id) AS text")
+    docs = docs.union(spark.sql("SELECT CAST(null AS bigint), 'no id'"))
+    wanted = spark.range(0, 3000, 100).selectExpr("id - 1 AS doc_id").union(spark.sql("SELECT CAST(null AS bigint)"))
+    must = {None, *range(99, 3000, 100)}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = jaccard._marked(docs, wanted)
+        assert "SortMergeJoin" not in found._jdf.queryExecution().executedPlan().toString()
+        got = [r["doc_id"] for r in found.collect()]
+        assert len(got) == len(set(got)) and must <= set(got) and len(got) < 300
+        # a bitmap that is too small lets more through and loses none
+        monkeypatch.setattr(jaccard, "MOST_MARKS", 8)
+        got = {r["doc_id"] for r in jaccard._marked(docs, wanted).collect()}
+        assert must <= got
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
