@@ -514,21 +514,21 @@ def shared_values(x: np.ndarray, y: np.ndarray) -> int:
     return int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
 
 
-def _marked(texts: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The rows of `texts` that may have a doc_id of `wanted`: all that have, and few others.
+def _marked(texts: DataFrame, wanted: DataFrame, by: str = "doc_id") -> DataFrame:
+    """The rows of `texts` whose `by` may be in `wanted`: all that are, and few others.
 
     Texts don't move. Every task knows a bitmap of hashed ids of MOST_MARKS bits at most,
     whatever the corpus is; fuller bitmaps let more texts through, none is lost. A missing
     doc_id has a hash, too, as a set may have no other document than one without an id.
     """
     bits = min(MOST_MARKS, 1 << (MARKS_PER_ROW * wanted.count()).bit_length())
-    mark = F.pmod(F.xxhash64("doc_id"), F.lit(bits)) + 1
+    mark = F.pmod(F.xxhash64(by), F.lit(bits)) + 1
     bucket, bit = F.bitmap_bucket_number(mark), F.bitmap_bit_position(mark)
     marks = wanted.groupBy(bucket.alias("bucket")).agg(F.bitmap_construct_agg(bit).alias("marks"))
     found = texts.withColumns({"bucket": bucket, "bit": bit}).join(F.broadcast(marks), "bucket")
     byte = F.conv(F.hex(F.substring("marks", (F.floor(F.col("bit") / 8) + 1).cast("int"), F.lit(1))), 16, 10)
     marked = F.call_function("shiftright", byte.cast("int"), (F.col("bit") % 8).cast("int")) % 2 == 1
-    return found.filter(marked).select("doc_id", "text")
+    return found.filter(marked).select(*texts.columns)
 
 
 def _verified(docs: DataFrame, rows: DataFrame, pairs: DataFrame, like: Likeness) -> DataFrame:
@@ -546,8 +546,9 @@ def _verified(docs: DataFrame, rows: DataFrame, pairs: DataFrame, like: Likeness
     full = _word_hashes(texts).mapInArrow(_whole(like), "key bigint, n bigint, filters binary, tokens binary")
     sets = stored(full, "sets")
     met = _meeting(sets, pairs, like)
-    left = sets.select(F.col("key").alias("k1"), F.col("tokens").alias("left"))
-    right = sets.select(F.col("key").alias("k2"), F.col("tokens").alias("right"))
+    # sets that no pair has on that side don't move
+    left = _marked(sets.select(F.col("key").alias("k1"), F.col("tokens").alias("left")), met.select("k1").distinct(), "k1")
+    right = _marked(sets.select(F.col("key").alias("k2"), F.col("tokens").alias("right")), met.select("k2").distinct(), "k2")
     compared = met.join(left, "k1").join(right, "k2").select("k1", "k2", "left", "right")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
