@@ -5,8 +5,10 @@ Jaccard similarity reaches the threshold share a token among the first n - ceil(
 tokens of either set, whatever global order the tokens are put in. Candidates meet in their
 prefixes under the first order, where frequent tokens come last, rarest first, and the rest
 follow a hash. Before any set moves, the prefixes under two further hash orders are joined
-to the candidates and must share enough tokens, too. Texts are cut into tokens once to count
-them and once to post them; those of candidates are read once more, by the key of their set.
+to the candidates and must share enough tokens, too; then the outlines of the sets, a byte a
+token, must leave room for a link. Texts are cut into tokens once to count them and once to
+post them; those of candidates are read once more, and those of what is left after all
+filters a last time, for the sets themselves.
 
 Which tokens count as frequent has no influence on the result, for any set of them gives a
 valid order; it keeps passages that many documents share out of the prefixes. Tokens are
@@ -311,13 +313,52 @@ def short_prefix(tokens: np.ndarray, order: int, percent: int) -> bytes:
     return np.sort((first & np.uint64(0xFFFF)).astype(np.uint16)).tobytes()
 
 
+def overlap_of_a_link(n1: int, n2: int, percent: int) -> int:
+    """How many tokens two linked sets have in common at least."""
+    return -(-(n1 + n2) * percent // (100 + percent))
+
+
+def outline_bits(n: int) -> int:
+    """Leading bits of a hash that leave steps of 32 to 64 between n sorted ones."""
+    return n.bit_length() + 5
+
+
+def outline(tokens: np.ndarray) -> bytes:
+    """The whole set under a hash order by the `outline_bits` of each hash, as steps of a byte.
+
+    A step of 255 or more is as many bytes 255 as it holds and the remainder after them.
+    """
+    values = np.sort(mixed(tokens, ORDERS) >> np.uint64(64 - outline_bits(len(tokens)))).astype(np.int64)
+    steps = np.diff(values, prepend=0)
+    ends = np.cumsum(steps // 255 + 1)
+    out = np.full(ends[-1], 255, np.uint8)
+    out[ends - 1] = steps % 255
+    return out.tobytes()
+
+
+def outlined(steps: pa.Buffer) -> np.ndarray:
+    """The sorted leading bits that make up an outline."""
+    steps = np.frombuffer(steps, np.uint8)
+    return np.cumsum(steps, dtype=np.int64)[steps != 255]
+
+
+def most_common(x: np.ndarray, y: np.ndarray) -> int:
+    """How many tokens two outlined sets can have in common at most.
+
+    Leading bits keep their order, so the finer outline is cut to the bits of the other.
+    Common tokens have equal bits; others with equal bits only raise the number.
+    """
+    finer = outline_bits(len(x)) - outline_bits(len(y))
+    return shared_values(x >> max(finer, 0), y >> max(-finer, 0))
+
+
 def least_shared(n1: int, n2: int, percent: int) -> int:
     """How many prefix tokens two sets must share under any order to be linked.
 
     A link needs `overlap` common tokens. Those beyond the prefix that ends first are at
     most the rest of its set, so the prefixes hold the remainder.
     """
-    overlap = -(-(n1 + n2) * percent // (100 + percent))
+    overlap = overlap_of_a_link(n1, n2, percent)
     rest = max(-(-n * percent // 100) for n in (n1, n2)) - 1
     return overlap - rest
 
@@ -531,25 +572,47 @@ def _marked(texts: DataFrame, wanted: DataFrame, by: str = "doc_id") -> DataFram
     return found.filter(marked).select(*texts.columns)
 
 
+def _outlines_fit(sets: DataFrame, pairs: DataFrame, like: Likeness) -> DataFrame:
+    """The candidates (k1, k2) whose outlines leave room for a link: all links, and few others."""
+    compared = _side_by_side(sets, pairs, "outline")
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for x, y in zip(batch.column(2), batch.column(3)):
+                a, b = outlined(x.as_buffer()), outlined(y.as_buffer())
+                keep.append(most_common(a, b) >= overlap_of_a_link(len(a), len(b), like.percent))
+            yield batch.select(["k1", "k2"]).filter(pa.array(keep, pa.bool_()))
+
+    return stored(compared.mapInArrow(fit, "k1 bigint, k2 bigint").distinct(), "fitting")
+
+
+def _side_by_side(sets: DataFrame, pairs: DataFrame, what: str) -> DataFrame:
+    """(k1, k2, left, right): a column of both sets; those that no pair has on a side don't move."""
+    left = _marked(sets.select(F.col("key").alias("k1"), F.col(what).alias("left")), pairs.select("k1").distinct(), "k1")
+    right = _marked(sets.select(F.col("key").alias("k2"), F.col(what).alias("right")), pairs.select("k2").distinct(), "k2")
+    return pairs.join(left, "k1").join(right, "k2").select("k1", "k2", "left", "right")
+
+
 def _verified(docs: DataFrame, rows: DataFrame, pairs: DataFrame, like: Likeness) -> DataFrame:
     """The candidates that are links: (a, b, common), written once.
 
     The texts of the documents that stand for a candidate's set are read. Then the prefixes of
-    the further orders move, a quarter of each set and order, and at last the sets of the
-    candidates that meet in them all.
+    the further orders move, a quarter of each set and order, then the outlines of the sets of
+    candidates that meet in them all. What is left are links but for a few; their texts are
+    read again, and the sets themselves move.
     """
-    wanted = pairs.select(F.col("k1").alias("key")).union(pairs.select("k2")).distinct()
     first = rows.filter("key is not null").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
-    wanted = stored(first.join(wanted, "key", "left_semi").select("doc_id").distinct(), "wanted")
-    texts = _marked(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), wanted)
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    first = stored(first.join(_keys(pairs), "key", "left_semi"), "wanted")
     # rows of one doc_id in several tasks may give a set more than once: links are distinct
-    full = _word_hashes(texts).mapInArrow(_whole(like), "key bigint, n bigint, filters binary, tokens binary")
-    sets = stored(full, "sets")
-    met = _meeting(sets, pairs, like)
-    # sets that no pair has on that side don't move
-    left = _marked(sets.select(F.col("key").alias("k1"), F.col("tokens").alias("left")), met.select("k1").distinct(), "k1")
-    right = _marked(sets.select(F.col("key").alias("k2"), F.col("tokens").alias("right")), met.select("k2").distinct(), "k2")
-    compared = met.join(left, "k1").join(right, "k2").select("k1", "k2", "left", "right")
+    read = _word_hashes(_marked(texts, first.select("doc_id").distinct()))
+    filters = stored(read.mapInArrow(_filters(like), "key bigint, n bigint, filters binary, outline binary"), "filters")
+    near = _outlines_fit(filters, _meeting(filters, pairs, like), like)
+    again = first.join(_keys(near), "key", "left_semi").select("doc_id").distinct()
+    read = _word_hashes(_marked(texts, stored(again, "wanted")))
+    sets = stored(read.mapInArrow(_whole(like), "key bigint, tokens binary"), "sets")
+    compared = _side_by_side(sets, near, "tokens")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -564,30 +627,49 @@ def _verified(docs: DataFrame, rows: DataFrame, pairs: DataFrame, like: Likeness
     return stored(compared.mapInArrow(verify, "a bigint, b bigint, common bigint").distinct(), "links")
 
 
-def _whole(like: Likeness):
-    """Task function: key, size, filters and tokens of each different set.
+def _keys(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("k1").alias("key")).union(pairs.select("k2")).distinct()
+
+
+def _different_sets(batches: Iterator[pa.RecordBatch], like: Likeness) -> Iterator[dict[int, np.ndarray]]:
+    """The tokens of sets that the task has not met before, by key, a few documents at a time."""
+    seen: set[int] = set()
+    for batch in batches:
+        for _, tokens, ends in _sets(batch, like.words):
+            begin, new = 0, {}
+            for end in ends.tolist():
+                mine = tokens[begin:end]
+                begin = end
+                key = set_key(mine) if len(mine) else None
+                if key is not None and key not in seen:
+                    seen.add(key)
+                    new[key] = mine
+            yield new
+
+
+def _filters(like: Likeness):
+    """Task function: key, size, filters and outline of each different set.
 
     `filters` are the prefixes under the further orders, one after the other.
     """
 
+    def filters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for sets in _different_sets(batches, like):
+            columns = [pa.array(list(sets), pa.int64()), pa.array([len(s) for s in sets.values()], pa.int64())]
+            prefixes = [b"".join(short_prefix(s, k, like.percent) for k in range(1, ORDERS)) for s in sets.values()]
+            columns += [pa.array(c, pa.binary()) for c in (prefixes, [outline(s) for s in sets.values()])]
+            yield pa.RecordBatch.from_arrays(columns, names=["key", "n", "filters", "outline"])
+
+    return filters
+
+
+def _whole(like: Likeness):
+    """Task function: key and tokens of each different set."""
+
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        for batch in batches:
-            for _, tokens, ends in _sets(batch, like.words):
-                begin, keys, sizes, filters, sets = 0, [], [], [], []
-                for end in ends.tolist():
-                    mine = tokens[begin:end]
-                    begin = end
-                    key = set_key(mine) if len(mine) else None
-                    if key is not None and key not in seen:
-                        seen.add(key)
-                        keys.append(key)
-                        sizes.append(len(mine))
-                        filters.append(b"".join(short_prefix(mine, k, like.percent) for k in range(1, ORDERS)))
-                        sets.append(mine.tobytes())
-                columns = [pa.array(keys, pa.int64()), pa.array(sizes, pa.int64())]
-                columns += [pa.array(c, pa.binary()) for c in (filters, sets)]
-                yield pa.RecordBatch.from_arrays(columns, names=["key", "n", "filters", "tokens"])
+        for sets in _different_sets(batches, like):
+            columns = [pa.array(list(sets), pa.int64()), pa.array([s.tobytes() for s in sets.values()], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["key", "tokens"])
 
     return whole
 

@@ -209,3 +209,50 @@ def test_texts_of_candidates_are_read_without_moving(spark, monkeypatch):
         assert must <= got
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_outlines_keep_every_link_and_little_else():
+    """A byte a token; linked sets of any sizes fit, sets that share two thirds of their tokens don't."""
+    import pyarrow as pa
+
+    def outlined(s):
+        return jaccard.outlined(pa.py_buffer(jaccard.outline(s)))
+
+    r = np.random.default_rng(4)
+    links = 0
+    for _ in range(400):
+        n, own = int(r.integers(1, 300)), int(r.integers(0, 60))
+        both = np.unique(r.integers(0, 2**64, n, dtype=np.uint64))
+        x, y = (np.unique(np.append(both, r.integers(0, 2**64, k, dtype=np.uint64))) for k in (own, own // 3))
+        a, b = outlined(x), outlined(y)
+        assert (len(a), len(b)) == (len(x), len(y))
+        assert min(jaccard.most_common(a, b), jaccard.most_common(b, a)) >= len(both)
+        if jaccard._common(x, y, 75) is not None:
+            links += 1
+            assert jaccard.most_common(a, b) >= jaccard.overlap_of_a_link(len(x), len(y), 75)
+    assert links > 100
+    both, *own = (np.unique(r.integers(0, 2**64, k, dtype=np.uint64)) for k in (600, 300, 300))
+    x, y = (np.unique(np.append(both, o)) for o in own)
+    assert jaccard.most_common(outlined(x), outlined(y)) < jaccard.overlap_of_a_link(len(x), len(y), 75)
+    assert len(jaccard.outline(x)) < 1.1 * len(x)
+    one = np.array([2**64 - 1], np.uint64)
+    assert jaccard.most_common(outlined(one), outlined(one)) == 1
+
+
+def test_sets_of_candidates_that_are_no_links_do_not_move(spark, tmp_path, monkeypatch):
+    """Sets that share two thirds of their tokens meet in the prefixes of all orders, but are not stored."""
+    from ebbflow.llm.store import stored
+
+    sizes = {}
+
+    def watched(df, name, *codec):
+        sizes.setdefault(name, []).append((out := stored(df, name, *codec)).count())
+        return out
+
+    monkeypatch.setattr(jaccard, "stored", watched)
+    passages = [[f"p{i}.{k}" for k in range(200)] for i in range(20)]
+    rows = [(2 * i + s, " ".join(p + [f"o{i}.{s}.{k}" for k in range(90)])) for i, p in enumerate(passages) for s in (0, 1)]
+    rows += [(100, " ".join(passages[0] + ["x"] * 5)), (101, " ".join(passages[0]))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    assert ours(jaccard.grouped(docs)) == brute_groups(rows)
+    assert sizes["meeting"][0] >= 20 and sizes["sets"][0] <= 6
