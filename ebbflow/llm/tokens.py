@@ -17,8 +17,24 @@ from functools import lru_cache
 REMEMBERED = 500_000
 LONGEST = 64
 
-_chunks = re.compile(r"[ \n]*[^ \n]+|[ \n]+").findall
-_other_white = re.compile(r"[^\S \n]").search
+# all white space but blanks and line feeds
+OTHER_WHITE = "\t\v\f\r\x1c\x1d\x1e\x1f\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+CUT = "\x1c"
+
+
+def _other_white(text: str) -> bool:
+    return any(map(text.__contains__, OTHER_WHITE))
+
+
+def _chunks(text: str) -> list[str]:
+    """Runs of `[ \\n]*[^ \\n]+|[ \\n]+` of a text without other white space.
+
+    A cut goes before each blank and line feed, but not between them; string methods do
+    that in less than half the time of the expression.
+    """
+    cut = text.replace(" ", CUT + " ").replace("\n", CUT + "\n").replace(" " + CUT, " ").replace("\n" + CUT, "\n")
+    runs = cut.split(CUT)
+    return runs if runs[0] else runs[1:]
 
 
 # a run of Latin letters, perhaps after a blank and before signs; an apostrophe may start a piece of its own

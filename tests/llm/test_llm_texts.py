@@ -320,3 +320,21 @@ def test_licence_rules_by_sql(spark, hard_docs, no_docs):
     assert licences.scanned(no_docs).collect() == []
     # sequences keep their order
     assert licences.rule_pattern(("A", "B")) == "%,A,%,B,%"
+
+
+def test_runs_are_cut_by_string_methods_as_by_the_expression():
+    import random
+    import re
+    import sys
+
+    from ebbflow.llm import tokens
+
+    white = {c for c in map(chr, range(sys.maxunicode + 1)) if re.match(r"\s", c)}
+    assert white - set(" \n") == set(tokens.OTHER_WHITE)
+    assert all(tokens._other_white(f"a b{c}\u4e00") for c in tokens.OTHER_WHITE)
+    assert not tokens._other_white("a b\nc\u4e00 \U0001f600\u200b")
+    r = random.Random(7)
+    texts = ["", " ", "\n", "a", " a ", "a\n \n b \n", "\n\n\na  b"]
+    texts += ["".join(r.choices(" \nab\u00e9.\u4e00", k=r.randrange(30))) for _ in range(3000)]
+    for text in texts:
+        assert tokens._chunks(text) == re.findall(r"[ \n]*[^ \n]+|[ \n]+", text), repr(text)
