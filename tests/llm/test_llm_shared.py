@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from ebbflow.llm import tokens
 from ebbflow.llm.components import components
 from ebbflow.llm.ordering import range_of, running_totals, split_values
 from ebbflow.llm.tokens import Encoder
@@ -92,3 +93,35 @@ def test_encoding_sets_off_no_search_for_cycles(name):
         gc.callbacks.pop()
     assert gc.isenabled() and not searches
     assert got == encoder._encode(texts)
+
+
+ODD = [" ", " ", "\n", "\n\n", "  ", "a", "Z", "the", " of", "é", "ß", "÷", "ÿ", "\u0301", "\u0338", "<", ".", ",", "'", "'s", "n't", "1", "日", "ª", "Σ", "İ", "“", "\u200b", "\x00", "%%%"]
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_odd_texts_encode_like_whole_ones_with_little_memory(name, monkeypatch):
+    r = random.Random(3)
+    texts = ["".join(r.choices(ODD, k=r.randrange(25))) for _ in range(2000)]
+    encoder = Encoder(public_tokenizers.path(name))
+    want = encoder._encode(texts)
+    assert encoder.encode(texts) == want
+    # many groups, and the memory is full and forgets
+    monkeypatch.setattr(tokens, "LETTERS_AT_ONCE", 40)
+    monkeypatch.setattr(tokens, "REMEMBERED", 30)
+    encoder.known = {}
+    assert encoder.encode(texts) == want
+    assert len(encoder.known) < 200
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_a_word_is_encoded_once_whatever_signs_and_line_feeds_are_beside_it(name, monkeypatch):
+    encoder = Encoder(public_tokenizers.path(name))
+    words = [f"{a}{b}ñe" for a in "abcdefgh" for b in "stuv"]
+    texts = [" ".join(f"{w}{s}\n{w}{s} {w}" for w in words) for s in ("", ",", ".", "...", ")!")]
+    want, merged, whole = encoder._encode(texts), [], []
+    merge, encode = encoder.tokenize, encoder._encode
+    monkeypatch.setattr(encoder, "tokenize", lambda word: merged.append(word) or merge(word))
+    monkeypatch.setattr(encoder, "_encode", lambda runs: whole.extend(runs) or encode(runs))
+    assert encoder.encode(texts) == want
+    assert len(merged) <= 2 * len(words)  # with a blank before it and without
+    assert not any(c.isalpha() for run in whole for c in run)
