@@ -15,6 +15,7 @@ from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -78,44 +79,92 @@ def lines(spark: SparkSession, folder: str, spec: Delivery = Delivery()) -> Data
 def damaged(spark: SparkSession, folder: str, spec: Delivery = Delivery()) -> DataFrame:
     """(file, problem) of gzip files that end early or hold something else.
 
-    Each is inflated by a task of its own piece by piece; only compressed files are opened.
+    Each is inflated by a task of its own as it is read: its bytes come as they stand, cut at
+    line feeds, so no task holds a file. Only compressed files are opened.
     """
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            bad = []
-            for file, content in zip(batch.column(0), batch.column(1)):
-                problem = inflation_problem(memoryview(content.as_buffer()))
-                if problem:
-                    bad.append((file.as_py(), problem))
-            if bad:
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.string()) for x in zip(*bad)], names=["file", "problem"])
-
-    packed = spark.read.format("binaryFile").options(**_options(spec)).load(folder).filter(F.col("path").endswith(".gz"))
-    return packed.select(F.col("_metadata.file_path").alias("file"), "content").mapInArrow(check, "file string, problem string")
-
+        open_file: tuple[str, int, Inflation] | None = None
+
+        def closed() -> Iterator[pa.RecordBatch]:
+            if open_file is None:
+                return
+            file, length, found = open_file
+            if length - found.seen == 1:  # the line feed that ends the file
+                found.add(b"\n")
+            # the reader of lines passes over a mark of byte order, which begins no gzip member
+            problem = found.problem() if found.seen == length else "unreadable"
+            if problem:
+                yield pa.RecordBatch.from_arrays([pa.array([file]), pa.array([problem])], names=["file", "problem"])
 
-def inflation_problem(data: memoryview, step: int = 1 << 20) -> str | None:
-    """Why gzip members can't be inflated to their end; None if they can."""
-    if not len(data):
-        return "empty"
-    member = zlib.decompressobj(31)
-    try:
-        for at in range(0, len(data), step):
-            rest = bytes(data[at : at + step])
-            while rest:
-                if member.eof:
+        for batch in batches:
+            files, at = pc.run_end_encode(batch.column(0)), 0
+            for file, end in zip(files.values.to_pylist(), files.run_ends.to_pylist()):
+                if open_file is None or open_file[0] != file:
+                    yield from closed()
+                    open_file = (file, batch.column(1)[at].as_py(), Inflation())
+                else:
+                    open_file[2].add(b"\n")
+                open_file[2].add(b"\n".join(batch.column(2).slice(at, end - at).to_pylist()))
+                at = end
+        yield from closed()
+
+    as_it_stands = {"io.compression.codecs": "org.apache.hadoop.io.compress.PassthroughCodec", "lineSep": "\n"}
+    for name in ("io.compress.passthrough.extension", "org.apache.hadoop.shaded.io.compress.passthrough.extension"):
+        as_it_stands[name] = ".gz"  # the second is its name in the library that Spark brings along
+    packed = spark.read.options(**as_it_stands, **_options(spec)).text(folder).filter(F.col("_metadata.file_path").endswith(".gz"))
+    pieces = packed.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size"), F.col("value").cast("binary"))
+    return pieces.mapInArrow(check, "file string, problem string")
+
+
+class Inflation:
+    """Gzip members that come in pieces, inflated a step at a time; nothing of them is kept."""
+
+    def __init__(self, step: int = 1 << 20) -> None:
+        self.seen, self._step, self._held = 0, step, bytearray()
+        self._member, self._failed = zlib.decompressobj(31), False
+
+    def add(self, piece: bytes | memoryview) -> None:
+        self.seen += len(piece)
+        if self._failed:
+            return
+        self._held += piece
+        while len(self._held) >= self._step:
+            self._inflate(bytes(self._held[: self._step]))
+            del self._held[: self._step]
+
+    def problem(self) -> str | None:
+        """Why the members given can't be inflated to their end; None if they can."""
+        if not self.seen:
+            return "empty"
+        self._inflate(bytes(self._held))
+        self._held.clear()
+        if self._failed:
+            return "unreadable"
+        return None if self._member.eof else "truncated"
+
+    def _inflate(self, rest: bytes) -> None:
+        try:
+            while rest and not self._failed:
+                if self._member.eof:
                     if not rest.strip(b"\0"):
                         break
-                    member = zlib.decompressobj(31)
+                    self._member = zlib.decompressobj(31)
                 piece = rest
                 while piece:  # output is bounded, whatever a byte inflates to
-                    member.decompress(piece, 4 * step)
-                    piece = member.unconsumed_tail
-                rest = member.unused_data
-    except zlib.error:
-        return "unreadable"
-    return None if member.eof else "truncated"
+                    self._member.decompress(piece, 4 * self._step)
+                    piece = self._member.unconsumed_tail
+                rest = self._member.unused_data
+        except zlib.error:
+            self._failed = True
+
+
+def inflation_problem(data: memoryview, step: int = 1 << 20) -> str | None:
+    """Why gzip members can't be inflated to their end; None if they can."""
+    found = Inflation(step)
+    for at in range(0, len(data), step):
+        found.add(data[at : at + step])
+    return found.problem()
 
 
 def headers(scanned: DataFrame, names: Mapping[str, tuple[str, ...]] = RAW_NAMES, sep: str = ";") -> DataFrame:
@@ -125,7 +174,9 @@ def headers(scanned: DataFrame, names: Mapping[str, tuple[str, ...]] = RAW_NAMES
     it is empty if the file has none of them.
     """
     first = scanned.filter("at_start").withColumn("_n", F.monotonically_increasing_id())
-    first = first.groupBy("file").agg(F.min_by("line", "_n").alias("header"))
+    # a set in the buffer makes this an aggregate by hash; with text alone every line would be sorted by its file
+    first = first.groupBy("file").agg(F.min_by("line", "_n").alias("header"), F.collect_set("at_start").alias("_at_start"))
+    first = first.select("file", F.when(F.get("_at_start", F.lit(0)), F.col("header")).alias("header"))
     cut = F.split(F.regexp_replace("header", "[\"﻿]", ""), re.escape(sep))
     first = first.withColumn("_names", F.transform(cut, lambda n: F.lower(F.trim(n))))
 
@@ -204,7 +255,8 @@ def landed_rows(
     asked for are left out; lines without a readable region are kept with their reason.
     """
     new = deliveries.filter("status = 'new'").select("file_name", F.col("month").alias("of_month"), "family")
-    known = files.join(new, "file_name").drop("length", "problem")
+    # written, so that Spark sees how small it is and lines needn't move to their file's places
+    known = materialise(files.join(new, "file_name").drop("length", "problem"), "known-files")
     width = files.agg(F.max("n_fields")).first()[0] or 1
     cut = cut_lines(lines(spark, folder, spec), known, width, sep=spec.sep)
     if spec.month_from_name:

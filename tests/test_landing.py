@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gzip
+import random
 from collections import Counter
 
 import pytest
@@ -107,6 +108,37 @@ def test_inflation(data, problem):
     assert landing.inflation_problem(memoryview(data)) == problem
 
 
+def test_damage_is_found_without_holding_a_file(spark, tmp_path):
+    noise = random.Random(1).randbytes(3_000_000)
+    whole = gzip.compress(noise)
+    contents = {
+        "whole": whole, "members": whole + gzip.compress(b"b"), "padded": whole + b"\0" * 5000, "cut": whole[:-9], "cut-early": whole[:1000],
+        "feed": whole + b"\n", "feeds": whole + b"\n\n", "padded-feed": whole + b"\0\n", "returns": whole + b"\r\n", "only-feed": b"\n",
+        "spoilt": whole[:1000] + b"xx" + whole[1002:], "marked": b"\xef\xbb\xbf" + whole, "text": b"a;b\n1;2\n", "byte": b"\x1f",
+    }
+    for name, content in contents.items():
+        (tmp_path / f"{name}.txt.gz").write_bytes(content)
+    (tmp_path / "plain.txt").write_text("a;b\n")
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", 1000)  # a file as one value is refused
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 100)  # a file comes in many batches
+    try:
+        got = {r.file.split("/")[-1][: -len(".txt.gz")]: r.problem for r in landing.damaged(spark, str(tmp_path)).collect()}
+    finally:
+        spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    expected = {k: landing.inflation_problem(memoryview(v)) for k, v in contents.items()}
+    assert got == {k: v for k, v in expected.items() if v}
+    assert expected["feed"] == "truncated" and expected["feeds"] == "unreadable" and expected["padded"] is None
+
+
+def test_lines_are_neither_sorted_nor_moved_to_their_headers(spark, folder):
+    scanned = landing.lines(spark, folder)
+    assert "SortAggregate" not in landing.headers(scanned)._jdf.queryExecution().toString()
+    rows = landing.landed_rows(spark, folder, *landing.manifest(spark, folder))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "hashpartitioning(file" not in plan
+
+
 def test_study_takes_new_deliveries_once(spark, folder, tmp_path):
     base = str(tmp_path / "study")
     assert turnover.ingest(spark, folder, base, NATIONAL).count() == 7
